@@ -1,0 +1 @@
+"""Reserved. All workloads this engine covers are batch tables; there is no streaming operator."""
