@@ -182,7 +182,7 @@ def asof_join(
     near = seq.withColumn("_near", F.last("_hit", ignorenulls=True).over(w)).where("_side = 1")
 
     if tolerance_s is None:
-        best = F.struct(F.col("_us"), F.col("_tie"))
+        best = F.when(F.col("_hit").isNotNull(), F.struct(F.col("_us"), F.col("_tie")))
         pick = F.max_by("_hit", best) if back else F.min_by("_hit", best)
         per_slice = seq.groupBy(*on, "_slice").agg(pick.alias("_edge"))
         step = F.col("_slice").asc() if back else F.col("_slice").desc()
