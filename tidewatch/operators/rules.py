@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,27 +12,34 @@ from pyspark.sql import functions as F
 FLAG_COLUMNS = ("rule", "entity_id", "ref_id", "event_time", "measure", "limit_value")
 
 
-def flag_rows(
-    df: DataFrame,
-    rule: str,
-    when: Column,
-    entity: str,
-    ref: Column | str,
-    time: Column | str,
-    measure: Column | None = None,
-    limit: float | Column | None = None,
-) -> DataFrame:
-    """The rows that fire a rule, in one shared shape: which rule, who, which record, when, the observed
-    value and the limit it was held against. This is the evidence, one row per violation."""
-    as_col = lambda c: F.col(c) if isinstance(c, str) else c
-    bound = limit if isinstance(limit, Column) else F.lit(limit)
-    return df.where(when).select(
-        F.lit(rule).alias("rule"),
-        F.col(entity).cast("string").alias("entity_id"),
-        as_col(ref).cast("string").alias("ref_id"),
-        as_col(time).cast("timestamp_ntz").alias("event_time"),
-        (F.lit(None) if measure is None else measure).cast("double").alias("measure"),
-        bound.cast("double").alias("limit_value"),
+@dataclass(frozen=True)
+class Rule:
+    """A named condition, the record and time it points at, and the value held against a limit."""
+
+    name: str
+    when: Column
+    ref: Column
+    time: Column
+    measure: Column | None = None
+    limit: Column | float | None = None
+
+    def hit(self) -> Column:
+        bound = self.limit if isinstance(self.limit, Column) else F.lit(self.limit)
+        row = F.struct(
+            F.lit(self.name).alias("rule"),
+            self.ref.cast("string").alias("ref_id"),
+            self.time.cast("timestamp_ntz").alias("event_time"),
+            (F.lit(None) if self.measure is None else self.measure).cast("double").alias("measure"),
+            bound.cast("double").alias("limit_value"),
+        )
+        return F.when(self.when, row)
+
+
+def fire(df: DataFrame, entity: str, rules: Sequence[Rule]) -> DataFrame:
+    """One evidence row per rule that holds, in one shared shape. All rules of a table share one pass."""
+    hits = F.explode(F.array_compact(F.array(*[r.hit() for r in rules])))
+    return df.select(F.col(entity).cast("string").alias("entity_id"), hits.alias("_h")).select(
+        "_h.rule", "entity_id", "_h.ref_id", "_h.event_time", "_h.measure", "_h.limit_value"
     )
 
 

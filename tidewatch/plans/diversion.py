@@ -158,56 +158,37 @@ def features(
     )
 
 
-# --- rules, one evidence row per violation ------------------------------------
+# --- rules, one evidence row per violation; one pass over each of the three tables --------
 
 
-def waste_without_witness(txn: DataFrame, time: str = "timestamp") -> DataFrame:
-    fired = (F.col("txn_type") == "waste") & F.col("witness_id").isNull()
-    return rules.flag_rows(txn, "waste_without_witness", fired, "staff_id", "txn_id", time, F.col("amount"))
+def cabinet_rules(time: str = "timestamp") -> list[rules.Rule]:
+    ref, at, dispense = F.col("txn_id"), F.col(time), F.col("txn_type") == "dispense"
+    return [
+        rules.Rule(
+            "waste_without_witness", (F.col("txn_type") == "waste") & F.col("witness_id").isNull(), ref, at, F.col("amount")
+        ),
+        rules.Rule("after_hours", dispense & after_hours(time), ref, at, F.hour(at)),
+        rules.Rule("override_pull", dispense & F.col("is_override"), ref, at, F.col("amount")),
+    ]
 
 
-def dispense_without_admin(linked: DataFrame, time: str = "timestamp") -> DataFrame:
-    return rules.flag_rows(
-        linked, "dispense_without_admin", F.col("mar_id").isNull(), "staff_id", "txn_id", time, F.col("amount")
-    )
-
-
-def pain_not_dropping(administrations: DataFrame, windows: Windows = Windows()) -> DataFrame:
-    return rules.flag_rows(
-        administrations, "pain_not_dropping", F.col("pain_not_dropping"), "staff_id", "mar_id", "admin_time",
-        F.col("pain_drop"), windows.min_drop,
-    )
-
-
-def pain_not_documented(administrations: DataFrame) -> DataFrame:
-    return rules.flag_rows(
-        administrations, "pain_not_documented", ~F.col("pain_documented"), "staff_id", "mar_id", "admin_time"
-    )
-
-
-def slow_administration(linked: DataFrame, time: str = "timestamp", windows: Windows = Windows()) -> DataFrame:
-    late = F.col("gap_s") > windows.slow_gap_s
-    return rules.flag_rows(
-        linked, "slow_administration", late, "staff_id", "txn_id", time, F.col("gap_s"), windows.slow_gap_s
-    )
-
-
-def after_hours_dispense(txn: DataFrame, time: str = "timestamp") -> DataFrame:
-    fired = (F.col("txn_type") == "dispense") & after_hours(time)
-    return rules.flag_rows(txn, "after_hours", fired, "staff_id", "txn_id", time, F.hour(F.col(time)))
-
-
-def above_ordered_dose(administrations: DataFrame, windows: Windows = Windows()) -> DataFrame:
-    limit = 1.0 + windows.dose_tolerance
-    return rules.flag_rows(
-        administrations, "above_ordered_dose", F.col("dose_ratio") > limit, "staff_id", "mar_id", "admin_time",
-        F.col("dose_ratio"), limit,
-    )
+def link_rules(time: str = "timestamp", windows: Windows = Windows()) -> list[rules.Rule]:
+    ref, at = F.col("txn_id"), F.col(time)
+    return [
+        rules.Rule("dispense_without_admin", F.col("mar_id").isNull(), ref, at, F.col("amount")),
+        rules.Rule(
+            "slow_administration", F.col("gap_s") > windows.slow_gap_s, ref, at, F.col("gap_s"), windows.slow_gap_s
+        ),
+    ]
 
 
-def override_pull(txn: DataFrame, time: str = "timestamp") -> DataFrame:
-    fired = (F.col("txn_type") == "dispense") & F.col("is_override")
-    return rules.flag_rows(txn, "override_pull", fired, "staff_id", "txn_id", time, F.col("amount"))
+def administration_rules(windows: Windows = Windows()) -> list[rules.Rule]:
+    ref, at, dose_limit = F.col("mar_id"), F.col("admin_time"), 1.0 + windows.dose_tolerance
+    return [
+        rules.Rule("pain_not_dropping", F.col("pain_not_dropping"), ref, at, F.col("pain_drop"), windows.min_drop),
+        rules.Rule("pain_not_documented", ~F.col("pain_documented"), ref, at),
+        rules.Rule("above_ordered_dose", F.col("dose_ratio") > dose_limit, ref, at, F.col("dose_ratio"), dose_limit),
+    ]
 
 
 def flags(
@@ -215,14 +196,9 @@ def flags(
 ) -> DataFrame:
     """All rules in one long evidence table."""
     return rules.stack_flags(
-        waste_without_witness(txn, time),
-        dispense_without_admin(linked, time),
-        pain_not_dropping(administrations, windows),
-        pain_not_documented(administrations),
-        slow_administration(linked, time, windows),
-        after_hours_dispense(txn, time),
-        above_ordered_dose(administrations, windows),
-        override_pull(txn, time),
+        rules.fire(txn, "staff_id", cabinet_rules(time)),
+        rules.fire(linked, "staff_id", link_rules(time, windows)),
+        rules.fire(administrations, "staff_id", administration_rules(windows)),
     )
 
 
