@@ -114,8 +114,22 @@ def best_candidates(scored: DataFrame) -> DataFrame:
     )
 
 
-def _without(p: DataFrame, links: DataFrame, col: str) -> DataFrame:
-    return p.join(links.select(F.col(col).alias("id")).distinct(), "id", "left_anti")
+def unique_links(p: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``match_unique`` over one table holding both sides (``side`` is l or r): a single aggregate."""
+    known = p
+    for k in keys:
+        known = known.where(F.col(k).isNotNull() & (F.length(k) > 0))
+    is_l, is_r = F.col("side") == "l", F.col("side") == "r"
+    return (
+        known.groupBy(*keys)
+        .agg(
+            F.count_if(is_l).alias("n_l"),
+            F.count_if(is_r).alias("n_r"),
+            F.min(F.when(is_l, F.col("id"))).alias("id_l"),
+            F.min(F.when(is_r, F.col("id"))).alias("id_r"),
+        )
+        .where("n_l = 1 AND n_r = 1")
+    )
 
 
 def build_crosswalk(
@@ -128,64 +142,76 @@ def build_crosswalk(
 ) -> DataFrame:
     """Tiered matching of two ``people`` tables. Every id of either side is in the result.
 
-    ``stage(df, name)`` may write a table and read it back; given one, the links of each tier are
-    stored, so that a lost executor or a later tier never repeats the earlier ones.
+    Both sides live in one table that gains its match columns tier by tier; a tier looks only at rows
+    still open. ``stage(df, name)`` may write that table and read it back: given one, a lost executor
+    or a later tier never repeats the earlier ones, and the plan of each tier stays short.
     """
     keep: Stage = stage or (lambda df, name: df)
+    sure, doubt = F.lit(False), F.lit(True)
 
-    def link(df: DataFrame, method: str, conf, needs, name: str) -> DataFrame:
-        return keep(
-            df.select(
-                F.col("id_l").alias("left_id"),
-                F.col("id_r").alias("right_id"),
-                F.lit(method).alias("match_method"),
-                F.lit(name).alias("match_rule"),
-                conf.cast("double").alias("confidence"),
-                needs.alias("needs_review"),
-            ),
-            name,
+    def close(p: DataFrame, links: DataFrame, method: str, rule: str, conf, needs) -> DataFrame:
+        found = F.struct(
+            F.lit(method).alias("match_method"),
+            F.lit(rule).alias("match_rule"),
+            conf.cast("double").alias("confidence"),
+            needs.alias("needs_review"),
         )
-
-    sure, doubt = F.lit(False), F.lit(True)
-    lid, rid = l.select("id").distinct(), r.select("id").distinct()
-    by_id = lid.join(rid, "id").select(F.col("id").alias("id_l"), F.col("id").alias("id_r"))
-    t0 = link(by_id, "EXACT_ID", F.lit(1.0), sure, "same_id")
-    l0, r0 = _without(l, t0, "left_id"), _without(r, t0, "right_id")
-
-    t1 = link(match_unique(l0, r0, NAME_KEY), "EXACT_NAME", F.lit(1.0), sure, "same_name")
-    l1, r1 = _without(l0, t1, "left_id"), _without(r0, t1, "right_id")
-
-    best = best_candidates(score_pairs(candidate_pairs(l1, r1)).where(F.col("score") >= accept))
-    close = (F.col("score") < review) | (F.col("margin") < margin)
-    t2 = link(best.where("n_l = 1 AND n_r = 1"), "FUZZY", F.col("score"), close, "one_edit")
-    l2, r2 = _without(l1, t2, "left_id"), _without(r1, t2, "right_id")
-
-    def sounded(p: DataFrame) -> DataFrame:
-        return p.withColumn("sound", F.soundex("last"))
-
-    alike = match_unique(sounded(l2), sounded(r2), ["dept", "first", "sound"])
-    t3 = link(alike, "FUZZY", F.lit(accept), doubt, "same_sound")
-    l3, r3 = _without(l2, t3, "left_id"), _without(r2, t3, "right_id")
-
-    t4 = link(match_unique(l3, r3, ["dept", "first"]), "FUZZY", F.lit(0.5), doubt, "same_first_name")
-    l4, r4 = _without(l3, t4, "left_id"), _without(r3, t4, "right_id")
-
-    def left_over(p: DataFrame, side: str, other: str) -> DataFrame:
-        """What no tier took. A value held by several people on its own side is a tie."""
-        shared = name_counts(p, NAME_KEY, "own").select(*NAME_KEY, "n_own")
-        tagged = salted_join(p, shared, NAME_KEY, ["id"])
-        return tagged.groupBy("id").agg(F.max(F.coalesce("n_own", F.lit(0)) > 1).alias("_tie")).select(
-            F.col("id").alias(side),
-            F.lit(None).cast("string").alias(other),
-            F.lit("UNMATCHED").alias("match_method"),
-            F.when(F.col("_tie"), "tie").otherwise("none").alias("match_rule"),
-            F.lit(0.0).alias("confidence"),
-            F.lit(True).alias("needs_review"),
+        both = F.explode(
+            F.array(
+                F.struct(F.lit("l").alias("side"), F.col("id_l").alias("id"), F.col("id_r").alias("other")),
+                F.struct(F.lit("r").alias("side"), F.col("id_r").alias("id"), F.col("id_l").alias("other")),
+            )
+        )
+        taken = links.select(both.alias("_b"), found.alias("_new")).select("_b.side", "_b.id", "_b.other", "_new")
+        # one link per id, should an id carry several names
+        taken = taken.groupBy("side", "id").agg(F.min(F.struct("other", "_new")).alias("_t"))
+        return (
+            p.join(taken, ["side", "id"], "left")
+            .withColumn("other", F.coalesce("other", "_t.other"))
+            .withColumn("how", F.coalesce("how", "_t._new"))
+            .drop("_t")
         )
 
-    rows = t0
-    for part in (t1, t2, t3, t4, left_over(l4, "left_id", "right_id"), left_over(r4, "right_id", "left_id")):
-        rows = rows.unionByName(part)
+    def still_open(p: DataFrame) -> DataFrame:
+        return p.where(F.col("how").isNull()).drop("how", "other")
+
+    kind = "struct<match_method: string, match_rule: string, confidence: double, needs_review: boolean>"
+    tagged = l.withColumn("side", F.lit("l")).unionByName(r.withColumn("side", F.lit("r")))
+    p = tagged.withColumn("other", F.lit(None).cast("string")).withColumn("how", F.lit(None).cast(kind))
+    p = keep(p, "people")
+    p = close(p, unique_links(still_open(p).select("side", "id", F.col("id").alias("_same")).distinct(), ["_same"]),
+              "EXACT_ID", "same_id", F.lit(1.0), sure)
+    p = keep(close(p, unique_links(still_open(p), NAME_KEY), "EXACT_NAME", "same_name", F.lit(1.0), sure), "exact")
+
+    free = still_open(p)
+    pairs = candidate_pairs(free.where("side = 'l'").drop("side"), free.where("side = 'r'").drop("side"))
+    best = best_candidates(score_pairs(pairs).where(F.col("score") >= accept)).where("n_l = 1 AND n_r = 1")
+    unsure = (F.col("score") < review) | (F.col("margin") < margin)
+    p = keep(close(p, best, "FUZZY", "one_edit", F.col("score"), unsure), "edit")
+
+    alike = unique_links(still_open(p).withColumn("sound", F.soundex("last")), ["dept", "first", "sound"])
+    p = keep(close(p, alike, "FUZZY", "same_sound", F.lit(accept), doubt), "sound")
+    p = close(p, unique_links(still_open(p), ["dept", "first"]), "FUZZY", "same_first_name", F.lit(0.5), doubt)
+    p = keep(p, "first")
+
+    # a name held by several open people of one side is a tie
+    free = still_open(p)
+    shared = free.groupBy("side", *NAME_KEY).agg(F.count(F.lit(1)).alias("_own"))
+    ties = salted_join(free, shared, ["side", *NAME_KEY], ["id"]).groupBy("side", "id").agg(
+        F.max(F.coalesce("_own", F.lit(0)) > 1).alias("_tie")
+    )
+    rest = ties.select(
+        F.when(F.col("side") == "l", F.col("id")).alias("left_id"),
+        F.when(F.col("side") == "r", F.col("id")).alias("right_id"),
+        F.lit("UNMATCHED").alias("match_method"),
+        F.when(F.col("_tie"), "tie").otherwise("none").alias("match_rule"),
+        F.lit(0.0).alias("confidence"),
+        F.lit(True).alias("needs_review"),
+    )
+    linked = p.where("side = 'l' AND how IS NOT NULL").select(
+        F.col("id").alias("left_id"), F.col("other").alias("right_id"), "how.*"
+    ).distinct()
+    rows = linked.unionByName(rest)
     key = F.md5(F.concat_ws("|", F.coalesce("left_id", F.lit("-")), F.coalesce("right_id", F.lit("-"))))
     return rows.select(F.concat(F.lit("K-"), F.substring(key, 1, 16)).alias("employee_key"), "*")
 
