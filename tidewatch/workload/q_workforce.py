@@ -198,30 +198,30 @@ def _position(t):
     return N.position_control(roster, t.leave, t.need, t.budget, CALENDAR)
 
 
-def _round4(df, *cols):
-    """Four places; adding zero turns a negative zero into zero."""
+def _rounded(df, places, *cols):
+    """Adding zero turns a negative zero into zero."""
     for c in cols:
-        df = df.withColumn(c, F.round(c, 4) + F.lit(0.0))
+        df = df.withColumn(c, F.round(c, places) + F.lit(0.0))
     return df
 
 
 @query(
     "position_control",
-    f"WITH {_XWALK}, {_POSITION} SELECT department, shift, seq, round(budgeted_fte, 4) + 0 AS budgeted_fte, round(available_fte, 4) + 0 AS available_fte, required_fte, round(net_fte, 4) + 0 AS net_fte FROM pos",
+    f"WITH {_XWALK}, {_POSITION} SELECT department, shift, seq, round(budgeted_fte, 8) + 0 AS budgeted_fte, round(available_fte, 8) + 0 AS available_fte, required_fte, round(net_fte, 8) + 0 AS net_fte FROM pos",
     _POS_USES,
 )
 def _(t):
-    return _round4(_position(t), "budgeted_fte", "available_fte", "net_fte").drop("pay_period")
+    return _rounded(_position(t), 8, "budgeted_fte", "available_fte", "net_fte").drop("pay_period")
 
 
 @query(
     "available_fte_by_period",
-    f"WITH {_XWALK}, {_POSITION} SELECT seq, round(sum(available_fte), 3) AS available_fte, round(sum(required_fte), 3) AS required_fte FROM pos GROUP BY 1",
+    f"WITH {_XWALK}, {_POSITION} SELECT seq, round(sum(available_fte), 8) AS available_fte, round(sum(required_fte), 8) AS required_fte FROM pos GROUP BY 1",
     _POS_USES,
 )
 def _(t):
     return _position(t).groupBy("seq").agg(
-        F.round(F.sum("available_fte"), 3).alias("available_fte"), F.round(F.sum("required_fte"), 3).alias("required_fte")
+        F.round(F.sum("available_fte"), 8).alias("available_fte"), F.round(F.sum("required_fte"), 8).alias("required_fte")
     )
 
 
@@ -239,47 +239,47 @@ def _gold(t):
 
 @query(
     "staffing_forecast",
-    f"WITH {_XWALK}, {_POSITION}, {_AHEAD} SELECT department, shift, seq, round(available_fte, 4) + 0 AS available_fte, round(required_fte, 4) + 0 AS required_fte, "
-    "round(greatest(required_fte - available_fte, 0), 4) + 0 AS shortage_fte, round(greatest(available_fte - required_fte, 0), 4) + 0 AS surplus_fte FROM ah",
+    f"WITH {_XWALK}, {_POSITION}, {_AHEAD} SELECT department, shift, seq, round(available_fte, 6) + 0 AS available_fte, round(required_fte, 6) + 0 AS required_fte, "
+    "round(greatest(required_fte - available_fte, 0), 6) + 0 AS shortage_fte, round(greatest(available_fte - required_fte, 0), 6) + 0 AS surplus_fte FROM ah",
     _POS_USES,
 )
 def _(t):
     out = N.staffing_forecast(_gold(t), 3)
-    return _round4(out, "available_fte", "required_fte", "shortage_fte", "surplus_fte")
+    return _rounded(out, 6, "available_fte", "required_fte", "shortage_fte", "surplus_fte")
 
 
 @query(
     "staffing_actual_and_forecast",
     f"WITH {_XWALK}, {_POSITION}, {_AHEAD}, al2 AS (SELECT department, shift, seq, available_fte, required_fte, false AS is_forecast FROM pos UNION ALL SELECT department, shift, seq, available_fte, required_fte, true FROM ah) "
-    "SELECT is_forecast, shift, count(*) AS n_cells, round(sum(greatest(required_fte - available_fte, 0)), 2) AS shortage_fte, round(sum(greatest(available_fte - required_fte, 0)), 2) AS surplus_fte FROM al2 GROUP BY 1, 2",
+    "SELECT is_forecast, shift, count(*) AS n_cells, round(sum(greatest(required_fte - available_fte, 0)), 5) AS shortage_fte, round(sum(greatest(available_fte - required_fte, 0)), 5) AS surplus_fte FROM al2 GROUP BY 1, 2",
     _POS_USES,
 )
 def _(t):
     return N.actual_and_forecast(_gold(t), 3).groupBy("is_forecast", "shift").agg(
         F.count(F.lit(1)).alias("n_cells"),
-        F.round(F.sum("shortage_fte"), 2).alias("shortage_fte"),
-        F.round(F.sum("surplus_fte"), 2).alias("surplus_fte"),
+        F.round(F.sum("shortage_fte"), 5).alias("shortage_fte"),
+        F.round(F.sum("surplus_fte"), 5).alias("surplus_fte"),
     )
 
 
 @query(
     "short_units_next_period",
-    f"WITH {_XWALK}, {_POSITION}, {_AHEAD} SELECT department, shift, round(required_fte - available_fte, 4) AS shortage_fte FROM ah WHERE seq = 172 AND required_fte > available_fte",
+    f"WITH {_XWALK}, {_POSITION}, {_AHEAD} SELECT department, shift, round(required_fte - available_fte, 6) AS shortage_fte FROM ah WHERE seq = 172 AND required_fte > available_fte",
     _POS_USES,
 )
 def _(t):
     short = N.short_units(N.staffing_forecast(_gold(t), 3), CALENDAR.n)
-    return short.select("department", "shift", F.round("shortage_fte", 4).alias("shortage_fte"))
+    return short.select("department", "shift", F.round("shortage_fte", 6).alias("shortage_fte"))
 
 
 @query(
     "net_fte_heatmap",
-    f"WITH {_XWALK}, {_POSITION} SELECT department, " + ", ".join(f"round(sum(net_fte) FILTER (shift = '{s}'), 3) + 0 AS {s}" for s in ("Day", "Eve", "Night", "UNASSIGNED"))
+    f"WITH {_XWALK}, {_POSITION} SELECT department, " + ", ".join(f"round(sum(net_fte) FILTER (shift = '{s}'), 6) + 0 AS {s}" for s in ("Day", "Eve", "Night", "UNASSIGNED"))
     + " FROM pos GROUP BY 1",
     _POS_USES,
 )
 def _(t):
-    total = metrics.Metric("net", {"net__sum": F.col("net_fte")}, F.round(F.col("net__sum"), 3) + F.lit(0.0))
+    total = metrics.Metric("net", {"net__sum": F.col("net_fte")}, F.round(F.col("net__sum"), 6) + F.lit(0.0))
     return metrics.heatmap(_position(t), "department", "shift", ["Day", "Eve", "Night", "UNASSIGNED"], total)
 
 
