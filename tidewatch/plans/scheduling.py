@@ -86,11 +86,16 @@ def provider_facts(
     p = p.withColumn("off_days", F.coalesce("off_days", none)).withColumn("wished_days", F.coalesce("wished_days", none))
     if prefs is not None:
         cells = F.collect_list(F.struct(F.concat_ws("|", "shift_type", "weekday"), "preference_weight"))
-        w = prefs.dropDuplicates([ID, "shift_type", "weekday"]).groupBy(ID).agg(
+        one = prefs.groupBy(ID, "shift_type", "weekday").agg(
+            F.max("preference_weight").alias("preference_weight"),
+            F.max("wants_consecutive").alias("wants_consecutive"),
+            F.min("max_shifts_per_block").alias("max_shifts_per_block"),
+        )
+        w = one.groupBy(ID).agg(
             F.map_from_entries(cells).alias("weights"),
             F.max("wants_consecutive").alias("wants_consecutive"),
             F.min("max_shifts_per_block").alias("own_max_shifts"),
-        )
+        )  # at most one cell per shift and weekday
         p = p.join(w, ID, "left")
     else:
         p = (
@@ -376,7 +381,7 @@ def draft(coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, cloc
         .agg(F.max("required_headcount").alias("required_headcount"))
         .withColumn("block", block.number(F.col("work_date")))
     )
-    blocks = slots.select(*by).distinct()
+    blocks = slots.select(*by).distinct().select(*[F.col(c).alias(c) for c in by])
     people = facts.select(
         "site", ID, "credentials", "off_days", "wished_days", "wants_night_differential", "needs_optin", "night_day_rule",
         "rest_hours", "max_run", "block_max", "weights", "fte", "seniority_years",
