@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,12 +33,17 @@ def linear_forecast(
     steps = F.sequence(F.col("_last") + F.lit(1), F.col("_last") + F.lit(horizon))
     out = fit.withColumn("_sd", sd).withColumn(seq, F.explode(steps))
     at = F.when(line, F.col("_intercept") + F.col("_slope") * F.col(seq)).otherwise(F.col("_last_y"))
+
+    def band(k: float) -> Column:
+        edge = F.greatest(at + F.lit(k) * F.col("_sd"), F.lit(floor))  # greatest() alone would skip a NULL
+        return F.when(F.col("_sd").isNotNull(), edge)
+
     return out.select(
         *keys,
         F.col(seq),
         F.greatest(at, F.lit(floor)).alias("forecast"),
-        F.greatest(at - F.lit(width) * F.col("_sd"), F.lit(floor)).alias("lower"),
-        F.greatest(at + F.lit(width) * F.col("_sd"), F.lit(floor)).alias("upper"),
+        band(-width).alias("lower"),
+        band(width).alias("upper"),
         "n_points",
     )
 
