@@ -3,7 +3,6 @@ import pytest
 from tidewatch.functions.similarity import jaro_winkler_text
 from tidewatch.operators import identity
 from tidewatch.plans import workforce
-from tidewatch.sources.tables import staging
 
 HR = [
     ("E1", "Robert Smith", "ICU"), ("E2", "Ann Lee", "ICU"), ("E3", "Robert Jones", "ED"), ("E4", "Mary Stone", "ED"),
@@ -67,12 +66,6 @@ def test_a_hot_name_makes_no_pairs(spark, rows):
     assert out.count() == 6000 and rows(out.select("match_rule").distinct()) == [("tie",)]
 
 
-def test_staged_and_unstaged_agree(spark, sides, rows):
-    plain = identity.build_crosswalk(*sides)
-    staged = identity.build_crosswalk(*sides, stage=staging(spark, "t"))
-    assert rows(plain) == rows(staged)
-
-
 def test_naive_join_beside_crosswalk(spark, sides, rows):
     hr = spark.createDataFrame([(i, n, d, 0.5) for i, n, d in HR], "employee_id string, worker_name string, department string, fte double")
     tas = spark.createDataFrame(TAS, "tas_worker_id string, worker_name string, department string")

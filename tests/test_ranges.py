@@ -35,8 +35,8 @@ def test_overlap_edges_are_inclusive(spark, rows):
 def test_period_labels(spark, rows):
     cal = ranges.period_calendar(spark, "2024-12-16", 3)
     assert rows(cal, "seq", "pay_period", "start_date", "end_date") == [
-        (0, "2024-PP01", D(2024, 12, 16), D(2024, 12, 29)),
-        (1, "2024-PP02", D(2024, 12, 30), D(2025, 1, 12)),
+        (0, "2024-PP26", D(2024, 12, 16), D(2024, 12, 29)),
+        (1, "2024-PP27", D(2024, 12, 30), D(2025, 1, 12)),
         (2, "2025-PP01", D(2025, 1, 13), D(2025, 1, 26)),
     ]
 

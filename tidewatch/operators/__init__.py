@@ -1 +1 @@
-"""Reusable DataFrame -> DataFrame operators. None of them runs an action."""
+"""Reusable DataFrame -> DataFrame operators. All are lazy but build_crosswalk, which stores each tier."""

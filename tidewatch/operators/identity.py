@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalars import clean_label, clean_name, first_word, fold_nickname, last_word
 from tidewatch.functions.similarity import edit_likeness, jaro_winkler
 from tidewatch.operators.skew import salted_join
+from tidewatch.sources.tables import staging
 
 NAME_KEY = ["dept", "first", "last"]
 
@@ -143,10 +144,11 @@ def build_crosswalk(
     """Tiered matching of two ``people`` tables. Every id of either side is in the result.
 
     Both sides live in one table that gains its match columns tier by tier; a tier looks only at rows
-    still open. ``stage(df, name)`` may write that table and read it back: given one, a lost executor
-    or a later tier never repeats the earlier ones, and the plan of each tier stays short.
+    still open. Each tier reads that table twice, so ``stage(df, name)`` writes it and reads it back
+    (by default in the shared scratch folder): a lost executor or a later tier never repeats the
+    earlier ones. This is the one operator that runs jobs of its own.
     """
-    keep: Stage = stage or (lambda df, name: df)
+    keep: Stage = stage or staging(l.sparkSession, "crosswalk")
     sure, doubt = F.lit(False), F.lit(True)
 
     def close(p: DataFrame, links: DataFrame, method: str, rule: str, conf, needs) -> DataFrame:

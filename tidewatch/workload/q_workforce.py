@@ -86,7 +86,7 @@ _XWALK = (
 
 def _xwalk(t):
     """Each tier's links are written once; later tiers and the leftovers read them back."""
-    return N.crosswalk(t.hr, t.tas, stage=staging(t.spark, "crosswalk"))
+    return N.crosswalk(t.hr, t.tas)
 
 
 @query("identity_crosswalk", f"WITH {_XWALK} SELECT * FROM xw", "hr tas")
