@@ -125,3 +125,24 @@ def test_one_shuffle_for_all_rounds(spark):
     out = match(left(spark, [(1, "s", 0)]), right(spark, [(7, "s", 6)]), rounds=3)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_around_equals_two_single_lookups(spark, rows):
+    rnd = random.Random(7)
+    ls = [(i, rnd.choice(["hot", "hot", "x", None]), rnd.randrange(3000)) for i in range(120)]
+    rs = [(i, rnd.choice(["hot", "x"]), rnd.randrange(3000)) for i in range(90)]
+    out = matching.asof_around(
+        left(spark, ls), right(spark, rs), ["k"], "lt", "rt", {"b": F.col("rid")}, {"a": F.col("rid")},
+        45 * 60, 20 * 60, tie="rid", slice_s=60,
+    )
+    want = {i: (b,) for i, b in brute_asof(ls, rs, True, 45)}
+    want = {i: (*want[i], a) for i, a in brute_asof(ls, rs, False, 20)}
+    assert {i: (b, a) for i, b, a in rows(out, "lid", "b", "a")} == want
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_latest_row_is_limited_before_the_shuffle(spark):
+    from tidewatch.operators.temporal import latest_per_key
+
+    plan = latest_per_key(right(spark, [(1, "a", 0)]), ["k"], ["rt"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")  # printed top down: a limit sits below

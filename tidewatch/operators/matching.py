@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalars import wall_us
 from tidewatch.operators.temporal import DAY_S, same_key
 
+HOUR_S = 3_600
+
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -33,7 +35,7 @@ def interval_match(
     hi_s: int = 3_600,
     rounds: int = 3,
     right_cols: Mapping[str, str] | None = None,
-    slice_s: int | None = None,
+    slice_s: int = HOUR_S,
     keep_right: bool = False,
 ) -> DataFrame:
     """Match each left event to one right event with ``lo_s < right - left <= hi_s``, one-to-one.
@@ -43,7 +45,8 @@ def interval_match(
     event whose nearest partner went to another still finds its next one.
 
     A slice holds copies of all events within ``rounds * hi_s`` of it, which is as far as any decision
-    about its own events can reach. All rounds share one shuffle and one sort.
+    about its own events can reach. All rounds share one shuffle and one sort. A slice is at least
+    ``4 * rounds * hi_s`` wide, so an event is copied 1.5 times on average at most.
 
     Returns every left row once with ``match_id, match_time, gap_s, match_round`` and ``right_cols``
     (source -> new name), NULL where unmatched. ``keep_right`` adds unmatched right rows (left columns
@@ -55,7 +58,7 @@ def interval_match(
         raise ValueError("need rounds >= 1")
     right_cols = dict(right_cols or {})
     reach = rounds * hi_s * 1_000_000
-    width = max(slice_s or DAY_S, 8 * rounds * hi_s) * 1_000_000
+    width = max(slice_s, 4 * rounds * hi_s) * 1_000_000
     shift = lo_s * 1_000_000
     span = (hi_s - lo_s) * 1_000_000
 
@@ -138,7 +141,7 @@ def asof_join(
     direction: str = "backward",
     tolerance_s: int | None = None,
     tie: str | None = None,
-    slice_s: int = DAY_S,
+    slice_s: int | None = None,
 ) -> DataFrame:
     """Per left row, the nearest right row at or before (``backward``) or after (``forward``) it.
 
@@ -160,9 +163,10 @@ def asof_join(
         *on, wall_us(right_time).alias("_us"), F.lit(0).alias("_side"), hit.alias("_hit")
     ).withColumn("_tie", F.col("_hit.tie"))
 
-    width = slice_s * 1_000_000
     if tolerance_s is not None:
-        width = max(slice_s, tolerance_s) * 1_000_000
+        width = max(slice_s or HOUR_S, 2 * tolerance_s) * 1_000_000
+    else:
+        width = (slice_s or DAY_S) * 1_000_000
     slice_of = lambda us: F.floor(us / F.lit(width)).cast("bigint")
     lefts = lefts.withColumn("_slice", slice_of(F.col("_us")))
     if tolerance_s is None:
@@ -199,3 +203,54 @@ def asof_join(
     return near.select(
         *[F.col(c) for c in left.columns], *[F.when(found, F.col(f"_near.{n}")).alias(n) for n in cols]
     )
+
+
+def asof_around(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    left_time: str,
+    right_time: str,
+    before: Mapping[str, Column],
+    after: Mapping[str, Column],
+    before_s: int,
+    after_s: int,
+    tie: str,
+    slice_s: int = HOUR_S,
+) -> DataFrame:
+    """The last right row at or before, and the first one after, in ONE shuffle and ONE sort.
+
+    Same rules as two ``asof_join`` calls. Rights sort before lefts of the same time, so the running
+    last value looks back and the next non-null value looks ahead in the same order.
+    """
+    has_key = F.col(right_time).isNotNull()
+    for k in on:
+        has_key = has_key & F.col(k).isNotNull()
+    parts = {"us": wall_us(right_time), **{f"b_{n}": c for n, c in before.items()}, **{f"a_{n}": c for n, c in after.items()}}
+    width = max(slice_s, 2 * before_s, 2 * after_s) * 1_000_000
+    slice_of = lambda us: F.floor(us / F.lit(width)).cast("bigint")
+    lefts = left.withColumn("_us", wall_us(left_time)).withColumn("_side", F.lit(1))
+    lefts = lefts.withColumn("_slice", slice_of(F.col("_us")))
+    # a right row serves lefts from after_s earlier to before_s later
+    reach = F.sequence(
+        slice_of(F.col("_us") - F.lit(after_s * 1_000_000)), slice_of(F.col("_us") + F.lit(before_s * 1_000_000))
+    )
+    rights = right.where(has_key).select(
+        *on,
+        wall_us(right_time).alias("_us"),
+        F.lit(0).alias("_side"),
+        F.col(tie).alias("_tie"),
+        F.struct(*[c.alias(n) for n, c in parts.items()]).alias("_hit"),
+    ).withColumn("_slice", F.explode(reach))
+    seq = lefts.unionByName(rights, allowMissingColumns=True)
+    over = f"OVER (PARTITION BY {', '.join(_q(k) for k in on)}, _slice ORDER BY _us, _side, _tie"
+    near = seq.withColumn(
+        "_b", F.expr(f"last(_hit) IGNORE NULLS {over} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    ).withColumn("_a", F.expr(f"lead(_hit) IGNORE NULLS {over})")).where("_side = 1")
+    b_ok = F.col("_us") - F.col("_b.us") <= before_s * 1_000_000
+    a_ok = F.col("_a.us") - F.col("_us") <= after_s * 1_000_000
+    return near.select(
+        *[F.col(c) for c in left.columns],
+        *[F.when(b_ok, F.col(f"_b.b_{n}")).alias(n) for n in before],
+        *[F.when(a_ok, F.col(f"_a.a_{n}")).alias(n) for n in after],
+    )

@@ -154,12 +154,13 @@ def consecutive_runs(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str], cols: Mapping[str, str], slice_s: int = 28 * DAY_S
+    df: DataFrame, keys: Sequence[str], time: str, tie: Sequence[str], cols: Mapping[str, str], slice_s: int = DAY_S
 ) -> DataFrame:
     """Add values of the previous row of the same key, ordered by (time, tie).
 
     ``cols`` maps a source column to the new column. The window runs per (key, time slice); the first
     row of a slice takes the last row of the nearest earlier slice from a one-row-per-slice summary.
+    Choose the slice so that a busy key fills many of them and a quiet key has several rows in one.
     """
     cut = F.floor(wall_us(time) / F.lit(slice_s * 1_000_000)).cast("bigint")
     sliced = df.withColumn("_slice", cut).withColumn("_row", F.struct(*[F.col(s).alias(d) for s, d in cols.items()]))
@@ -179,11 +180,17 @@ def with_previous(
 
 
 def previous_gap(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, tie: Sequence[str], extra: Mapping[str, str] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    tie: Sequence[str],
+    extra: Mapping[str, str] | None = None,
+    slice_s: int = DAY_S,
 ) -> DataFrame:
     """Hours between the end of the previous interval and the start of this one."""
     cols = {end: "prev_end", **(extra or {})}
-    out = with_previous(df, keys, start, tie, cols)
+    out = with_previous(df, keys, start, tie, cols, slice_s)
     return out.withColumn("gap_hours", (wall_us(start) - wall_us("prev_end")) / F.lit(3_600_000_000.0))
 
 

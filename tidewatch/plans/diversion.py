@@ -56,15 +56,11 @@ def describe_administrations(
 ) -> DataFrame:
     """Each administration with its ordered dose and the pain scores around it."""
     dosed = mar.join(orders.select("order_id", "dose"), "order_id", "left")
-    before = matching.asof_join(
+    both = matching.asof_around(
         dosed, pain, [pain_key], "admin_time", "documented_time",
-        {"score_before": F.col("score"), "before_time": F.col("documented_time")},
-        "backward", windows.pain_before_s, tie="pain_id",
-    )
-    both = matching.asof_join(
-        before, pain, [pain_key], "admin_time", "documented_time",
-        {"score_after": F.col("score"), "after_time": F.col("documented_time")},
-        "forward", windows.pain_after_s, tie="pain_id",
+        before={"score_before": F.col("score"), "before_time": F.col("documented_time")},
+        after={"score_after": F.col("score"), "after_time": F.col("documented_time")},
+        before_s=windows.pain_before_s, after_s=windows.pain_after_s, tie="pain_id",
     )
     drop = F.col("score_before") - F.col("score_after")
     known = F.col("score_before").isNotNull() & F.col("score_after").isNotNull()

@@ -175,7 +175,8 @@ def enriched_assignments(assignments: DataFrame, facts: DataFrame, clock: Clock
         "end_ts", F.col("start_ts") + F.make_dt_interval(hours=F.lit(clock.hours))
     )
     chained = temporal.previous_gap(
-        timed, [ID], "start_ts", "end_ts", ["assignment_id"], {"shift_type": "prev_shift", "work_date": "prev_date"}
+        timed, [ID], "start_ts", "end_ts", ["assignment_id"], {"shift_type": "prev_shift", "work_date": "prev_date"},
+        slice_s=28 * temporal.DAY_S,  # a provider has about one shift a day
     )
     own = facts.select(
         ID, "credentials", "off_days", "rest_hours", "needs_optin", "night_day_rule", "wants_night_differential"
@@ -390,7 +391,10 @@ def draft(coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, cloc
     def fill(slot_rows: pd.DataFrame, staff_rows: pd.DataFrame) -> pd.DataFrame:
         return _fill(slot_rows, staff_rows, run_id, clock)
 
-    return slots.groupBy(*by).cogroup(people.groupBy(*by)).applyInPandas(fill, DRAFT_SCHEMA)
+    # The groups are few bytes but much work: an explicit number keeps small partitions from being merged.
+    n = int(coverage.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = slots.repartition(n, *by).groupBy(*by)
+    return spread.cogroup(people.repartition(n, *by).groupBy(*by)).applyInPandas(fill, DRAFT_SCHEMA)
 
 
 def draft_as_assignments(drafted: DataFrame) -> DataFrame:
