@@ -192,7 +192,7 @@ def build_crosswalk(
     p = keep(close(p, best, "FUZZY", "one_edit", F.col("score"), unsure), "edit")
 
     alike = unique_links(still_open(p).withColumn("sound", F.soundex("last")), ["dept", "first", "sound"])
-    p = keep(close(p, alike, "FUZZY", "same_sound", F.lit(accept), doubt), "sound")
+    p = close(p, alike, "FUZZY", "same_sound", F.lit(accept), doubt)
     p = close(p, unique_links(still_open(p), ["dept", "first"]), "FUZZY", "same_first_name", F.lit(0.5), doubt)
     p = keep(p, "first")
 

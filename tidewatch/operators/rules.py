@@ -80,20 +80,18 @@ def typed_rules(rules: DataFrame, flag_types: Sequence[str]) -> DataFrame:
     return rules.withColumn("value", value).withColumn("bad_value", value.isNull())
 
 
-def resolve_rules(
-    rules: DataFrame,
-    entities: DataFrame,
-    entity: str,
-    scope: str,
-    strict_max: Sequence[str] = ("max_consecutive", "max_shifts_per_block"),
-    flag_types: Sequence[str] = ("no_night_then_day", "night_differential"),
+STRICT_MAX = ("max_consecutive", "max_shifts_per_block")
+FLAG_TYPES = ("no_night_then_day", "night_differential")
+
+
+def _applicable(
+    rules: DataFrame, entities: DataFrame, entity: str, scope: str, strict_max: Sequence[str], flag_types: Sequence[str]
 ) -> DataFrame:
-    """The rule in force per entity and rule type: own id beats its scope group beats ``all``.
+    """Every usable rule an entity falls under, with its order of precedence as one struct.
 
-    Among rules of equal scope the strictest wins: the smallest value of a maximum, the largest of a
-    minimum or switch. Each entity asks for its three scope keys, so this is one equi join.
+    Each entity asks for its three scope keys (own id, group, ``all``), so this is one equi join; the
+    rule table is small enough for Spark to broadcast by its measured size.
     """
-    typed = typed_rules(rules, flag_types)
     keys = F.array(
         F.struct(F.lit(1).alias("rank"), F.lit("entity").alias("scope_used"), F.col(entity).cast("string").alias("key")),
         F.struct(F.lit(2).alias("rank"), F.lit("group").alias("scope_used"), F.col(scope).alias("key")),
@@ -102,19 +100,43 @@ def resolve_rules(
     asked = entities.select(F.col(entity), F.explode(keys).alias("_s")).select(
         entity, F.col("_s.rank"), F.col("_s.scope_used"), F.col("_s.key").alias("applies_to")
     )
-    usable = typed.where(~F.col("bad_value")).select("rule_id", "rule_type", "value", "applies_to")
+    usable = typed_rules(rules, flag_types).where(~F.col("bad_value")).select("rule_id", "rule_type", "value", "applies_to")
     strictness = F.when(F.col("rule_type").isin(*strict_max), F.col("value")).otherwise(-F.col("value"))
-    return (
-        asked.join(usable, "applies_to")
-        .groupBy(entity, "rule_type")
-        .agg(F.min(F.struct("rank", strictness.alias("strictness"), "rule_id", "value", "scope_used")).alias("_r"))
-        .select(entity, "rule_type", "_r.rule_id", "_r.value", "_r.scope_used")
-    )
+    order = F.struct("rank", strictness.alias("strictness"), "rule_id", "value", "scope_used")
+    return asked.join(usable, "applies_to").select(entity, "rule_type", order.alias("_r"))
 
 
-def rules_by_entity(resolved: DataFrame, entity: str, types: Sequence[str]) -> DataFrame:
-    """One column per rule type (listed values, so no extra pass to find them)."""
-    return resolved.groupBy(entity).pivot("rule_type", list(types)).agg(F.first("value"))
+def resolve_rules(
+    rules: DataFrame,
+    entities: DataFrame,
+    entity: str,
+    scope: str,
+    strict_max: Sequence[str] = STRICT_MAX,
+    flag_types: Sequence[str] = FLAG_TYPES,
+) -> DataFrame:
+    """The rule in force per entity and rule type: own id beats its scope group beats ``all``.
+
+    Among rules of equal scope the strictest wins: the smallest value of a maximum, the largest of a
+    minimum or switch.
+    """
+    found = _applicable(rules, entities, entity, scope, strict_max, flag_types)
+    best = found.groupBy(entity, "rule_type").agg(F.min("_r").alias("_r"))
+    return best.select(entity, "rule_type", "_r.rule_id", "_r.value", "_r.scope_used")
+
+
+def rule_values(
+    rules: DataFrame,
+    entities: DataFrame,
+    entity: str,
+    scope: str,
+    types: Sequence[str],
+    strict_max: Sequence[str] = STRICT_MAX,
+    flag_types: Sequence[str] = FLAG_TYPES,
+) -> DataFrame:
+    """The same rules as one row per entity with a column per listed type: one aggregate, no pivot."""
+    found = _applicable(rules, entities, entity, scope, strict_max, flag_types)
+    best = [F.min(F.when(F.col("rule_type") == t, F.col("_r")))["value"].alias(t) for t in types]
+    return found.groupBy(entity).agg(*best)
 
 
 def narrative(df: DataFrame, parts: Sequence[tuple[Column, Column]], out: str = "narrative") -> DataFrame:

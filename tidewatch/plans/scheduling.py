@@ -77,8 +77,8 @@ def provider_facts(
     providers: DataFrame, rule_table: DataFrame, pto: DataFrame, prefs: DataFrame | None, block: Block
 ) -> DataFrame:
     """One row per provider: limits in force, days off, weights by shift and weekday."""
-    resolved = rules.resolve_rules(rule_table, providers, ID, "service_line")
-    limits = rules.rules_by_entity(resolved, ID, RULE_TYPES).withColumnRenamed("min_rest_hours", "rule_min_rest")
+    limits = rules.rule_values(rule_table, providers, ID, "service_line", RULE_TYPES)
+    limits = limits.withColumnRenamed("min_rest_hours", "rule_min_rest")
     p = providers.join(limits, ID, "left")
     p = p.join(days_off(pto, "approved", block, "off_days"), ID, "left")
     p = p.join(days_off(pto, "requested", block, "wished_days"), ID, "left")

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators.ranges import PeriodCalendar
-from tidewatch.sources.tables import rows_to_frame
 
 AS_OF_ASSETS = "2000-01-01"
 AS_OF_LABS = "2001-08-01"
@@ -536,11 +535,9 @@ RULE_ROWS = [
 ]
 
 
-@shape(
-    "rul",
-    "SELECT * FROM (VALUES "
-    + ", ".join(str(r) for r in RULE_ROWS)
-    + ") AS r(rule_id, rule_type, param_value, applies_to)",
-)
+_RULE_VALUES = ", ".join(str(r) for r in RULE_ROWS)
+
+
+@shape("rul", f"SELECT * FROM (VALUES {_RULE_VALUES}) AS r(rule_id, rule_type, param_value, applies_to)")
 def _rul(t) -> DataFrame:
-    return rows_to_frame(t.spark, RULE_ROWS, "rule_id string, rule_type string, param_value string, applies_to string")
+    return t.spark.sql(f"SELECT * FROM VALUES {_RULE_VALUES} AS r(rule_id, rule_type, param_value, applies_to)")
