@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+import weakref
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_SHIPPED: weakref.WeakSet = weakref.WeakSet()
 
 
 def local_session(cpus: int = 8, app: str = "tidewatch", memory: str = "8g") -> SparkSession:
@@ -36,7 +39,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="tidewatch-")
     spark.conf.set(CHECKPOINT_CONF, folder)
@@ -45,3 +49,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per session, so functions that run there can import it.
+
+    Spark serves the archive from the driver; executors need no folder in common for it.
+    """
+    if spark.sparkContext in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidewatch-ship-")
+    archive = shutil.make_archive(
+        os.path.join(folder, "tidewatch"), "zip", root_dir=os.path.dirname(here), base_dir=os.path.basename(here)
+    )
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(spark.sparkContext)
