@@ -5,13 +5,18 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, chat, token_store
+from tidewatch.llm import bpe, chat, packing, pii, quality_classifier, quality_rules, substring, token_store, vector_dedup
 from tidewatch.llm.common import table
 from tidewatch.llm.word_ids import default_vocabulary
 from tidewatch.session import scratch_path
 
 
+def op1_packing(spark: SparkSession, root: str) -> DataFrame:
+    return packing.pack(table(spark, root, "documents"), default_vocabulary())
+
+
 def op2_token_store(spark: SparkSession, root: str) -> DataFrame:
     base = scratch_path(spark, f"token-store-{uuid.uuid4().hex[:12]}")
     token_store.write_store(table(spark, root, "documents"), base, default_vocabulary())
@@ -52,10 +57,68 @@ def op5_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     return bpe.round_trip(table(spark, root, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_vector_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, root, "embeddings"))
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e,
+         embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.ok AND b.ok AND list_cosine_similarity(a.e, b.e) >= 0.95
+), links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, low.component_id, v.vec_id = low.component_id AS kept
+FROM v JOIN low ON low.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+"""
+
+
+def op7_repeated_passages(spark: SparkSession, root: str) -> DataFrame:
+    """One row per passage that an earlier document has too, with that document."""
+    found = substring.passages(table(spark, root, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "start", "end", "n_words", F.col("first_id").alias("first_doc_id"), "first_start_word", "agreement"
+    )
+
+
+def op8_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    trusted = table(spark, root, "labels").where("quality = 1")
+    return quality_rules.apply_rules(table(spark, root, "documents"), trusted)
+
+
+def op9_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    model = quality_classifier.train(docs, table(spark, root, "labels"))
+    scored = quality_classifier.score(docs, model)
+    return scored.select(
+        "doc_id",
+        quality_classifier.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_personal_data(spark: SparkSession, root: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, root, "documents")))
+
+
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_token_store": op2_token_store,
     "op3_chat_format": op3_chat_format,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_vector_dedup": op6_vector_dedup,
+    "op7_repeated_passages": op7_repeated_passages,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_personal_data": op10_personal_data,
 }
 
-ORACLES = {"op3_chat_format": OP3_SQL}
+ORACLES = {"op3_chat_format": OP3_SQL, "op6_vector_dedup": OP6_SQL}
