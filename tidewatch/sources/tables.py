@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,10 +62,29 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staging(spark: SparkSession, label: str) -> Callable[[DataFrame, str], DataFrame]:
-    """A ``stage(df, name)`` hook that keeps intermediate tables in the shared scratch folder."""
-    base = scratch_path(spark, f"{label}-{uuid.uuid4().hex[:12]}")
-    return lambda df, name: materialize(df, os.path.join(base, name))
+class Staging:
+    """A ``stage(df, name)`` hook that keeps intermediate tables in one new folder of the shared scratch folder.
+
+    ``drop`` removes tables once what was made from them is stored; what a returned frame still reads stays until the
+    cluster clears its checkpoint folder.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.base = scratch_path(spark, f"{label}-{uuid.uuid4().hex[:12]}")
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, os.path.join(self.base, name))
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(os.path.join(self.base, name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def staging(spark: SparkSession, label: str) -> Staging:
+    return Staging(spark, label)
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
