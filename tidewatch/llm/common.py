@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.session import ship_package
-from tidewatch.sources.tables import read_raw, staging
+from tidewatch.sources.tables import Staging, read_raw, staging
 
 #: Text bytes that one numpy step works on (a longer text is one step of its own).
 STEP_BYTES = 2 << 20
-Stage = Callable[[DataFrame, str], DataFrame]
+Stage = Staging
 
 
 def stage_for(spark: SparkSession, label: str) -> Stage:
@@ -156,6 +156,7 @@ def components(links: DataFrame, stage: Stage, label: str) -> DataFrame:
         near = far.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         nxt = near.union(least.select("a", F.col("m").alias("b"))).distinct()
         cur = stage(nxt, f"{label}-{n}")
+        stage.drop(f"{label}-{n - 1}")
     roots = cur.select(F.col("b").alias("v")).distinct()
     return cur.select(F.col("a").alias("v"), F.col("b").alias("component")).union(
         roots.select("v", F.col("v").alias("component"))

@@ -236,14 +236,19 @@ def cut_out(text: str, spans: list[Span]) -> str:
 def redact(docs: DataFrame, text: str = "text", stage: Stage | None = None) -> DataFrame:
     """The documents with every found span replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>`` or ``<PHONE>``.
 
-    All columns stay. Base spans need no shuffle; a text is changed in the pass that finds them again, and added
-    spans are found by looking up the text's own contexts, joined by a row number of the stored input.
+    All columns stay, and so do null texts. Spans depend on the text alone, so rows are joined to them by its hash and
+    length; a text without any span is not changed.
     """
     stage = stage or stage_for(docs.sparkSession, "redact")
-    rows = stage(docs.withColumn("_row_", F.monotonically_increasing_id()), "rows")
-    found = find(rows, "_row_", text, stage).where(F.size("spans") > 0).select("_row_", F.col("spans").alias("_spans_"))
+    name = F.struct(F.xxhash64(text).alias("h"), F.length(text).alias("n"))
+    texts = docs.where(F.col(text).isNotNull()).select(name.alias("_key_"), F.col(text).alias("_text_"))
+    found = find(texts, "_key_", "_text_", stage).where(F.size("spans") > 0).dropDuplicates(["_key_"])
     names = docs.columns
-    joined = rows.join(found, "_row_", "left").select(F.col(text).alias("_text_"), "_spans_", *[F.col(c) for c in names])
+    joined = (
+        docs.withColumn("_key_", name)
+        .join(stage(found.select("_key_", F.col("spans").alias("_spans_")), "spans"), "_key_", "left")
+        .select(F.col(text).alias("_text_"), "_spans_", *names)
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,7 @@ BUCKETS = 1 << 16
 #: Counts added to every bucket of both multinomials.
 SMOOTH = 2.0
 #: A document stays when its mean log ratio per gram is at least this.
-LEAST_RATIO = -0.08
+LEAST_RATIO = -0.4
 MIN_WORDS, MAX_REPEAT_PERCENT, SPAN = 20, 30, 8
 
 

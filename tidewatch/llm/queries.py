@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, chat, packing, pii, quality_classifier, quality_rules, substring, token_store, vector_dedup
+from tidewatch.llm import bpe, chat, packing, pii, quality_classifier, quality_rules, substring, token_store, trie_join, vector_dedup
 from tidewatch.llm.common import table
 from tidewatch.llm.word_ids import default_vocabulary
 from tidewatch.session import scratch_path
@@ -50,6 +50,33 @@ FROM s GROUP BY conv_id
 """
 
 
+def op4_trie_join(spark: SparkSession, root: str) -> DataFrame:
+    return trie_join.groups(table(spark, root, "documents"), words=4, percent=85)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE
+    WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2),
+      lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3]))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+pairs AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, low.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN low ON low.a = d.doc_id
+"""
+
+
 def op5_byte_bpe(spark: SparkSession, root: str) -> DataFrame:
     import public_tokenizers
 
@@ -113,6 +140,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_store": op2_token_store,
     "op3_chat_format": op3_chat_format,
+    "op4_trie_join": op4_trie_join,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_vector_dedup": op6_vector_dedup,
     "op7_repeated_passages": op7_repeated_passages,
@@ -121,4 +149,4 @@ QUERIES = {
     "op10_personal_data": op10_personal_data,
 }
 
-ORACLES = {"op3_chat_format": OP3_SQL, "op6_vector_dedup": OP6_SQL}
+ORACLES = {"op3_chat_format": OP3_SQL, "op4_trie_join": OP4_SQL, "op6_vector_dedup": OP6_SQL}
