@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Distinct words a task keeps; beyond that the table starts anew (a memory bound, results do not depend on it).
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_500_000
 
 
 class WordEncoder:
@@ -25,24 +25,41 @@ class WordEncoder:
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
+        self.signs = {"": b""}
+        for sign in ",.":
+            ids = self.model.encode(sign, add_special_tokens=False).ids
+            self.signs[sign] = np.asarray(ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (null: none)."""
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known = {"": b""}
-        new: set[str] = set()
-        for words in cut:
-            new.update(words)
-        missing = [w for w in new if w not in self.known]
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
+        missing = set().union(*cut).difference(self.known)
+        # "Word," is the pieces "word" and ",": most words with a sign behind need no call of the library.
+        stems = {w: _stem(w) for w in missing}
+        new = list({s for s, _ in stems.values()}.difference(self.known))
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
             for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        for w, (stem, sign) in stems.items():
+            self.known[w] = self.known[stem] + self.signs[sign]
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
 
+def _stem(word: str) -> tuple[str, str]:
+    """A word as (stem, sign): plain ASCII letters lose capitals and one comma or full stop behind them."""
+    if word[-1] in ",.":
+        plain = word[:-1]
+        if plain.isascii() and plain.isalpha():
+            return plain.lower(), word[-1]
+    elif word.isascii() and word.isalpha():
+        return word.lower(), ""
+    return word, ""
+
+
 _MADE: dict[str, WordEncoder] = {}
 
 
@@ -59,6 +76,12 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def id_limit(path: str, end_id: int | None) -> int:
+    """One more than the largest id that can come."""
+    known = encoder(path).model.get_vocab(with_added_tokens=True).values()
+    return max([*known, end_id or 0]) + 1
+
+
 def id_batches(path: str, end_id: int | None) -> Callable[[list[str | None]], list[bytes]]:
     """texts -> id payloads, each followed by the end id where one is given."""
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
