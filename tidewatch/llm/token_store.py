@@ -1,7 +1,7 @@
 """Token ids as raw binary shards with a minimal perfect hash index for keyed access.
 
-A store is a folder: ``manifest.json`` and, per shard, ``<n>.ids`` (little-endian unsigned 32-bit ids, documents one
-after another in ascending id order), ``<n>.idx`` (the index) and ``<n>.keys`` (document ids in file order). The index
+A store is a folder: ``manifest.json`` and, per shard, ``<n>.ids`` (little-endian unsigned ids of 16 bits where the
+vocabulary allows it, else of 32; documents one after another in ascending id order), ``<n>.idx`` (the index) and ``<n>.keys`` (document ids in file order). The index
 maps a key to (fingerprint, first id, number of ids) without storing keys: a few bit tests give the slot, the stored
 fingerprint tells a foreign key. Shards cover ascending id ranges, so the manifest names the shard of an id.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import files
 from tidewatch.llm.common import ODD, mix
-from tidewatch.llm.word_ids import id_batches
+from tidewatch.llm.word_ids import id_batches, id_limit
 from tidewatch.session import ship_package
 
 MAGIC = b"TWMPH001"
@@ -145,6 +145,7 @@ def write_store(
     ship_package(spark)
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     encode = id_batches(vocabulary, end_id)
+    width = 2 if id_limit(vocabulary, end_id) <= 1 << 16 else 4
     tie = F.xxhash64(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +159,7 @@ def write_store(
                 for at in range(0, batch.num_rows, 256):
                     coded = encode(batch.column(1).slice(at, 256).to_pylist())
                     sizes.extend(len(c) // 4 for c in coded)
-                    yield b"".join(coded)
+                    yield np.frombuffer(b"".join(coded), "<u4").astype(f"<u{width}").tobytes()
 
         parts = payload()
         first = next(parts, None)
@@ -170,12 +171,12 @@ def write_store(
         files.write_whole(base, f"{shard}.idx", [pack_index(_key(own, null, _nth(own, null)), begin, size)])
         files.write_whole(base, f"{shard}.keys", [own.astype("<i8").tobytes(), null.astype(np.uint8).tobytes()])
         some = own[~null]
-        row = {"shard": shard, "docs": len(own), "ids": int(size.sum()), "nulls": int(null.sum())}
+        row = {"shard": shard, "docs": len(own), "ids": int(size.sum()), "width": width, "nulls": int(null.sum())}
         row |= {"low": int(some[0]) if len(some) else None, "high": int(some[-1]) if len(some) else None}
         yield pa.RecordBatch.from_pylist([row], schema=pa.schema([(k, pa.int64()) for k in row]))
 
     ranged = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).repartitionByRange(n, "id", tie)
-    schema = "shard bigint, docs bigint, ids bigint, nulls bigint, low bigint, high bigint"
+    schema = "shard bigint, docs bigint, ids bigint, width bigint, nulls bigint, low bigint, high bigint"
     found = ranged.sortWithinPartitions("id", tie, "text").mapInArrow(run, schema).collect()  # one row per shard
     manifest, start = [], 0
     for row in sorted((r.asDict() for r in found), key=lambda r: r["shard"]):
@@ -192,11 +193,11 @@ def read_manifest(base: str) -> list[dict]:
 def read_store(spark: SparkSession, base: str) -> DataFrame:
     """Every document of a store, found through its index: (doc_id, start, n_tokens, ids_crc32, shard).
 
-    One task per shard; a shard's payload is read in ranges of a few MB.
+    One task per shard, which holds the shard's payload; the number of shards bounds it.
     """
     ship_package(spark)
-    rows = [(r["shard"], r["start"]) for r in read_manifest(base)]
-    shards = spark.createDataFrame(rows, "shard bigint, start bigint").repartition(max(1, len(rows)), "shard")
+    rows = [(r["shard"], r["start"], r["width"]) for r in read_manifest(base)]
+    shards = spark.createDataFrame(rows, "shard bigint, start bigint, width bigint").repartition(max(1, len(rows)), "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,8 +208,8 @@ def read_store(spark: SparkSession, base: str) -> DataFrame:
                 found, begin, count = Index(files.read_whole(base, f"{row['shard']}.idx")).find(_key(ids, nulls, _nth(ids, nulls)))
                 if not found.all():
                     raise ValueError(f"shard {row['shard']}: a key is missing in the index")
-                payload = memoryview(files.read_whole(base, f"{row['shard']}.ids"))
-                crc = [zlib.crc32(payload[4 * b : 4 * (b + c)]) for b, c in zip(begin.tolist(), count.tolist(), strict=True)]
+                payload = np.frombuffer(files.read_whole(base, f"{row['shard']}.ids"), f"<u{row['width']}")
+                crc = [zlib.crc32(payload[b : b + c].astype("<u4")) for b, c in zip(begin.tolist(), count.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids, pa.int64(), mask=nulls),
@@ -244,6 +245,8 @@ class Reader:
                 found, begin, count = self.known[shard].find(key)
                 if not found[0]:
                     break
-                out.append(np.frombuffer(files.read_range(self.base, f"{shard}.ids", 4 * int(begin[0]), 4 * int(count[0])), "<u4"))
+                wide = row["width"]
+                raw = files.read_range(self.base, f"{shard}.ids", wide * int(begin[0]), wide * int(count[0]))
+                out.append(np.frombuffer(raw, f"<u{wide}").astype("<u4"))
                 nth += 1
         return out
