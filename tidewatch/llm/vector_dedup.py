@@ -93,8 +93,8 @@ def link_tiles(a: Tile, b: Tile, same: bool, limit: float, step: int = 512) -> t
         i, j = i[linked], j[linked]
         to_a += np.bincount(i, weights=b.weights[j], minlength=m).astype(np.int64)
         to_b += np.bincount(j, weights=a.weights[i], minlength=n).astype(np.int64)
-        begins = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1]))) if len(i) else []
-        for lo, hi in zip(begins, [*begins[1:], len(i)], strict=True):
+        begins = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))[: len(i)]
+        for lo, hi in zip(begins, [*begins[1:], len(i)][: len(begins)], strict=True):
             found = np.unique(np.append(label[j[lo:hi] + shift], label[i[lo]]))
             if len(found) > 1:
                 label[np.isin(label, found)] = found[0]
