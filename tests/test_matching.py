@@ -32,8 +32,8 @@ def test_nearest_takes_the_later_dispense(spark, rows):
 
 def test_second_round_serves_the_left_over(spark, rows):
     l, r = left(spark, [(1, "s", 0), (2, "s", 5)]), right(spark, [(7, "s", 6), (8, "s", 8)])
-    assert rows(match(l, r), "lid", "match_id", "match_round") == [(1, 8, 2), (2, 7, 1)]
-    assert rows(match(l, r, rounds=1), "lid", "match_id") == [(1, None), (2, 7)]
+    assert rows(match(l, r), "lid", "match_id") == [(1, 8), (2, 7)]
+    assert rows(match(l, r, nearest_only=True), "lid", "match_id") == [(1, None), (2, 7)]
 
 
 def test_window_edges(spark, rows):
@@ -57,9 +57,10 @@ def test_bad_bounds(spark):
         match(left(spark, []), right(spark, []), lo_s=10, hi_s=10)
 
 
-def brute_rounds(ls, rs, hi, rounds):
+def brute_match(ls, rs, hi):
+    """Mutually nearest pairs are taken away until none is left."""
     got, ls, rs = {}, list(ls), list(rs)
-    for n in range(1, rounds + 1):
+    while True:
         def best_r(l):
             c = [(r[2] - l[2], r[0]) for r in rs if r[1] == l[1] and 0 < r[2] - l[2] <= hi]
             return min(c)[1] if c else None
@@ -68,26 +69,33 @@ def brute_rounds(ls, rs, hi, rounds):
             c = [(r[2] - l[2], l[0]) for l in ls if r[1] == l[1] and 0 < r[2] - l[2] <= hi]
             return min(c)[1] if c else None
 
-        pairs = [(l, r) for l in ls for r in rs if best_r(l) == r[0] and best_l(r) == l[0] and l[1] == r[1]]
-        for l, r in pairs:
-            got[l[0]] = (r[0], n)
-        ls = [l for l in ls if l[0] not in {p[0][0] for p in pairs}]
-        rs = [r for r in rs if r[0] not in {p[1][0] for p in pairs}]
-    return got
+        pairs = [(l, r) for l in ls for r in rs if l[1] == r[1] and best_r(l) == r[0] and best_l(r) == l[0]]
+        if not pairs:
+            return got
+        got |= {l[0]: r[0] for l, r in pairs}
+        ls = [l for l in ls if l[0] not in got]
+        rs = [r for r in rs if r[0] not in set(got.values())]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_rounds_equal_brute_force_with_a_hot_key(spark, rows, seed):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_match_equals_brute_force_with_a_hot_key(spark, rows, seed):
     rnd = random.Random(seed)
     key = lambda: "hot" if rnd.random() < 0.4 else f"k{rnd.randrange(4)}"
-    ls = [(i, key(), rnd.randrange(6000)) for i in range(90)]
-    rs = [(i, key(), rnd.randrange(6000)) for i in range(90)]
-    want = brute_rounds(ls, rs, 90, 3)
+    ls = [(i, key(), rnd.randrange(6000 if seed < 3 else 200)) for i in range(90)]
+    rs = [(i, key(), rnd.randrange(6000 if seed < 3 else 200)) for i in range(90)]
     # narrow slices, so that many decisions reach over a slice edge
-    out = match(left(spark, ls), right(spark, rs), hi_s=90 * 60, rounds=3, slice_s=1)
-    got = {i: (m, n) for i, m, n in rows(out, "lid", "match_id", "match_round") if m is not None}
-    assert got == want
-    assert len({m for m, _ in got.values()}) == len(got)
+    out = match(left(spark, ls), right(spark, rs), hi_s=90 * 60, slice_s=1)
+    got = {i: m for i, m in rows(out, "lid", "match_id") if m is not None}
+    assert got == brute_match(ls, rs, 90)
+    assert len(set(got.values())) == len(got)
+
+
+def test_batch_of_dispenses_then_administrations(spark, rows):
+    """k left events, then k right events: all match, the last dispense with the first administration."""
+    ls = [(100 * k + i, f"k{k}", i) for k in range(1, 51) for i in range(k)]
+    rs = [(100 * k + i, f"k{k}", k + i) for k in range(1, 51) for i in range(k)]
+    out = match(left(spark, ls), right(spark, rs), hi_s=200 * 60)
+    assert dict(rows(out, "lid", "match_id")) == {100 * k + i: 100 * k + k - 1 - i for k in range(1, 51) for i in range(k)}
 
 
 def brute_asof(ls, rs, back, tol):
@@ -121,8 +129,8 @@ def test_asof_keeps_rows_without_key_or_partner(spark, rows):
     assert rows(out, "lid", "hit") == [(1, None), (2, None), (3, 5)]
 
 
-def test_one_shuffle_for_all_rounds(spark):
-    out = match(left(spark, [(1, "s", 0)]), right(spark, [(7, "s", 6)]), rounds=3)
+def test_one_shuffle(spark):
+    out = match(left(spark, [(1, "s", 0)]), right(spark, [(7, "s", 6)]))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 

@@ -33,32 +33,33 @@ def interval_match(
     right_id: str,
     lo_s: int = 0,
     hi_s: int = 3_600,
-    rounds: int = 3,
+    nearest_only: bool = False,
     right_cols: Mapping[str, str] | None = None,
-    slice_s: int = HOUR_S,
+    slice_s: int | None = None,
     keep_right: bool = False,
 ) -> DataFrame:
     """Match each left event to one right event with ``lo_s < right - left <= hi_s``, one-to-one.
 
     A pair is taken when each is the other's nearest partner; in a sequence ordered by time that is a
-    left event directly followed by a right event. Later rounds repeat this over what is left, so an
-    event whose nearest partner went to another still finds its next one.
+    left event directly followed by a right event. What is taken leaves the sequence, and so on until
+    no such pair is left: an event whose nearest partner went to another still finds its next one. That
+    is how brackets match, so a pair is two events of one nesting level that follow each other there:
+    no repetition is needed. ``nearest_only`` stops after the pairs that are each other's nearest.
 
-    A slice holds copies of all events within ``rounds * hi_s`` of it, which is as far as any decision
-    about its own events can reach. All rounds share one shuffle and one sort. A slice is at least
-    ``4 * rounds * hi_s`` wide, so an event is copied 1.5 times on average at most.
+    What a pair is hangs on the events between its two ends only, so a slice with copies of all events
+    within ``hi_s`` of it decides its own events. Two windows share one shuffle. A slice is
+    ``4 * hi_s`` wide (an event is copied 1.5 times on average); for hot keys ``slice_s`` makes it
+    narrower, down to ``hi_s`` (three times).
 
-    Returns every left row once with ``match_id, match_time, gap_s, match_round`` and ``right_cols``
+    Returns every left row once with ``match_id, match_time, gap_s`` and ``right_cols``
     (source -> new name), NULL where unmatched. ``keep_right`` adds unmatched right rows (left columns
     NULL apart from ``on``).
     """
     if lo_s < 0 or hi_s <= lo_s:
         raise ValueError("need 0 <= lo_s < hi_s")
-    if rounds < 1:
-        raise ValueError("need rounds >= 1")
     right_cols = dict(right_cols or {})
-    reach = rounds * hi_s * 1_000_000
-    width = max(slice_s, 4 * rounds * hi_s) * 1_000_000
+    reach = hi_s * 1_000_000
+    width = (4 * hi_s if slice_s is None else max(slice_s, hi_s)) * 1_000_000
     shift = lo_s * 1_000_000
     span = (hi_s - lo_s) * 1_000_000
 
@@ -89,34 +90,26 @@ def interval_match(
         payload.alias("_pay"),
     )
     seq = sliced(lefts).unionByName(sliced(rights), allowMissingColumns=True)
-    seq = seq.withColumn("_m", F.lit(None).cast(rights.schema["_pay"].dataType)).withColumn(
-        "_round", F.lit(None).cast("int")
+    group = f"PARTITION BY {', '.join(_q(k) for k in on)}, _slice"
+    order = "ORDER BY _us, _side, _lid DESC, _rid"
+    if not nearest_only:
+        # The nesting level after a left event and before a right one.
+        rise = F.expr(f"sum(2 * _side - 1) OVER ({group} {order} ROWS UNBOUNDED PRECEDING)")
+        seq = seq.withColumn("_level", F.when(F.col("_side") == 1, rise).otherwise(rise + 1))
+        group += ", _level"
+    seq = (
+        seq.withColumn("_item", F.struct("_side", "_us", "_pay"))
+        .withColumn("_next", F.expr(f"lead(_item) OVER ({group} {order})"))
+        .withColumn("_before", F.expr(f"lag(_item) OVER ({group} {order})"))
     )
-    over = (
-        f"OVER (PARTITION BY {', '.join(_q(k) for k in on)}, _slice "
-        "ORDER BY _us, _side, _lid DESC, _rid)"
-    )
-    for n in range(1, rounds + 1):
-        seq = (
-            seq.withColumn("_item", F.when(F.col("_round").isNull(), F.struct("_side", "_us", "_pay")))
-            .withColumn("_next", F.expr(f"lead(_item) IGNORE NULLS {over}"))
-            .withColumn("_before", F.expr(f"lag(_item) IGNORE NULLS {over}"))
-        )
-        is_open = F.col("_round").isNull()
-        takes = is_open & (F.col("_side") == 1) & (F.col("_next._side") == 0) & (
-            F.col("_next._us") - F.col("_us") <= span
-        )
-        taken = is_open & (F.col("_side") == 0) & (F.col("_before._side") == 1) & (
-            F.col("_us") - F.col("_before._us") <= span
-        )
-        seq = seq.withColumn("_m", F.when(takes, F.col("_next._pay")).otherwise(F.col("_m"))).withColumn(
-            "_round", F.when(takes | taken, F.lit(n)).otherwise(F.col("_round"))
-        )
+    takes = (F.col("_side") == 1) & (F.col("_next._side") == 0) & (F.col("_next._us") - F.col("_us") <= span)
+    taken = (F.col("_side") == 0) & (F.col("_before._side") == 1) & (F.col("_us") - F.col("_before._us") <= span)
+    seq = seq.withColumn("_m", F.when(takes, F.col("_next._pay"))).withColumn("_taken", F.coalesce(taken, F.lit(False)))
     keep = F.col("_slice") == F.col("_home")
     if not keep_right:
         keep = keep & (F.col("_side") == 1)
     else:
-        keep = keep & ((F.col("_side") == 1) | F.col("_round").isNull())
+        keep = keep & ((F.col("_side") == 1) | ~F.col("_taken"))
     m = F.when(F.col("_side") == 0, F.col("_pay")).otherwise(F.col("_m"))
     gap = F.when(F.col("_side") == 1, (wall_us(F.col("_m.at")) - F.col("_us") + F.lit(shift)) / F.lit(1_000_000.0))
     matched = seq.where(keep).select(
@@ -124,7 +117,6 @@ def interval_match(
         m["id"].alias("match_id"),
         m["at"].alias("match_time"),
         gap.alias("gap_s"),
-        F.when(F.col("_side") == 1, F.col("_round")).alias("match_round"),
         *[m[d].alias(d) for d in right_cols.values()],
     )
     rest = left.where(~usable)  # a row without key or time can match nothing, and is still returned

@@ -37,7 +37,6 @@ class Windows:
     min_drop: int = 2
     slow_gap_s: int = 2_700
     dose_tolerance: float = 0.05
-    rounds: int = 3
 
 
 def link_dispenses(
@@ -47,7 +46,7 @@ def link_dispenses(
     dispenses = txn.where(F.col("txn_type") == "dispense")
     return matching.interval_match(
         dispenses, mar, list(on), time, "admin_time", "txn_id", "mar_id",
-        lo_s=0, hi_s=windows.dispense_s, rounds=windows.rounds, right_cols={"admin_amount": "admin_amount"},
+        lo_s=0, hi_s=windows.dispense_s, right_cols={"admin_amount": "admin_amount"},
     ).withColumnRenamed("match_id", "mar_id").withColumnRenamed("match_time", "admin_time")
 
 

@@ -39,6 +39,8 @@ def with_definitions(sql: str, uses: Iterable[str]) -> str:
     body = sql.strip()
     if not heads:
         return body
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {heads}, {body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {heads}, {body[5:]}"
     return f"WITH {heads} {body}"

@@ -7,19 +7,17 @@ from pyspark.sql import functions as F
 from tidewatch.operators import cohort, metrics, rules
 from tidewatch.plans import diversion as D
 from tidewatch.sources.tables import staging
-from tidewatch.workload.q_history import _round_sql
+from tidewatch.workload.q_history import MATCH_SQL
 from tidewatch.workload.registry import query
 
 W = D.Windows(dispense_s=86_400, pain_before_s=86_400, pain_after_s=86_400, slow_gap_s=43_200)
 MIN_PEERS = 10
 SHAPES = "staff txn mar pain risk rx"
 
-# --- the same chain in SQL: pairs in three rounds, pain by ranked joins ---------------
+# --- the same chain in SQL: pairs removed until none is left, pain by ranked joins ---------------
 _LINK = (
-    "p AS (SELECT t.txn_id, m.mar_id, m.admin_time, date_diff('microsecond', t.ts, m.admin_time) AS us FROM txn t JOIN mar m "
-    "ON m.staff_id = t.staff_id AND m.admin_time > t.ts AND date_diff('microsecond', t.ts, m.admin_time) <= 86400000000 WHERE t.txn_type = 'dispense'), "
-    + ", ".join(_round_sql(n) for n in (1, 2, 3))
-    + ", link AS (SELECT t.*, r.mar_id, CAST(r.us AS DOUBLE) / 1000000 AS gap_s FROM txn t LEFT JOIN m3 r ON r.txn_id = t.txn_id WHERE t.txn_type = 'dispense')"
+    MATCH_SQL
+    + ", link AS (SELECT t.*, r.mar_id, CAST(r.us AS DOUBLE) / 1000000 AS gap_s FROM txn t LEFT JOIN matched r ON r.txn_id = t.txn_id WHERE t.txn_type = 'dispense')"
 )
 _ADMIN = (
     "pb AS (SELECT m.mar_id, p.score, row_number() OVER (PARTITION BY m.mar_id ORDER BY p.documented_time DESC, p.pain_id DESC) AS rn "
@@ -89,7 +87,7 @@ def _flags(t):
 
 @query(
     "linked_dispenses",
-    f"WITH {_LINK}, {_ADMIN} SELECT l.txn_id, l.staff_id, l.mar_id, l.gap_s, a.dose, a.dose_ratio, a.score_before, a.score_after FROM link l LEFT JOIN adm a ON a.mar_id = l.mar_id",
+    f"WITH RECURSIVE {_LINK}, {_ADMIN} SELECT l.txn_id, l.staff_id, l.mar_id, l.gap_s, a.dose, a.dose_ratio, a.score_before, a.score_after FROM link l LEFT JOIN adm a ON a.mar_id = l.mar_id",
     SHAPES,
 )
 def _(t):
@@ -115,7 +113,7 @@ def _(t):
 
 @query(
     "staff_month_features",
-    f"WITH {_LINK}, {_ADMIN}, {_FEATURES} SELECT * REPLACE (round(dose_deviation, 6) AS dose_deviation) FROM feat",
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES} SELECT * REPLACE (round(dose_deviation, 6) AS dose_deviation) FROM feat",
     SHAPES,
 )
 def _(t):
@@ -169,17 +167,17 @@ _RULE_FRAMES = {
     **_one_rule(_admin, _administration),
 }
 for _name, _frame in _RULE_FRAMES.items():
-    query(f"flag_{_name}", f"WITH {_LINK}, {_ADMIN} {RULE_SQL[_name]}", SHAPES)(_frame)
+    query(f"flag_{_name}", f"WITH RECURSIVE {_LINK}, {_ADMIN} {RULE_SQL[_name]}", SHAPES)(_frame)
 
 
-@query("all_flags_with_evidence", f"WITH {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT * FROM fl", SHAPES)
+@query("all_flags_with_evidence", f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT * FROM fl", SHAPES)
 def _(t):
     return _flags(t)
 
 
 @query(
     "flag_counts_per_staff",
-    f"WITH {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT entity_id, " + ", ".join(f"count(*) FILTER (rule = '{n}') AS {n}" for n in RULE_SQL) + " FROM fl GROUP BY 1",
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT entity_id, " + ", ".join(f"count(*) FILTER (rule = '{n}') AS {n}" for n in RULE_SQL) + " FROM fl GROUP BY 1",
     SHAPES,
 )
 def _(t):
@@ -198,7 +196,7 @@ def _(t):
 
 @query(
     "peer_scores",
-    f"WITH {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES} SELECT staff_id, period, feature, round(value, 6) AS value, cohort_level, n_peers, round(mu, 6) AS peer_mean, round(sd, 6) AS peer_sd, "
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES} SELECT staff_id, period, feature, round(value, 6) AS value, cohort_level, n_peers, round(mu, 6) AS peer_mean, round(sd, 6) AS peer_sd, "
     "round(z, 4) AS z, const_peers FROM sc",
     SHAPES,
 )
@@ -211,7 +209,7 @@ def _(t):
 
 @query(
     "blended_staff_scores",
-    f"WITH {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES} SELECT staff_id, period, round(mean_positive_z, 4) AS mean_positive_z, round(max_z, 4) AS max_z, n_const_peers, risk_score, "
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES} SELECT staff_id, period, round(mean_positive_z, 4) AS mean_positive_z, round(max_z, 4) AS max_z, n_const_peers, risk_score, "
     "round(blended, 4) AS blended FROM bl",
     SHAPES,
 )
@@ -224,7 +222,7 @@ def _(t):
 
 @query(
     "top_staff_for_review",
-    f"WITH {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES} SELECT staff_id, period, round(blended, 4) AS blended FROM bl ORDER BY bl.blended DESC, staff_id, period LIMIT 10",
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES} SELECT staff_id, period, round(blended, 4) AS blended FROM bl ORDER BY bl.blended DESC, staff_id, period LIMIT 10",
     SHAPES,
 )
 def _(t):
@@ -233,7 +231,7 @@ def _(t):
 
 @query(
     "planted_staff_in_top",
-    f"WITH {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES}, b AS (SELECT staff_id, max(blended) AS s, any_value(is_planted_diverter) AS p FROM bl JOIN staff USING (staff_id) GROUP BY 1), "
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES}, b AS (SELECT staff_id, max(blended) AS s, any_value(is_planted_diverter) AS p FROM bl JOIN staff USING (staff_id) GROUP BY 1), "
     "top AS (SELECT * FROM b ORDER BY s DESC, staff_id LIMIT 10) SELECT count(*) FILTER (p) AS hits, count(*) AS k, (SELECT count(*) FILTER (p) FROM b) AS positives, "
     "count(*) FILTER (p) / count(*)::DOUBLE AS precision_at_k, count(*) FILTER (p) / (SELECT count(*) FILTER (p) FROM b)::DOUBLE AS recall_at_k FROM top",
     SHAPES,
@@ -255,7 +253,7 @@ _COUNTS = f"cnt AS (SELECT entity_id, {', '.join(f'count(*) FILTER (rule = {chr(
 
 @query(
     "staff_narratives",
-    f"WITH {_LINK}, {_ADMIN}, {_ALL_FLAGS}, {_COUNTS} SELECT entity_id, {_TEXT} AS narrative FROM cnt",
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS}, {_COUNTS} SELECT entity_id, {_TEXT} AS narrative FROM cnt",
     SHAPES,
 )
 def _(t):
@@ -264,7 +262,7 @@ def _(t):
 
 @query(
     "staff_report",
-    f"WITH {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES}, f0 AS ({' UNION ALL '.join(RULE_SQL.values())}), "
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES}, f0 AS ({' UNION ALL '.join(RULE_SQL.values())}), "
     "fl AS (SELECT * FROM f0 WHERE entity_id = '8' AND CAST(event_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'), "
     f"{_COUNTS} SELECT c.*, round(s.max_z, 4) AS max_z, round(s.blended, 4) AS blended, s.risk_score, DATE '2024-01-05' AS window_start, DATE '2024-01-25' AS window_end, {_TEXT} AS narrative, "
     "'draft for human review' AS status FROM cnt c LEFT JOIN (SELECT CAST(staff_id AS VARCHAR) AS entity_id, max(max_z) AS max_z, max(blended) AS blended, max(risk_score) AS risk_score FROM bl GROUP BY 1) s USING (entity_id)",
@@ -277,7 +275,7 @@ def _(t):
 
 @query(
     "staff_report_evidence",
-    f"WITH {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT * FROM fl WHERE entity_id = '8' AND CAST(event_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'",
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT * FROM fl WHERE entity_id = '8' AND CAST(event_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'",
     SHAPES,
 )
 def _(t):
@@ -286,7 +284,7 @@ def _(t):
 
 @query(
     "narrative_audit_rows",
-    f"WITH {_LINK}, {_ADMIN}, {_ALL_FLAGS}, {_COUNTS} SELECT 'investigator' AS actor, TIMESTAMP '2024-02-01 00:00:00' AS produced_at, entity_id, sha256({_TEXT}) AS narrative_hash, "
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS}, {_COUNTS} SELECT 'investigator' AS actor, TIMESTAMP '2024-02-01 00:00:00' AS produced_at, entity_id, sha256({_TEXT}) AS narrative_hash, "
     "waste_without_witness AS n_waste, above_ordered_dose AS n_above FROM cnt",
     SHAPES,
 )
@@ -301,7 +299,7 @@ def _(t):
 
 @query(
     "restricted_flag_view",
-    f"WITH {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT rule, sha256(entity_id) AS entity_id, ref_id, event_time, CAST(NULL AS DOUBLE) AS measure FROM fl "
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT rule, sha256(entity_id) AS entity_id, ref_id, event_time, CAST(NULL AS DOUBLE) AS measure FROM fl "
     "WHERE entity_id IN (SELECT CAST(staff_id AS VARCHAR) FROM staff WHERE role = 'RN')",
     SHAPES,
 )

@@ -100,39 +100,39 @@ def _(t):
 def _(t):
     m = matching.interval_match(
         t.txn.where("txn_type = 'dispense'").select("txn_id", "staff_id", "ts"), t.mar,
-        ["staff_id"], "ts", "admin_time", "txn_id", "mar_id", 0, 86_400, rounds=1,
+        ["staff_id"], "ts", "admin_time", "txn_id", "mar_id", 0, 86_400, nearest_only=True,
     )
     return m.select("txn_id", F.col("match_id").alias("mar_id"), F.col("match_time").alias("admin_time"), "gap_s")
 
 
-def _round_sql(n: int) -> str:
-    """Round n of the mutual-nearest match over pairs whose ends are both still free."""
-    free = "p" if n == 1 else (
-        f"(SELECT * FROM p WHERE txn_id NOT IN (SELECT txn_id FROM m{n - 1}) AND mar_id NOT IN (SELECT mar_id FROM m{n - 1}))"
-    )
-    prior = "" if n == 1 else f"SELECT * FROM m{n - 1} UNION ALL "
-    return (
-        f"m{n} AS ({prior}SELECT txn_id, mar_id, admin_time, us, {n} AS match_round FROM (SELECT *, "
-        "row_number() OVER (PARTITION BY txn_id ORDER BY us, mar_id) AS a, row_number() OVER (PARTITION BY mar_id ORDER BY us, txn_id) AS b "
-        f"FROM {free} f) x WHERE a = 1 AND b = 1)"
-    )
+#: The match taken literally: per staff member a list of events, from which neighbouring pairs are removed until none is left.
+_TAKEN = "items[{i}].side = 1 AND items[{i} + 1].side = 0 AND items[{i} + 1].us - items[{i}].us <= 86400000000"
+MATCH_SQL = (
+    "ev AS (SELECT staff_id, 1 AS side, epoch_us(ts) AS us, txn_id AS id FROM txn WHERE txn_type = 'dispense' UNION ALL "
+    "SELECT staff_id, 0, epoch_us(admin_time), mar_id FROM mar), "
+    "seq AS (SELECT staff_id, list({'side': side, 'us': us, 'id': id} ORDER BY us, side, CASE side WHEN 1 THEN -id ELSE id END) AS items "
+    "FROM ev GROUP BY staff_id), "
+    "rest(staff_id, items, pairs) AS (SELECT staff_id, items, CAST([] AS STRUCT(txn_id BIGINT, mar_id BIGINT, us BIGINT)[]) FROM seq UNION ALL "
+    f"SELECT staff_id, list_filter(items, lambda x, i: NOT coalesce({_TAKEN.format(i='i')}, false) AND NOT (i > 1 AND coalesce({_TAKEN.format(i='(i - 1)')}, false))), "
+    f"list_transform(list_filter(range(1, len(items)), lambda i: coalesce({_TAKEN.format(i='i')}, false)), "
+    "lambda i: {'txn_id': items[i].id, 'mar_id': items[i + 1].id, 'us': items[i + 1].us - items[i].us}) "
+    f"FROM rest WHERE len(list_filter(range(1, len(items)), lambda i: coalesce({_TAKEN.format(i='i')}, false))) > 0), "
+    "matched AS (SELECT u.txn_id, u.mar_id, u.us FROM (SELECT unnest(pairs) AS u FROM rest) x)"
+)
 
 
 @query(
-    "dispense_to_administration_in_rounds",
-    "WITH p AS (SELECT t.txn_id, m.mar_id, m.admin_time, date_diff('microsecond', t.ts, m.admin_time) AS us FROM txn t JOIN mar m "
-    "ON m.staff_id = t.staff_id AND m.admin_time > t.ts AND date_diff('microsecond', t.ts, m.admin_time) <= 86400000000 WHERE t.txn_type = 'dispense'), "
-    + ", ".join(_round_sql(n) for n in (1, 2, 3))
-    + " SELECT t.txn_id, r.mar_id, CAST(r.us AS DOUBLE) / 1000000 AS gap_s, r.match_round FROM txn t LEFT JOIN m3 r ON r.txn_id = t.txn_id "
-    "WHERE t.txn_type = 'dispense'",
+    "dispense_to_administration",
+    f"WITH RECURSIVE {MATCH_SQL} SELECT t.txn_id, r.mar_id, CAST(r.us AS DOUBLE) / 1000000 AS gap_s FROM txn t LEFT JOIN matched r "
+    "ON r.txn_id = t.txn_id WHERE t.txn_type = 'dispense'",
     "txn mar",
 )
 def _(t):
     m = matching.interval_match(
         t.txn.where("txn_type = 'dispense'").select("txn_id", "staff_id", "ts"), t.mar,
-        ["staff_id"], "ts", "admin_time", "txn_id", "mar_id", 0, 86_400, rounds=3,
+        ["staff_id"], "ts", "admin_time", "txn_id", "mar_id", 0, 86_400,
     )
-    return m.select("txn_id", F.col("match_id").alias("mar_id"), "gap_s", "match_round")
+    return m.select("txn_id", F.col("match_id").alias("mar_id"), "gap_s")
 
 
 @query(
