@@ -44,7 +44,8 @@ def test_ties_and_leftovers_stay_visible(links):
     by = {k: (r["match_method"], r["match_rule"]) for k, r in links.items()}
     assert by[("E5", None)] == by[("E6", None)] == ("UNMATCHED", "tie")
     assert by[("E7", None)] == by[("E9", None)] == ("UNMATCHED", "none")
-    assert by[(None, "T6")] == by[(None, "T8")] == by[(None, "T5")] == ("UNMATCHED", "none")
+    assert by[(None, "T6")] == by[(None, "T8")] == ("UNMATCHED", "none")
+    assert by[(None, "T5")] == ("UNMATCHED", "tie")  # fits two people of the other side
 
 
 def test_every_id_exactly_once(links):
@@ -71,3 +72,15 @@ def test_naive_join_beside_crosswalk(spark, sides, rows):
     tas = spark.createDataFrame(TAS, "tas_worker_id string, worker_name string, department string")
     out = workforce.naive_vs_reconciled(hr, tas, workforce.crosswalk(hr, tas))
     assert rows(out) == [("crosswalk", 5, 2.5), ("naive id join", 0, 0.0), ("roster", 9, 4.5)]
+
+
+def test_ids_with_several_links_go_to_review_and_none_is_lost(spark):
+    make = lambda rows: identity.people(spark.createDataFrame(rows, "id string, n string, d string"), "id", "n", "d")
+    hr = make([("E1", "Ann Lee", "ICU"), ("E1", "Bea Moss", "ICU"), ("E2", "Cy Young", "ICU"), ("E3", "Di Xu", "ICU"), ("E4", "Ed Fox", "ED")])
+    tas = make([("T1", "Ann Lee", "ICU"), ("T2", "Bea Moss", "ICU"), ("T3", "Cy Young", "ICU"), ("T3", "Di Xu", "ICU"), ("T4", "Ed Fox", "ED")])
+    got = {(r["left_id"], r["right_id"]): (r["match_rule"], r["needs_review"]) for r in identity.build_crosswalk(hr, tas).collect()}
+    several = ("several_links", True)
+    assert got == {
+        ("E4", "T4"): ("same_name", False), ("E1", None): several, (None, "T1"): several, (None, "T2"): several,
+        ("E2", None): several, ("E3", None): several, (None, "T3"): several,
+    }

@@ -141,7 +141,10 @@ def build_crosswalk(
     margin: float = 0.03,
     stage: Stage | None = None,
 ) -> DataFrame:
-    """Tiered matching of two ``people`` tables. Every id of either side is in the result.
+    """Tiered matching of two ``people`` tables. Every id of either side is in the result, in one row.
+
+    A pair is linked when neither end has another link in its tier. Ids with several links are not guessed at: they stand
+    unlinked with the rule ``several_links``, for review, and take no part in later tiers.
 
     Both sides live in one table that gains its match columns tier by tier; a tier looks only at rows
     still open. Each tier reads that table twice, so ``stage(df, name)`` writes it and reads it back
@@ -164,22 +167,26 @@ def build_crosswalk(
                 F.struct(F.lit("r").alias("side"), F.col("id_r").alias("id"), F.col("id_l").alias("other")),
             )
         )
-        taken = links.select(both.alias("_b"), found.alias("_new")).select("_b.side", "_b.id", "_b.other", "_new")
-        # one link per id, should an id carry several names
-        taken = taken.groupBy("side", "id").agg(F.min(F.struct("other", "_new")).alias("_t"))
+        # An id may carry several names. Linked are pairs whose two ends have no other link; all others go to review.
+        pairs = links.groupBy("id_l", "id_r").agg(F.min(found).alias("_new"))
+        alone = (F.count(F.lit(1)).over(W.partitionBy("id_l")) == 1) & (F.count(F.lit(1)).over(W.partitionBy("id_r")) == 1)
+        taken = pairs.withColumn("_clear", alone).select(both.alias("_b"), "_new", "_clear").select("_b.*", "_new", "_clear")
+        taken = taken.groupBy("side", "id").agg(F.min(F.struct("other", "_new")).alias("_t"), F.min("_clear").alias("_clear"))
         return (
             p.join(taken, ["side", "id"], "left")
-            .withColumn("other", F.coalesce("other", "_t.other"))
-            .withColumn("how", F.coalesce("how", "_t._new"))
-            .drop("_t")
+            .withColumn("other", F.coalesce("other", F.when(F.col("_clear"), F.col("_t.other"))))
+            .withColumn("how", F.coalesce("how", F.when(F.col("_clear"), F.col("_t._new"))))
+            .withColumn("several", F.col("several") | F.coalesce(~F.col("_clear"), F.lit(False)))
+            .drop("_t", "_clear")
         )
 
     def still_open(p: DataFrame) -> DataFrame:
-        return p.where(F.col("how").isNull()).drop("how", "other")
+        return p.where(F.col("how").isNull() & ~F.col("several")).drop("how", "other", "several")
 
     kind = "struct<match_method: string, match_rule: string, confidence: double, needs_review: boolean>"
     tagged = l.withColumn("side", F.lit("l")).unionByName(r.withColumn("side", F.lit("r")))
     p = tagged.withColumn("other", F.lit(None).cast("string")).withColumn("how", F.lit(None).cast(kind))
+    p = p.withColumn("several", F.lit(False))
     p = keep(p, "people")
     p = close(p, unique_links(still_open(p).select("side", "id", F.col("id").alias("_same")).distinct(), ["_same"]),
               "EXACT_ID", "same_id", F.lit(1.0), sure)
@@ -196,17 +203,18 @@ def build_crosswalk(
     p = close(p, unique_links(still_open(p), ["dept", "first"]), "FUZZY", "same_first_name", F.lit(0.5), doubt)
     p = keep(p, "first")
 
-    # a name held by several open people of one side is a tie
+    # A name that several open people of either side hold is a tie; only such names are spread before the join.
     free = still_open(p)
-    shared = free.groupBy("side", *NAME_KEY).agg(F.count(F.lit(1)).alias("_own"))
-    ties = salted_join(free, shared, ["side", *NAME_KEY], ["id"]).groupBy("side", "id").agg(
-        F.max(F.coalesce("_own", F.lit(0)) > 1).alias("_tie")
-    )
-    rest = ties.select(
+    held = free.groupBy(*NAME_KEY).agg(
+        F.count_if(F.col("side") == "l").alias("_l"), F.count_if(F.col("side") == "r").alias("_r")
+    ).where("_l > 1 OR _r > 1")
+    ties = salted_join(free, held, NAME_KEY, ["id"]).groupBy("side", "id").agg(F.max(F.col("_l").isNotNull()).alias("_tie"))
+    many = p.where(F.col("how").isNull() & F.col("several")).select("side", "id", F.lit(None).cast("boolean").alias("_tie")).distinct()
+    rest = ties.unionByName(many).select(
         F.when(F.col("side") == "l", F.col("id")).alias("left_id"),
         F.when(F.col("side") == "r", F.col("id")).alias("right_id"),
         F.lit("UNMATCHED").alias("match_method"),
-        F.when(F.col("_tie"), "tie").otherwise("none").alias("match_rule"),
+        F.when(F.col("_tie").isNull(), "several_links").when(F.col("_tie"), "tie").otherwise("none").alias("match_rule"),
         F.lit(0.0).alias("confidence"),
         F.lit(True).alias("needs_review"),
     )

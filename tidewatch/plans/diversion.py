@@ -208,9 +208,14 @@ def peer_scores(feats: DataFrame, staff: DataFrame, min_peers: int = 5, columns:
     )
 
 
-def blended_score(scores: DataFrame, risk: DataFrame, own_weight: float = 0.8) -> DataFrame:
-    """0.8 x mean positive z + 0.2 x outside risk score on 0..1. The outside score alone raises no flag."""
-    positive = F.greatest(F.col("z"), F.lit(0.0))
+def blended_score(scores: DataFrame, risk: DataFrame, own_weight: float = 0.8, const_z: float = 3.0) -> DataFrame:
+    """0.8 x mean positive z + 0.2 x outside risk score on 0..1. The outside score alone raises no flag.
+
+    A feature without a z (no value, too few peers) is left out of the mean. Where all peers agree and a person lies
+    above them there is no z either, but no clearer case: it counts as ``const_z``.
+    """
+    above = F.when(F.col("value") > F.col("peer_mean"), F.lit(const_z)).otherwise(F.lit(0.0))
+    positive = F.when(F.col("const_peers"), above).when(F.col("z").isNotNull(), F.greatest(F.col("z"), F.lit(0.0)))
     g = scores.groupBy("staff_id", "period").agg(
         F.avg(positive).alias("mean_positive_z"),
         F.max("z").alias("max_z"),
@@ -238,11 +243,15 @@ def planted_recall(blended: DataFrame, staff: DataFrame, k: int) -> DataFrame:
 # --- report ---------------------------------------------------------------------
 
 
+RULE_NAMES = [
+    "waste_without_witness", "dispense_without_admin", "pain_not_dropping", "pain_not_documented",
+    "slow_administration", "after_hours", "above_ordered_dose", "override_pull",
+]
+
+
 def rule_counts(flag_table: DataFrame, by: Sequence[str] = ("entity_id",)) -> DataFrame:
     """Fired rules per person, one column per rule (a fixed list)."""
-    names = ["waste_without_witness", "dispense_without_admin", "pain_not_dropping", "pain_not_documented",
-             "slow_administration", "after_hours", "above_ordered_dose", "override_pull"]
-    return flag_table.groupBy(*by).agg(*[F.count_if(F.col("rule") == n).alias(n) for n in names])
+    return flag_table.groupBy(*by).agg(*[F.count_if(F.col("rule") == n).alias(n) for n in RULE_NAMES])
 
 
 def narrative_text() -> Column:
@@ -253,7 +262,9 @@ def narrative_text() -> Column:
             say("waste_without_witness", " waste records carry no witness"),
             say("dispense_without_admin", " dispenses have no administration in the window"),
             say("pain_not_dropping", " administrations were not followed by a lower pain score"),
+            say("pain_not_documented", " administrations lack a pain score before or after"),
             say("slow_administration", " administrations came late after the dispense"),
+            say("after_hours", " dispenses were outside day hours"),
             say("above_ordered_dose", " administrations exceed the ordered dose"),
             say("override_pull", " dispenses were override pulls"),
         ]
@@ -261,21 +272,25 @@ def narrative_text() -> Column:
 
 
 def report(
-    staff_id: str, start: str, end: str, flag_table: DataFrame, blended: DataFrame
+    staff_id: str, start: str, end: str, flag_table: DataFrame, blended: DataFrame, scores: DataFrame
 ) -> DataFrame:
-    """The draft report for one person and window: counts by rule, highest scores, narrative. For a
-    reviewer to confirm; the evidence rows are ``report_evidence``."""
+    """The draft report for one person and window: counts by rule, highest scores and the features with their z of the
+    window's months, narrative. For a reviewer to confirm; the evidence rows are ``report_evidence``."""
     mine = report_evidence(staff_id, start, end, flag_table)
     counts = rule_counts(mine)
-    score = blended.where(F.col("staff_id").cast("string") == staff_id).groupBy(
-        F.col("staff_id").cast("string").alias("entity_id")
-    ).agg(
+    entity = F.col("staff_id").cast("string").alias("entity_id")
+    score = _of_person(staff_id, start, end, blended).groupBy(entity).agg(
         F.max("max_z").alias("max_z"),
         F.max("blended").alias("blended"),
         F.max("risk_score").alias("risk_score"),
     )
+    finding = F.struct("period", "feature", "value", "peer_mean", "z", "const_peers")
+    found = report_scores(staff_id, start, end, scores).groupBy("entity_id").agg(
+        F.sort_array(F.collect_list(finding)).alias("findings")  # features x months of one person
+    )
     return (
         counts.join(score, "entity_id", "left")
+        .join(found, "entity_id", "left")
         .withColumn("window_start", F.lit(start).cast("date"))
         .withColumn("window_end", F.lit(end).cast("date"))
         .withColumn("narrative", narrative_text())
@@ -283,6 +298,18 @@ def report(
     )
 
 
+def _of_person(staff_id: str, start: str, end: str, monthly: DataFrame) -> DataFrame:
+    """Rows of one person in the months that the window touches."""
+    month = lambda day: F.date_format(F.lit(day).cast("date"), "yyyy-MM")
+    return monthly.where((F.col("staff_id").cast("string") == staff_id) & F.col("period").between(month(start), month(end)))
+
+
+def report_scores(staff_id: str, start: str, end: str, scores: DataFrame) -> DataFrame:
+    """The person's features and peer scores in the months of the window."""
+    rows = _of_person(staff_id, start, end, scores)
+    return rows.select(F.col("staff_id").cast("string").alias("entity_id"), "period", "feature", "value", "peer_mean", "z", "const_peers")
+
+
 def report_evidence(staff_id: str, start: str, end: str, flag_table: DataFrame) -> DataFrame:
     day = F.col("event_time").cast("date")
     inside = (day >= F.lit(start).cast("date")) & (day <= F.lit(end).cast("date"))
@@ -300,7 +327,7 @@ def audit_rows(reports: DataFrame, actor: str, at: str) -> DataFrame:
         F.lit(at).cast("timestamp_ntz").alias("produced_at"),
         "entity_id",
         F.sha2("narrative", 256).alias("narrative_hash"),
-        F.to_json(F.struct("waste_without_witness", "dispense_without_admin", "above_ordered_dose")).alias("evidence"),
+        F.to_json(F.struct(*RULE_NAMES)).alias("evidence"),
     )
 
 

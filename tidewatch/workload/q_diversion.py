@@ -55,7 +55,7 @@ _SCORES = (
     "sc AS (SELECT staff_id, period, feature, value, cohort_level, n_peers, mu, CASE WHEN lo = hi THEN 0 ELSE sd END AS sd, CASE WHEN lo < hi AND sd > 0 THEN (value - mu) / sd END AS z, "
     "coalesce(lo = hi AND value <> lo, false) AS const_peers FROM pk), "
     "bl AS (SELECT g.*, r.risk_score, 0.8::DOUBLE * coalesce(mean_positive_z, 0) + 0.2::DOUBLE * coalesce(risk_score, 0) / 100 AS blended FROM (SELECT staff_id, period, "
-    "avg(greatest(coalesce(z, 0), 0)) AS mean_positive_z, max(z) AS max_z, count(*) FILTER (const_peers) AS n_const_peers FROM sc GROUP BY 1, 2) g LEFT JOIN risk r USING (staff_id, period))"
+    "avg(CASE WHEN const_peers THEN CASE WHEN value > mu THEN 3.0::DOUBLE ELSE 0 END WHEN z IS NOT NULL THEN greatest(z, 0) END) AS mean_positive_z, max(z) AS max_z, count(*) FILTER (const_peers) AS n_const_peers FROM sc GROUP BY 1, 2) g LEFT JOIN risk r USING (staff_id, period))"
 )
 
 
@@ -244,7 +244,9 @@ _TEXT = (
     "concat_ws('; ', CASE WHEN waste_without_witness > 0 THEN concat(waste_without_witness, ' waste records carry no witness') END, "
     "CASE WHEN dispense_without_admin > 0 THEN concat(dispense_without_admin, ' dispenses have no administration in the window') END, "
     "CASE WHEN pain_not_dropping > 0 THEN concat(pain_not_dropping, ' administrations were not followed by a lower pain score') END, "
+    "CASE WHEN pain_not_documented > 0 THEN concat(pain_not_documented, ' administrations lack a pain score before or after') END, "
     "CASE WHEN slow_administration > 0 THEN concat(slow_administration, ' administrations came late after the dispense') END, "
+    "CASE WHEN after_hours > 0 THEN concat(after_hours, ' dispenses were outside day hours') END, "
     "CASE WHEN above_ordered_dose > 0 THEN concat(above_ordered_dose, ' administrations exceed the ordered dose') END, "
     "CASE WHEN override_pull > 0 THEN concat(override_pull, ' dispenses were override pulls') END)"
 )
@@ -265,14 +267,26 @@ def _(t):
     f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES}, f0 AS ({' UNION ALL '.join(RULE_SQL.values())}), "
     "fl AS (SELECT * FROM f0 WHERE entity_id = '8' AND CAST(event_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'), "
     f"{_COUNTS} SELECT c.*, round(s.max_z, 4) AS max_z, round(s.blended, 4) AS blended, s.risk_score, DATE '2024-01-05' AS window_start, DATE '2024-01-25' AS window_end, {_TEXT} AS narrative, "
-    "'draft for human review' AS status FROM cnt c LEFT JOIN (SELECT CAST(staff_id AS VARCHAR) AS entity_id, max(max_z) AS max_z, max(blended) AS blended, max(risk_score) AS risk_score FROM bl GROUP BY 1) s USING (entity_id)",
+    "'draft for human review' AS status FROM cnt c LEFT JOIN (SELECT CAST(staff_id AS VARCHAR) AS entity_id, max(max_z) AS max_z, max(blended) AS blended, max(risk_score) AS risk_score FROM bl WHERE period = '2024-01' GROUP BY 1) s USING (entity_id)",
     SHAPES,
 )
 def _(t):
-    r = D.report("8", "2024-01-05", "2024-01-25", _flags(t), _blended(t))
+    scores = _scores(t)
+    r = D.report("8", "2024-01-05", "2024-01-25", _flags(t), D.blended_score(scores, t.risk), scores).drop("findings")
     return r.withColumn("max_z", F.round("max_z", 4)).withColumn("blended", F.round("blended", 4))
 
 
+@query(
+    "staff_report_scores",
+    f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_FEATURES}, {_SCORES} SELECT CAST(staff_id AS VARCHAR) AS entity_id, period, feature, round(value, 6) AS value, "
+    "round(mu, 6) AS peer_mean, round(z, 4) AS z, const_peers FROM sc WHERE staff_id = 8 AND period = '2024-01'",
+    SHAPES,
+)
+def _(t):
+    out = D.report_scores("8", "2024-01-05", "2024-01-25", _scores(t))
+    return out.withColumn("value", F.round("value", 6)).withColumn("peer_mean", F.round("peer_mean", 6)).withColumn("z", F.round("z", 4))
+
+
 @query(
     "staff_report_evidence",
     f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS} SELECT * FROM fl WHERE entity_id = '8' AND CAST(event_time AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'",
@@ -285,16 +299,13 @@ def _(t):
 @query(
     "narrative_audit_rows",
     f"WITH RECURSIVE {_LINK}, {_ADMIN}, {_ALL_FLAGS}, {_COUNTS} SELECT 'investigator' AS actor, TIMESTAMP '2024-02-01 00:00:00' AS produced_at, entity_id, sha256({_TEXT}) AS narrative_hash, "
-    "waste_without_witness AS n_waste, above_ordered_dose AS n_above FROM cnt",
+    f"{', '.join(RULE_SQL)} FROM cnt",
     SHAPES,
 )
 def _(t):
     rows = D.audit_rows(D.narrate_all(_flags(t)), "investigator", "2024-02-01 00:00:00")
-    read = F.from_json("evidence", "waste_without_witness bigint, above_ordered_dose bigint")
-    return rows.withColumn("_e", read).select(
-        "actor", "produced_at", "entity_id", "narrative_hash",
-        F.col("_e.waste_without_witness").alias("n_waste"), F.col("_e.above_ordered_dose").alias("n_above"),
-    )
+    read = F.from_json("evidence", ", ".join(f"{n} bigint" for n in D.RULE_NAMES))
+    return rows.withColumn("_e", read).select("actor", "produced_at", "entity_id", "narrative_hash", "_e.*")
 
 
 @query(

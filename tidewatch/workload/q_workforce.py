@@ -62,7 +62,7 @@ def _names(side: str) -> str:
 _XWALK = (
     f"lp AS ({_people('hr', 'employee_id')}), rp AS ({_people('tas', 'tas_worker_id')}), "
     + _link(1, "lp", "rp", "dept, first, last", "EXACT_NAME", "same_name", "1.0", "false") + ", " + _rest(1, "lp", "rp") + ", "
-    # every pair of one department, compared directly: no join on deletion texts here
+    # names of one department that share a text with one letter taken out
     f"pr AS (SELECT a.dept, a.nm AS x, b.nm AS y, a.n AS nl, b.n AS nr, a.id AS il, b.id AS ir, "
     "round(greatest(jaro_winkler_similarity(a.nm, b.nm), 1 - levenshtein(a.nm, b.nm) / greatest(length(a.nm), length(b.nm))::DOUBLE), 4) AS score "
     f"FROM {_names('l1')} a JOIN {_names('r1')} b ON a.dept = b.dept AND list_has_any(a.cuts, b.cuts)), "
@@ -74,14 +74,15 @@ _XWALK = (
     f"ls AS (SELECT *, {_soundex('last')} AS snd FROM l2), rs AS (SELECT *, {_soundex('last')} AS snd FROM r2), "
     + _link(3, "ls", "rs", "dept, first, snd", "FUZZY", "same_sound", "0.88", "true") + ", " + _rest(3, "l2", "r2") + ", "
     + _link(4, "l3", "r3", "dept, first", "FUZZY", "same_first_name", "0.5", "true") + ", " + _rest(4, "l3", "r3") + ", "
-    "ul AS (SELECT id, max(count(*)) OVER (PARTITION BY id) AS k FROM l4 GROUP BY id), "
-    "lo AS (SELECT id, max(n) > 1 AS tie FROM (SELECT id, count(*) OVER (PARTITION BY dept, first, last) AS n FROM l4) GROUP BY id), "
-    "ro AS (SELECT id, max(n) > 1 AS tie FROM (SELECT id, count(*) OVER (PARTITION BY dept, first, last) AS n FROM r4) GROUP BY id), "
+    "held AS (SELECT dept, first, last, count(*) FILTER (s = 'l') AS nl, count(*) FILTER (s = 'r') AS nr FROM (SELECT 'l' AS s, dept, first, last FROM l4 "
+    "UNION ALL SELECT 'r', dept, first, last FROM r4) GROUP BY ALL), "
+    "lo AS (SELECT id, bool_or(coalesce(nl > 1 OR nr > 1, false)) AS tie FROM l4 LEFT JOIN held USING (dept, first, last) GROUP BY id), "
+    "ro AS (SELECT id, bool_or(coalesce(nl > 1 OR nr > 1, false)) AS tie FROM r4 LEFT JOIN held USING (dept, first, last) GROUP BY id), "
     "al AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3 UNION ALL SELECT * FROM t4 "
     "UNION ALL SELECT id, NULL, 'UNMATCHED', CASE WHEN tie THEN 'tie' ELSE 'none' END, 0, true FROM lo "
     "UNION ALL SELECT NULL, id, 'UNMATCHED', CASE WHEN tie THEN 'tie' ELSE 'none' END, 0, true FROM ro), "
     f"xw AS (SELECT {_KEY} AS employee_key, left_id AS employee_id, right_id AS tas_worker_id, match_method, match_rule, confidence, needs_review FROM al)"
-).replace("ul AS (SELECT id, max(count(*)) OVER (PARTITION BY id) AS k FROM l4 GROUP BY id), ", "")
+)
 
 
 def _xwalk(t):
