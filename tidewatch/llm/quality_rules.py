@@ -23,20 +23,38 @@ MIN_WORDS, MAX_REPEAT_PERCENT, SPAN = 20, 30, 8
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+    body = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, WORD_GAP))
+
+
+def _runs(hashes: str, gap: int) -> Column:
+    """Hashes of each value with the one ``gap`` places on: pairs from single values, fours from pairs, and so on."""
+    n = F.greatest(F.size(hashes) - gap, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 1 + gap, n), lambda a, b: F.xxhash64(a, b))
+
+
+def _apart(text: Column) -> tuple[Column, Column]:
+    """Whether a text holds signs, and its words with runs of signs set apart."""
+    body = F.coalesce(text, F.lit(""))
+    return body.rlike(SIGNS), words_of(F.regexp_replace(body, SIGNS, " $1 "))
+
+
+def _hash(words: Column | str) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def with_base(docs: DataFrame, text: str) -> DataFrame:
-    """Add the base columns. Each step names what the next one uses twice, so nothing is computed per element anew."""
-    step = docs.withColumn("_words", words_of(F.col(text)))
-    step = step.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    step = step.withColumn(
-        "_windows",
-        F.when(
-            F.size("_hashes") >= SPAN,
-            F.transform(F.sequence(F.lit(1), F.size("_hashes") - (SPAN - 1)), lambda i: F.xxhash64(F.slice("_hashes", i, SPAN))),
-        ).otherwise(F.array().cast("array<bigint>")),
-    )
+    """Add the base columns and ``_grams``, the hashes of one and two words of the ratio (texts without signs reuse those of
+    the windows). Each step names what the next one uses twice, so that nothing is computed per element anew."""
+    step = docs.withColumn("_words", words_of(F.col(text))).withColumn("_one", _hash("_words"))
+    step = step.withColumn("_two", _runs("_one", 1)).withColumn("_four", _runs("_two", 2))
+    signs, apart = _apart(F.col(text))
+    step = step.withColumn("_signs", signs).withColumn("_uni", F.when(F.col("_signs"), _hash(apart)).otherwise(F.col("_one")))
+    step = step.withColumn("_grams", F.concat("_uni", F.when(F.col("_signs"), _runs("_uni", 1)).otherwise(F.col("_two"))))
+    # A text that repeats no four words repeats no window of eight.
+    none = F.array().cast("array<bigint>")
+    step = step.withColumn("_hard", F.size("_four") > F.size(F.array_distinct("_four")))
+    step = step.withColumn("_windows", F.when(F.col("_hard"), _runs("_four", 4)).otherwise(none))
     # Only a text that repeats a window is looked at closely: sort the windows, keep those next to an equal one.
     step = step.withColumn("_repeats", F.size("_windows") > F.size(F.array_distinct("_windows")))
     step = step.withColumn(
@@ -63,6 +81,7 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
     step = step.withColumn("_lines", lines)
     step = step.select(
         *docs.columns,
+        "_grams",
         F.size("_words").cast("bigint").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count(body, F.lit("[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
@@ -73,16 +92,6 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
     return step.withColumn("base_failed", failed)
 
 
-def _grams(docs: DataFrame, text: str, buckets: int) -> DataFrame:
-    """Add ``_grams``: bucket numbers of the one- and two-word grams, with repeats."""
-    spaced = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SIGNS, " $1 ")
-    step = docs.withColumn("_uni", F.transform(words_of(spaced), lambda w: F.xxhash64(w)))
-    most = F.greatest(F.size("_uni") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("_uni", 1, most), F.slice("_uni", 2, most), lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))
-    single = F.transform("_uni", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    return step.withColumn("_grams", F.concat(single, pairs)).drop("_uni")
-
-
 def weights(docs: DataFrame, trusted: DataFrame, id_col: str, text: str, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, weight) for every bucket: log of trusted over raw probability, counted over all documents.
 
@@ -95,7 +104,11 @@ def weights(docs: DataFrame, trusted: DataFrame, id_col: str, text: str, buckets
         .join(known.hint("shuffle_hash"), "_id", "left")
         .select("_text", F.coalesce("_trusted", F.lit(0)).alias("_trusted"))
     )
-    both = _grams(flagged, "_text", buckets).select("_trusted", F.explode("_grams").alias("bucket"))
+    # An outer explode: a plain one makes Spark compute the arrays in a filter below the join as well.
+    signs, apart = _apart(F.col("_text"))
+    one = flagged.withColumn("_uni", _hash(F.when(signs, apart).otherwise(words_of(F.col("_text")))))
+    both = one.select("_trusted", F.explode_outer(F.concat(F.col("_uni"), _runs("_uni", 1))).alias("h"))
+    both = both.where("h is not null").select("_trusted", F.pmod("h", F.lit(buckets)).cast("int").alias("bucket"))
     counts = both.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("_trusted").alias("good"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
@@ -125,10 +138,11 @@ def apply_rules(
     table = stage(weights(docs, trusted, id_col, text, buckets), "weights")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).withColumn("_row", F.monotonically_increasing_id())
-    based = _grams(with_base(rows, "_text"), "_text", buckets).drop("_text")
+    based = with_base(rows, "_text")
     # A document's grams lie in one task, so they fold to one row before the shuffle. The weights are ``buckets`` rows.
     folded = (
-        based.select("_row", "_id", *names, F.explode_outer("_grams").alias("bucket"))
+        based.select("_row", "_id", *names, F.explode_outer("_grams").alias("h"))
+        .withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
         .join(F.broadcast(table), "bucket", "left")
         .groupBy("_row")
         .agg(F.first("_id").alias(id_col), *[F.first(c).alias(c) for c in names], F.coalesce(F.avg("weight"), F.lit(0.0)).alias("llr"))
