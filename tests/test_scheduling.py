@@ -99,3 +99,35 @@ def test_run_record_and_reasons(spark, world):
     rec = H.run_record(drafted, H.audit(rows_, facts, cov, B), H.soft_score(rows_, facts), "r", {"days": "28"}).first()
     assert rec["status"] in ("feasible", "partial") and rec["params"] == {"days": "28"} and rec["n_assigned"] > 100
     assert "shifts assigned" in H.why_text(drafted).first()["why"]
+
+
+def test_blocks_share_leave_rest_and_minimum(spark, world, rows):
+    prov, _, cov = world
+    two = H.Block("2026-09-01", 14, 2)
+    rule = spark.createDataFrame(
+        [("1", "max_consecutive", "6", "all"), ("2", "min_rest_hours", "10", "all"), ("3", "no_night_then_day", "true", "all"),
+         ("4", "night_differential", "true", "all"), ("5", "max_shifts_per_block", "10", "all"), ("6", "min_shifts_per_block", "3", "all")],
+        "rule_id string, rule_type string, param_value string, applies_to string",
+    )
+    pto = spark.createDataFrame([(1, 5, D(12), D(20), "approved"), (2, 6, D(20), None, "approved")], "pto_id int, provider_id bigint, start_date date, end_date date, status string")
+    facts = H.provider_facts(prov, rule, pto, None, two).cache()
+    off = {r["provider_id"]: r["off_days"] for r in facts.collect()}
+    assert len(off[5]) == 9 and len(off[6]) == 9  # leave goes on behind the first block
+    drafted = H.draft(cov, facts, two, "r").cache()
+    audited = H.audit(H.draft_as_assignments(drafted), facts, cov, two)
+    assert audited.where(~F.col("rule").isin(*H.OPEN_RULES)).count() == 0
+    assert H.with_hard_ok(drafted, audited).where("NOT is_hard_ok").count() == 0
+    # only in the first block: below the minimum in the second
+    early = shifts(spark, [(8, 0, D(n), "day", "general") for n in range(1, 5)])
+    low = H.block_violations(early, facts.where("provider_id = 8"), two)
+    assert rows(low, "rule", "ref_id") == [("below_block_min", "1")]
+
+
+def test_hard_ok_follows_the_audit(spark, world):
+    _, facts, cov = world
+    bad = spark.createDataFrame(
+        [("r", 0, 8, D(1), "day", "icu", 1), ("r", 0, 9, D(1), "day", "icu", 1)],
+        "run_id string, site bigint, provider_id bigint, work_date date, shift_type string, unit string, seat int",
+    )
+    audited = H.audit(H.draft_as_assignments(bad), facts, cov, B)
+    assert {r["provider_id"]: r["is_hard_ok"] for r in H.with_hard_ok(bad, audited).collect()} == {8: False, 9: True}

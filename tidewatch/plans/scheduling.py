@@ -43,11 +43,15 @@ class Clock:
 
 @dataclass(frozen=True)
 class Block:
+    """Planning blocks of equal length, one after another; together they are the horizon."""
+
     start: str
     days: int = 28
+    blocks: int = 1
 
     def last(self) -> Column:
-        return F.date_add(F.lit(self.start).cast("date"), self.days - 1)
+        """The last day of the horizon."""
+        return F.date_add(F.lit(self.start).cast("date"), self.days * self.blocks - 1)
 
     def number(self, day: Column) -> Column:
         return F.floor(F.datediff(day, F.lit(self.start).cast("date")) / F.lit(self.days)).cast("int")
@@ -64,7 +68,7 @@ def with_requirement(coverage: DataFrame) -> DataFrame:
 
 
 def days_off(pto: DataFrame, status: str, block: Block, out: str) -> DataFrame:
-    """Distinct days off per provider as one array, cut to the planning window."""
+    """Distinct days off per provider as one array, cut to the horizon."""
     first = F.lit(block.start).cast("date")
     cut = pto.where(F.col("status") == status).select(
         ID, F.greatest("start_date", first).alias("s"), F.least(F.coalesce("end_date", block.last()), block.last()).alias("e")
@@ -218,11 +222,13 @@ def run_violations(assignments: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def block_violations(assignments: DataFrame, facts: DataFrame, block: Block) -> DataFrame:
-    """Shifts per block above or below the provider's limits; nobody worked is below as well."""
+    """Shifts per block above or below the provider's limits; in every block of the horizon, worked or not."""
     counts = assignments.groupBy(ID, block.number(F.col("work_date")).alias("block")).agg(F.count(F.lit(1)).alias("n"))
-    per = facts.select(ID, "block_max", "block_min").join(counts, ID, "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    when = F.date_add(F.lit(block.start).cast("date"), F.coalesce("block", F.lit(0)) * F.lit(block.days))
-    ref = F.coalesce("block", F.lit(0))
+    every = facts.select(ID, F.explode(F.sequence(F.lit(0), F.lit(block.blocks - 1))).alias("block"))
+    grid = every.join(counts, [ID, "block"], "full").withColumn("n", F.coalesce("n", F.lit(0)))
+    per = facts.select(ID, "block_max", "block_min").join(grid, ID)
+    ref = F.col("block")
+    when = F.date_add(F.lit(block.start).cast("date"), ref * F.lit(block.days))
     return rules.fire(
         per, ID,
         [
@@ -298,13 +304,13 @@ def equity(assignments: DataFrame, providers: DataFrame, by: list[str]) -> DataF
 
 DRAFT_SCHEMA = (
     "run_id string, site bigint, provider_id bigint, work_date date, shift_type string, unit string, seat int, "
-    "is_hard_ok boolean, why_factors struct<preference_weight:int,equity_load:int,alternatives:int>"
+    "why_factors struct<preference_weight:int,equity_load:int,alternatives:int>"
 )
 
 
-def _fits(p, day: int, shift: str, start: int, hours: int, nights_need_optin: bool) -> bool:
+def _fits(p, day: int, block: int, shift: str, start: int, hours: int, nights_need_optin: bool) -> bool:
     """Hard limits of one provider for one shift, looking back only (days are filled in order)."""
-    if day in p["off"] or day in p["worked"] or len(p["worked"]) >= p["cap"]:
+    if day in p["off"] or day in p["worked"] or p["in_block"].get(block, 0) >= p["cap"]:
         return False
     if shift == "night" and nights_need_optin and not p["nights"]:
         return False
@@ -321,7 +327,8 @@ def _fits(p, day: int, shift: str, start: int, hours: int, nights_need_optin: bo
 
 
 def _fill(slots: pd.DataFrame, people: pd.DataFrame, run_id: str, clock: Clock) -> pd.DataFrame:
-    """Greedy fill of one site and block: by day, scarcest unit first, best score less the load so far."""
+    """Greedy fill of one site: by day, scarcest unit first, best score less the load of the block so far. Rest, runs and
+    days worked go on from block to block."""
     epoch = pd.Timestamp("1970-01-01")
     number = lambda d: (pd.Timestamp(d) - epoch).days
     staff = []
@@ -332,7 +339,7 @@ def _fill(slots: pd.DataFrame, people: pd.DataFrame, run_id: str, clock: Clock)
                 "wish": {number(d) for d in r.wished_days}, "nights": bool(r.wants_night_differential),
                 "optin": bool(r.needs_optin), "night_day": bool(r.night_day_rule), "rest": r.rest_hours,
                 "max_run": r.max_run, "cap": r.block_max, "weights": dict(r.weights or {}), "fte": r.fte,
-                "senior": r.seniority_years, "worked": set(), "last": None, "load": 0,
+                "senior": r.seniority_years, "worked": set(), "last": None, "in_block": {}, "load": {},
             }
         )
     holders = {c: sum(c in p["skills"] for p in staff) for c in slots["required_credential"].unique()}
@@ -341,52 +348,54 @@ def _fill(slots: pd.DataFrame, people: pd.DataFrame, run_id: str, clock: Clock)
         ["work_date", "_scarce", "shift_type", "unit"]
     )
     for s in ordered.itertuples(index=False):
-        day, start = number(s.work_date), clock.start[s.shift_type]
+        day, start, block = number(s.work_date), clock.start[s.shift_type], int(s.block)
         cell = f"{s.shift_type}|{pd.Timestamp(s.work_date).strftime('%a')}"
         hard = s.shift_type == "night" or pd.Timestamp(s.work_date).dayofweek >= 5
         for seat in range(1, int(s.required_headcount) + 1):
             best, options = None, 0
             for p in staff:
-                if s.required_credential not in p["skills"] or not _fits(p, day, s.shift_type, start, clock.hours, p["optin"]):
+                if s.required_credential not in p["skills"] or not _fits(p, day, block, s.shift_type, start, clock.hours, p["optin"]):
                     continue
                 options += 1
                 weight = p["weights"].get(cell, 0)
                 score = weight * (1 + 0.01 * p["senior"]) - (3.0 if day in p["wish"] else 0.0)
-                score -= (p["load"] if hard else 0) / p["fte"]
+                score -= (p["load"].get(block, 0) if hard else 0) / p["fte"]
                 if best is None or score > best[0]:
                     best = (score, weight, p)
             if best is None:
                 continue
             _, weight, p = best
             rows.append(
-                (run_id, s.site, p["id"], s.work_date, s.shift_type, s.unit, seat, True,
-                 {"preference_weight": int(weight), "equity_load": int(p["load"]), "alternatives": options - 1})
+                (run_id, s.site, p["id"], s.work_date, s.shift_type, s.unit, seat,
+                 {"preference_weight": int(weight), "equity_load": p["load"].get(block, 0), "alternatives": options - 1})
             )
             p["worked"].add(day)
             p["last"] = (day, s.shift_type, day * 24 + start + clock.hours)
-            p["load"] += 1 if hard else 0
-    names = ["run_id", "site", "provider_id", "work_date", "shift_type", "unit", "seat", "is_hard_ok", "why_factors"]
+            p["in_block"][block] = p["in_block"].get(block, 0) + 1
+            p["load"][block] = p["load"].get(block, 0) + (1 if hard else 0)
+    names = ["run_id", "site", "provider_id", "work_date", "shift_type", "unit", "seat", "why_factors"]
     return pd.DataFrame(rows, columns=names)
 
 
 def draft(coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, clock: Clock = Clock()) -> DataFrame:
-    """A first compliant draft per site and block, for a person to approve.
+    """A first draft per site, for a person to approve; ``with_hard_ok`` adds what the audit says of it.
 
-    A group is one site in one block: slots are folded to one row per date, shift and unit first, so its
-    size is set by the site's calendar and its staff, not by the number of rows. Sites run in parallel.
+    A group is one site over the horizon, its blocks in order, since rest and runs of days cross from one to the next: slots
+    are folded to one row per date, shift and unit first, so its size is set by the site's calendar and its staff, not by
+    the number of rows. Sites run in parallel.
     """
-    by = ["site", "block"]
+    by = ["site"]
     slots = (
         with_requirement(coverage)
         .groupBy(*SLOT, "required_credential")
         .agg(F.max("required_headcount").alias("required_headcount"))
         .withColumn("block", block.number(F.col("work_date")))
     )
-    blocks = slots.select(*by).distinct().select(*[F.col(c).alias(c) for c in by])
+    planned = slots.select(*by).distinct().select(*[F.col(c).alias(c) for c in by])
     people = facts.select(
         "site", ID, "credentials", "off_days", "wished_days", "wants_night_differential", "needs_optin", "night_day_rule",
         "rest_hours", "max_run", "block_max", "weights", "fte", "seniority_years",
-    ).join(blocks, "site")
+    ).join(planned, "site")
 
     def fill(slot_rows: pd.DataFrame, staff_rows: pd.DataFrame) -> pd.DataFrame:
         return _fill(slot_rows, staff_rows, run_id, clock)
@@ -397,6 +406,27 @@ def draft(coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, cloc
     return spread.cogroup(people.repartition(n, *by).groupBy(*by)).applyInPandas(fill, DRAFT_SCHEMA)
 
 
+#: Rules that a draft may leave open: an empty seat, too few shifts.
+OPEN_RULES = ("coverage_shortfall", "below_block_min")
+
+
+def with_hard_ok(drafted: DataFrame, audited: DataFrame) -> DataFrame:
+    """Add ``is_hard_ok``: the audit has no hard finding for the shift itself nor for its provider as a whole."""
+    hard = audited.where(~F.col("rule").isin(*OPEN_RULES))
+    own = ["credential_missing", "min_rest", "night_then_day", "night_without_optin", "on_approved_leave"]
+    shifts = hard.where(F.col("rule").isin(*own)).select(F.col("ref_id").alias("_shift")).distinct()
+    persons = hard.where(~F.col("rule").isin(*own)).select(F.col("entity_id").alias("_person")).distinct()
+    shift = F.concat_ws("|", ID, "work_date", "shift_type", "unit", "seat")
+    return (
+        drafted.withColumn("_s", shift)
+        .withColumn("_p", F.col(ID).cast("string"))
+        .join(shifts, F.col("_s") == F.col("_shift"), "left")
+        .join(persons, F.col("_p") == F.col("_person"), "left")
+        .withColumn("is_hard_ok", F.col("_shift").isNull() & F.col("_person").isNull())
+        .drop("_s", "_p", "_shift", "_person")
+    )
+
+
 def draft_as_assignments(drafted: DataFrame) -> DataFrame:
     key = F.concat_ws("|", ID, "work_date", "shift_type", "unit", "seat")
     return drafted.select(key.alias("assignment_id"), ID, "site", "work_date", "shift_type", "unit")

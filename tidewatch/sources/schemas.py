@@ -45,14 +45,14 @@ _DDL = {
     # Controlled substances
     "diversion_staff": "staff_id STRING NOT NULL, full_name STRING, role STRING, unit STRING, hire_date DATE, "
     "is_planted_diverter BOOLEAN",
-    "diversion_cabinet_transactions": "txn_id STRING NOT NULL, staff_id STRING, patient_id STRING, med_name STRING, "
+    "diversion_omnicell_transactions": "txn_id STRING NOT NULL, staff_id STRING, patient_id STRING, med_name STRING, "
     "txn_type STRING, amount DOUBLE, timestamp TIMESTAMP, witness_id STRING, is_override BOOLEAN",
     "diversion_mar": "mar_id STRING NOT NULL, patient_id STRING, staff_id STRING, med_name STRING, "
     "admin_amount DOUBLE, admin_time TIMESTAMP, order_id STRING",
     "diversion_pain_scores": "pain_id STRING NOT NULL, patient_id STRING, score INT, documented_time TIMESTAMP",
     "diversion_provider_orders": "order_id STRING NOT NULL, patient_id STRING, med_name STRING, dose DOUBLE, "
     "ordering_provider STRING",
-    "diversion_risk_scores": "staff_id STRING NOT NULL, period STRING, risk_score DOUBLE",
+    "diversion_iris_scores": "staff_id STRING NOT NULL, period STRING, risk_score DOUBLE",
     # Equipment
     "htm_assets": "asset_number STRING, description STRING, device_type STRING, manufacturer STRING, model STRING, "
     "serial_number STRING, facility STRING, clinical_area STRING, purchase_date DATE, create_date DATE, "

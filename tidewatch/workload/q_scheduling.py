@@ -10,7 +10,7 @@ from tidewatch.sources.tables import staging
 from tidewatch.workload.bindings import BLOCK_DAYS, BLOCK_START
 from tidewatch.workload.registry import query
 
-BLOCK = H.Block(BLOCK_START, BLOCK_DAYS)
+BLOCK = H.Block(BLOCK_START, BLOCK_DAYS // 2, 2)
 USES = "prov asg cov pto pref rul"
 
 _RULES = (
@@ -140,8 +140,8 @@ _VIOLATIONS = {
         "FROM (SELECT DISTINCT provider_id, work_date FROM asg)) i JOIN fx f ON f.provider_id = i.provider_id GROUP BY i.provider_id, g)",
         "n > lim", "a", "a", "n", "lim",
     ),
-    "above_block_max": _v("above_block_max", "bc", "n > block_max", "0", "DATE '2026-09-01'", "n", "block_max"),
-    "below_block_min": _v("below_block_min", "bc", "n < block_min", "0", "DATE '2026-09-01'", "n", "block_min"),
+    "above_block_max": _v("above_block_max", "bc", "n > block_max", "block", "CAST(DATE '2026-09-01' + block * 14 AS DATE)", "n", "block_max"),
+    "below_block_min": _v("below_block_min", "bc", "n < block_min", "block", "CAST(DATE '2026-09-01' + block * 14 AS DATE)", "n", "block_min"),
     "two_shifts_one_date": _v("two_shifts_one_date", "(SELECT provider_id, work_date, count(*) AS n FROM asg GROUP BY 1, 2)", "n > 1", "work_date", "work_date", "n", "1"),
     "coverage_shortfall": _v(
         "coverage_shortfall",
@@ -150,7 +150,7 @@ _VIOLATIONS = {
     ),
 }
 _AUDIT = (
-    f"{_FACTS}, {_CHAIN}, bc AS (SELECT f.provider_id, f.block_max, f.block_min, coalesce(a.n, 0) AS n FROM fx f LEFT JOIN (SELECT provider_id, count(*) AS n FROM asg GROUP BY 1) a USING (provider_id)), "
+    f"{_FACTS}, {_CHAIN}, bc AS (SELECT f.provider_id, f.block_max, f.block_min, b.block, coalesce(a.n, 0) AS n FROM fx f CROSS JOIN (VALUES (0), (1)) b(block) LEFT JOIN (SELECT provider_id, CAST(work_date - DATE '2026-09-01' AS INTEGER) // 14 AS block, count(*) AS n FROM asg GROUP BY 1, 2) a ON a.provider_id = f.provider_id AND a.block = b.block), "
     f"au AS ({' UNION ALL '.join(_VIOLATIONS.values())})"
 )
 
@@ -236,7 +236,9 @@ def _draft(t, facts, run_id="run-1"):
 
 @query("draft_schedule")
 def _(t):
-    return H.draft(t.cov, _facts(t), BLOCK, "run-1")
+    facts = _facts(t)
+    rows = _draft(t, facts)
+    return H.with_hard_ok(rows, H.audit(H.draft_as_assignments(rows), facts, t.cov, BLOCK))
 
 
 @query(
