@@ -92,7 +92,7 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
     return step.withColumn("base_failed", failed)
 
 
-def weights(docs: DataFrame, trusted: DataFrame, id_col: str, text: str, buckets: int = BUCKETS) -> DataFrame:
+def weights(docs: DataFrame, trusted: DataFrame, id_col: str, text: str, stage: Stage, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, weight) for every bucket: log of trusted over raw probability, counted over all documents.
 
     ``trusted`` names documents by ``id_col``; rows of other or null ids are only raw. Counts are combined in each task
@@ -109,7 +109,8 @@ def weights(docs: DataFrame, trusted: DataFrame, id_col: str, text: str, buckets
     one = flagged.withColumn("_uni", _hash(F.when(signs, apart).otherwise(words_of(F.col("_text")))))
     both = one.select("_trusted", F.explode_outer(F.concat(F.col("_uni"), _runs("_uni", 1))).alias("h"))
     both = both.where("h is not null").select("_trusted", F.pmod("h", F.lit(buckets)).cast("int").alias("bucket"))
-    counts = both.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("_trusted").alias("good"))
+    # Stored, since the totals and the weights both read them.
+    counts = stage(both.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("_trusted").alias("good")), "counts")
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").na.fill(0, ["raw", "good"])
     total = full.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"))
@@ -135,7 +136,7 @@ def apply_rules(
     same up to smoothing and few documents fall below the limit.
     """
     stage = stage or stage_for(docs.sparkSession, "rules")
-    table = stage(weights(docs, trusted, id_col, text, buckets), "weights")
+    table = weights(docs, trusted, id_col, text, stage, buckets)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).withColumn("_row", F.monotonically_increasing_id())
     based = with_base(rows, "_text")
