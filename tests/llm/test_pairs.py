@@ -212,7 +212,7 @@ def test_planted_passages_are_found_and_clean_texts_left(spark):
 def test_passage_from_two_sources_and_whole_copies(spark):
     r = random.Random(6)
     one, two = prose(r, 100, "a"), prose(r, 100, "b")
-    texts = [" ".join(one), " ".join(two), " ".join(one[40:70] + two[10:40]), " ".join(one)]
+    texts = [" ".join(one), " ".join(two), " ".join(one[40:80] + two[10:50]), " ".join(one)]
     got = found_words(spark, texts)
     assert set(got) == {2, 3}
     assert got[2][0][0] == texts[2] and got[3][0][0] == texts[3]
