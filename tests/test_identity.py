@@ -35,8 +35,8 @@ def test_tiers(links):
     by = {k: (r["match_method"], r["match_rule"], r["needs_review"]) for k, r in links.items()}
     assert by[("E1", "T1")] == ("EXACT_NAME", "same_name", False)  # nickname, initial, suffix, blanks
     assert by[("E2", "T2")] == ("EXACT_NAME", "same_name", False)
-    assert by[("E3", "T3")] == ("FUZZY", "one_edit", False)        # adjacent swap
-    assert by[("E8", "T7")] == ("FUZZY", "same_sound", True)
+    assert by[("E3", "T3")] == ("FUZZY", "similar_name", False)        # adjacent swap
+    assert by[("E8", "T7")] == ("FUZZY", "similar_name", False)    # alike in sound and writing
     assert by[("E4", "T4")] == ("FUZZY", "same_first_name", True)  # married name
 
 
@@ -84,3 +84,13 @@ def test_ids_with_several_links_go_to_review_and_none_is_lost(spark):
         ("E4", "T4"): ("same_name", False), ("E1", None): several, (None, "T1"): several, (None, "T2"): several,
         ("E2", None): several, ("E3", None): several, (None, "T3"): several,
     }
+
+
+def test_scored_names_within_and_across_departments(spark):
+    make = lambda rows: identity.people(spark.createDataFrame(rows, "id string, n string, d string"), "id", "n", "d")
+    hr = make([("E1", "Margaret Henderson", "ICU"), ("E2", "James Kowalski", "ED"), ("E3", "Nora Field", "ED"), ("E4", "Nora Field", "OR")])
+    tas = make([("T1", "Margerat Hendreson", "ICU"), ("T2", "James Kowalski", "LAB"), ("T3", "Nora Feild", "ED")])
+    got = {(r["left_id"], r["right_id"]): (r["match_rule"], r["needs_review"]) for r in identity.build_crosswalk(hr, tas).collect()}
+    assert got["E1", "T1"] == ("similar_name", False)
+    assert got["E2", "T2"] == ("similar_name", True)  # another department: for review
+    assert got["E3", "T3"] == ("similar_name", False) and got["E4", None][0] in ("none", "tie")  # the department decides

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest tables (all of them with TIDEWATCH_FULL=1)."""
+"""Every registered query against its SQL on the smallest tables."""
 
 import math
 import os
@@ -11,15 +11,6 @@ import __spark_entry__ as entry
 ROOT = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-FULL = os.environ.get("TIDEWATCH_FULL") == "1"
-# These repeat a long chain that other queries already run; left to the full run.
-LONG = {
-    "identity_review_queue", "crosswalk_method_counts", "naive_and_reconciled_headcount", "available_fte_by_period",
-    "staffing_actual_and_forecast", "short_units_next_period", "net_fte_heatmap", "staff_report", "top_staff_for_review",
-    "planted_staff_in_top", "staff_narratives", "narrative_audit_rows", "restricted_flag_view", "schedule_audit_counts",
-    "draft_run_record", "draft_what_if_leave", "draft_against_history", "draft_reasons", "review_worklist_recent_visits",
-    "staff_report_evidence", "flag_counts_per_staff", "blended_staff_scores", "violations_run", "violations_block",
-}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="no test tables here")
 
@@ -40,8 +31,6 @@ def plain(v):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    if name in LONG and not FULL:
-        pytest.skip("long; set TIDEWATCH_FULL=1")
     df = QUERIES[name](spark, ROOT)
     cols = sorted(df.columns)
     got = sorted(repr([plain(r[c]) for c in cols]) for r in df.collect())

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tidewatch.operators import govern, quality
 from tidewatch.plans.jobs import build_all
 from tidewatch.sources import schemas, tables
-from tidewatch.streaming import __doc__ as streaming_note
 
 
 def test_all_schemas_parse_and_mark_keys(spark):
@@ -43,7 +42,7 @@ def test_views_are_listed(spark, tmp_path):
 
 
 def test_conform_and_comments(spark):
-    df = schemas.conform(spark.createDataFrame([("S1", "3")], "staff_id string, risk_score string"), "diversion_risk_scores")
+    df = schemas.conform(spark.createDataFrame([("S1", "3")], "staff_id string, risk_score string"), "diversion_iris_scores")
     assert df.schema["risk_score"].dataType.simpleString() == "double" and df.first()["risk_score"] == 3.0
     noted = schemas.describe(df, {"risk_score": "0 to 100"})
     assert noted.schema["risk_score"].metadata["comment"] == "0 to 100"
@@ -84,7 +83,3 @@ def test_masking_and_scope(spark, rows):
     assert rows(out) == [("d1", "withheld", None)]
     with pytest.raises(ValueError):
         govern.mask_columns(df, {"name": "blur"})
-
-
-def test_streaming_is_out_of_scope():
-    assert "no streaming operator" in streaming_note

@@ -48,7 +48,9 @@ def test_position_keeps_cells_of_any_fact(spark, rows):
     out = N.position_control(r, leave, need, budget, CAL)
     got = {(d, s, q): n for d, s, q, n in rows(out, "department", "shift", "seq", "net_fte")}
     assert got[("A", "UNASSIGNED", 0)] == 1.0 and got[("B", "Day", 1)] == -2.0 and got[("A", "Day", 3)] == 0.0
-    assert len(got) == 4 + 1 + 4
+    assert got[("B", "Day", 99)] == -2.0  # demand outside the calendar is kept
+    assert len(got) == 4 + 1 + 4 + 1
+    assert N.demand_outside(need, CAL).count() == 1
 
 
 def test_forecast_shortage_and_surplus(spark, rows):

@@ -13,11 +13,11 @@ def linear_forecast(
 ) -> DataFrame:
     """Trend of ``y`` over ``seq`` per key, continued ``horizon`` steps past the key's last point.
 
-    A series of one point (or one seq) repeats its last value. The band comes from the residual
+    Rows without a value or a seq are left out. A series of one point (or one seq) repeats its last value. The band comes from the residual
     standard deviation and needs three points.
     """
     x, v = F.col(seq).cast("double"), F.col(y).cast("double")
-    fit = df.where(v.isNotNull()).groupBy(*keys).agg(
+    fit = df.where(v.isNotNull() & x.isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_points"),
         F.max(seq).alias("_last"),
         F.max_by(v, F.col(seq)).alias("_last_y"),

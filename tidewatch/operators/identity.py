@@ -6,12 +6,14 @@ side; the rest stays visible as a tie. Tiers, each on what the earlier ones left
 
     EXACT_ID    the ids are equal
     EXACT_NAME  same department and folded name
-    FUZZY edit       same department, names one edit apart (one deletion on each side gives the same text)
+    FUZZY similar    scored names: one edit apart or alike in initial and sound within a department, or one edit apart
+                     in different departments where the name stands for one person on each side; the department adds
+                     to the score and so breaks ties; links across departments are for review
     FUZZY sound      same department and first name, last names sound alike
     FUZZY first      same department and first name (changed last name); always for review
 
-The edit tier joins on deletion texts. The names that yield one text by deleting a letter number at
-most (length + 1) x alphabet, so a join group is bounded by the alphabet and not by the data.
+The similar tier joins on deletion texts (the names that yield one text by deleting a letter number at most
+(length + 1) x alphabet) and on department, initial and sound of the last name, always over distinct names.
 """
 
 from __future__ import annotations
@@ -74,35 +76,57 @@ def deletions(text: str):
 
 
 def candidate_pairs(l: DataFrame, r: DataFrame) -> DataFrame:
-    """Distinct name pairs of one department that are one edit apart (adjacent swaps included)."""
+    """Distinct name pairs worth scoring: (dept_l, dept_r, name_l, name_r) with the counts and one id of each side.
 
-    def side(p: DataFrame, tag: str) -> DataFrame:
-        names = name_counts(p, NAME_KEY, tag).withColumn("full", F.concat_ws(" ", "first", "last"))
-        return names.select(
-            "dept", F.col("full").alias(f"name_{tag}"), f"n_{tag}", f"id_{tag}", F.explode(deletions("full")).alias("_cut")
+    Within a department: one edit apart (adjacent swaps included), or the same initial and a last name of the same sound.
+    Across departments: one edit apart, for names that stand for one person on each side; any other name is ambiguous
+    without its department, and would make a row per pair of departments.
+    """
+
+    def named(p: DataFrame, tag: str) -> DataFrame:
+        counts = name_counts(p, NAME_KEY, tag)
+        full = F.concat_ws(" ", "first", "last").alias(f"name_{tag}")
+        return counts.select(
+            "dept", F.col("dept").alias(f"dept_{tag}"), full, f"n_{tag}", f"id_{tag}",
+            F.substring("first", 1, 1).alias("_initial"), F.soundex("last").alias("_sound"),
         )
 
-    return (
-        side(l, "l")
-        .join(side(r, "r"), ["dept", "_cut"])
-        .groupBy("dept", "name_l", "name_r")
-        .agg(*[F.first(c).alias(c) for c in ("n_l", "id_l", "n_r", "id_r")])
-    )
+    def alone(p: DataFrame, tag: str) -> DataFrame:
+        p = p.where(F.length("dept") > 0)
+        held = name_counts(p, ["first", "last"], tag).where(f"n_{tag} = 1").select(f"id_{tag}", "first", "last")
+        dept = p.select(F.col("id").alias(f"id_{tag}"), "first", "last", F.col("dept").alias(f"dept_{tag}"))
+        one = held.join(dept, [f"id_{tag}", "first", "last"])
+        return one.select(f"dept_{tag}", F.concat_ws(" ", "first", "last").alias(f"name_{tag}"), F.lit(1).cast("bigint").alias(f"n_{tag}"), f"id_{tag}")
+
+    def cut(p: DataFrame, tag: str) -> DataFrame:
+        return p.withColumn("_cut", F.explode(deletions(f"name_{tag}")))
+
+    a, b = named(l, "l"), named(r, "r")
+    keep = ["dept_l", "dept_r", "name_l", "name_r", "n_l", "id_l", "n_r", "id_r"]
+    near = cut(a, "l").drop("_initial", "_sound").join(cut(b, "r").drop("_initial", "_sound"), ["dept", "_cut"]).select(keep)
+    alike = a.join(b, ["dept", "_initial", "_sound"]).select(keep)
+    across = cut(alone(l, "l"), "l").join(cut(alone(r, "r"), "r"), "_cut").where("dept_l <> dept_r").select(keep)
+    pair = ["dept_l", "dept_r", "name_l", "name_r"]
+    every = near.unionByName(alike).unionByName(across)
+    return every.groupBy(*pair).agg(*[F.first(c).alias(c) for c in ("n_l", "id_l", "n_r", "id_r")])
+
+
+#: Share of the score that an equal department gives.
+DEPT_SHARE = 0.05
 
 
 def score_pairs(pairs: DataFrame) -> DataFrame:
-    """Likeness = the better of Jaro-Winkler and 1 - Levenshtein / length, to four places."""
+    """Likeness (the better of Jaro-Winkler and 1 - Levenshtein / length) with the department's share, to four places."""
     a, b = F.col("name_l"), F.col("name_r")
-    return pairs.withColumn("score", F.round(F.greatest(jaro_winkler(a, b), edit_likeness(a, b)), 4))
+    likeness = F.greatest(jaro_winkler(a, b), edit_likeness(a, b))
+    same = F.when(F.col("dept_l") == F.col("dept_r"), F.lit(DEPT_SHARE)).otherwise(F.lit(0.0))
+    return pairs.withColumn("score", F.round(likeness * F.lit(1.0 - DEPT_SHARE) + same, 4))
 
 
 def best_candidates(scored: DataFrame) -> DataFrame:
-    """Mutual best pairs with the lead over the runner-up on either side.
-
-    A name has at most (length + 1)^2 x alphabet candidates, so these windows stay small.
-    """
-    wl = W.partitionBy("dept", "name_l").orderBy(F.col("score").desc(), "name_r")
-    wr = W.partitionBy("dept", "name_r").orderBy(F.col("score").desc(), "name_l")
+    """Mutual best pairs with the lead over the runner-up on either side. Windows hold the candidates of one name."""
+    wl = W.partitionBy("dept_l", "name_l").orderBy(F.col("score").desc(), "name_r", "dept_r")
+    wr = W.partitionBy("dept_r", "name_r").orderBy(F.col("score").desc(), "name_l", "dept_l")
     ranked = (
         scored.withColumn("_l", F.row_number().over(wl))
         .withColumn("_l2", F.lead("score").over(wl))
@@ -195,8 +219,8 @@ def build_crosswalk(
     free = still_open(p)
     pairs = candidate_pairs(free.where("side = 'l'").drop("side"), free.where("side = 'r'").drop("side"))
     best = best_candidates(score_pairs(pairs).where(F.col("score") >= accept)).where("n_l = 1 AND n_r = 1")
-    unsure = (F.col("score") < review) | (F.col("margin") < margin)
-    p = keep(close(p, best, "FUZZY", "one_edit", F.col("score"), unsure), "edit")
+    unsure = (F.col("score") < review) | (F.col("margin") < margin) | (F.col("dept_l") != F.col("dept_r"))
+    p = keep(close(p, best, "FUZZY", "similar_name", F.col("score"), unsure), "edit")
 
     alike = unique_links(still_open(p).withColumn("sound", F.soundex("last")), ["dept", "first", "sound"])
     p = close(p, alike, "FUZZY", "same_sound", F.lit(accept), doubt)

@@ -49,6 +49,15 @@ class PeriodCalendar:
             F.year(start).cast("string"), F.lit("-PP"), F.lpad((seq - first + 1).cast("string"), 2, "0")
         )
 
+    def number(self, label: Column) -> Column:
+        """The period number of a ``YYYY-PPnn`` label, the reverse of ``label``; NULL for any other text."""
+        year = F.regexp_extract(label, r"^(\d{4})-PP(\d{2})$", 1)
+        nth = F.regexp_extract(label, r"^(\d{4})-PP(\d{2})$", 2)
+        known = year != ""
+        jan1 = F.make_date(F.when(known, year).cast("int"), F.lit(1), F.lit(1))
+        first = F.ceil(F.datediff(jan1, self._anchor) / F.lit(self.days)).cast("int")
+        return F.when(known, first + F.when(known, nth).cast("int") - 1)
+
     def frame(self, spark: SparkSession) -> DataFrame:
         seq = F.col("id").cast("int")
         return spark.range(self.n).select(

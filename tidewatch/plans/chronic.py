@@ -59,7 +59,7 @@ def latest_stated_stage(notes: DataFrame) -> DataFrame:
 
 def latest_value(labs: DataFrame, out: str) -> DataFrame:
     return labs.where(F.col("value").isNotNull()).groupBy(KEY).agg(
-        F.max_by("value", F.struct("lab_date", "value", "lab_id")).alias(out)
+        F.max_by("value", F.struct("lab_date", "lab_id", "value")).alias(out)
     )
 
 

@@ -302,10 +302,13 @@ def equity(assignments: DataFrame, providers: DataFrame, by: list[str]) -> DataF
 
 # --- draft ------------------------------------------------------------------------------
 
-DRAFT_SCHEMA = (
-    "run_id string, site bigint, provider_id bigint, work_date date, shift_type string, unit string, seat int, "
-    "why_factors struct<preference_weight:int,equity_load:int,alternatives:int>"
-)
+def draft_schema(coverage: DataFrame, facts: DataFrame) -> str:
+    """Ids keep the types of their tables."""
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    return (
+        f"run_id string, site {kind(coverage, 'site')}, provider_id {kind(facts, ID)}, work_date date, shift_type string, unit string, "
+        "seat int, why_factors struct<preference_weight:int,equity_load:int,alternatives:int>"
+    )
 
 
 def _fits(p, day: int, block: int, shift: str, start: int, hours: int, nights_need_optin: bool) -> bool:
@@ -403,7 +406,7 @@ def draft(coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, cloc
     # The groups are few bytes but much work: an explicit number keeps small partitions from being merged.
     n = int(coverage.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = slots.repartition(n, *by).groupBy(*by)
-    return spread.cogroup(people.repartition(n, *by).groupBy(*by)).applyInPandas(fill, DRAFT_SCHEMA)
+    return spread.cogroup(people.repartition(n, *by).groupBy(*by)).applyInPandas(fill, draft_schema(coverage, facts))
 
 
 #: Rules that a draft may leave open: an empty seat, too few shifts.

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalars import clean_label
 from tidewatch.operators import forecast as trend
 from tidewatch.operators import identity
-from tidewatch.operators.ranges import PeriodCalendar, explode_ranges, overlap_join
+from tidewatch.operators.ranges import PeriodCalendar, overlap_join
+from tidewatch.sources import adapters
 
 UNASSIGNED = "UNASSIGNED"
 HOURS_PER_FTE = 80.0
@@ -19,7 +20,7 @@ CELL = ["department", "shift", "seq"]
 def crosswalk(hr: DataFrame, tas: DataFrame, stage: identity.Stage | None = None, **limits: float) -> DataFrame:
     """Roster ids against schedule ids; every id of both sides is kept."""
     rows = identity.build_crosswalk(
-        identity.people(hr, "employee_id", "worker_name", "department"),
+        identity.people(adapters.roster(hr), "employee_id", "worker_name", "department"),
         identity.people(tas, "tas_worker_id", "worker_name", "department"),
         stage=stage,
         **limits,
@@ -125,12 +126,12 @@ def lost_fte(roster: DataFrame, leave: DataFrame, calendar: PeriodCalendar) -> D
         F.greatest(F.col("start_date"), first).alias("start_date"),
         F.least(F.coalesce("end_date", last), last).alias("end_date"),
     )
-    loa = (
-        explode_ranges(absence, "start_date", "end_date")
-        .select("employee_id", "day")
-        .distinct()
-        .groupBy("employee_id", calendar.index(F.col("day")).alias("seq"))
-        .agg(F.count(F.lit(1)).alias("loa_days"))
+    # A leave counts from the day after all earlier ones of the person: overlaps count once, in rows per leave and period.
+    before = W.partitionBy("employee_id").orderBy("start_date", "end_date").rowsBetween(W.unboundedPreceding, -1)
+    reached = F.date_add(F.max("end_date").over(before), 1)
+    own = absence.where("end_date >= start_date").withColumn("start_date", F.greatest("start_date", reached))
+    loa = overlap_join(own, calendar, "start_date", "end_date").groupBy("employee_id", "seq").agg(
+        F.sum("overlap_days").alias("loa_days")
     )
     off = leave.where((F.col("leave_type") == "PTO") & F.col("hours").isNotNull())
     whole = F.datediff(F.coalesce("end_date", "start_date"), F.col("start_date")) + 1
@@ -162,13 +163,14 @@ def position_control(
     """Budgeted, available, required and net FTE per department, shift and period.
 
     The facts are stacked in one long table and folded once, so a cell known to only one of them is
-    kept, and no grid of all departments, shifts and periods is joined.
+    kept, and no grid of all departments, shifts and periods is joined. Demand outside the calendar is kept with its own
+    period number; ``demand_outside`` lists it.
     """
     spread = budget.select(
         clean_label("department").alias("department"), "shift",
         F.explode(F.sequence(F.lit(0), F.lit(calendar.n - 1))).alias("seq"), "budgeted_fte",
     )
-    wanted = demand.where(F.col("seq").between(0, calendar.n - 1)).select(
+    wanted = adapters.demand(demand, calendar).select(
         clean_label("department").alias("department"), "shift", "seq", "required_fte"
     )
     rows = (
@@ -192,6 +194,11 @@ def position_control(
     )
 
 
+def demand_outside(demand: DataFrame, calendar: PeriodCalendar) -> DataFrame:
+    """Demand rows of periods that the calendar does not have, or of none."""
+    return adapters.demand(demand, calendar).where(F.col("seq").isNull() | ~F.col("seq").between(0, calendar.n - 1))
+
+
 def staffing_forecast(position: DataFrame, horizon: int = 3) -> DataFrame:
     """Available and required FTE continued per department and shift, with shortage and surplus."""
     by = ["department", "shift"]

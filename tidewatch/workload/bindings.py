@@ -18,7 +18,8 @@ AS_OF_ASSETS = "2000-01-01"
 AS_OF_LABS = "2001-08-01"
 BLOCK_START = "2026-09-01"
 BLOCK_DAYS = 28
-CALENDAR = PeriodCalendar("1995-01-02", 172, 14)
+#: Pay periods that cover every date of the given tables.
+CALENDAR = PeriodCalendar("1994-12-19", 190, 14)
 SITE_SIZE = 40
 
 SPARK: dict[str, Callable] = {}
@@ -362,10 +363,10 @@ def _leave(t) -> DataFrame:
     "dem",
     "SELECT c_mktsegment AS department, o_orderpriority AS shift, CAST(year(o_orderdate) AS INTEGER) AS period, "
     "CAST(count(*) AS DOUBLE) / 10 AS required_fte FROM orders JOIN customer ON c_custkey = o_custkey "
-    "WHERE o_orderdate < TIMESTAMP '2001-01-01 00:00:00' GROUP BY ALL",
+    "GROUP BY ALL",
 )
 def _dem(t) -> DataFrame:
-    orders = t.raw("orders").where("o_orderdate < TIMESTAMP_NTZ '2001-01-01 00:00:00'").selectExpr(
+    orders = t.raw("orders").selectExpr(
         "o_custkey", "o_orderpriority shift", "year(o_orderdate) period"
     )
     depts = t.raw("customer").selectExpr("c_custkey o_custkey", "c_mktsegment department")
@@ -377,12 +378,12 @@ def _dem(t) -> DataFrame:
 @shape(
     "need",
     "SELECT concat(p_type, ' ', p_brand) AS department, CASE l_linenumber % 3 WHEN 0 THEN 'Day' WHEN 1 THEN 'Eve' "
-    "ELSE 'Night' END AS shift, CAST(floor(date_diff('day', DATE '1995-01-02', CAST(l_shipdate AS DATE)) / 14.0) AS INTEGER) AS seq, "
+    "ELSE 'Night' END AS shift, CAST(floor(date_diff('day', DATE '1994-12-19', CAST(l_shipdate AS DATE)) / 14.0) AS INTEGER) AS seq, "
     "CAST(count(*) AS DOUBLE) / 4 AS required_fte FROM lineitem JOIN part ON p_partkey = l_partkey "
-    "WHERE l_shipdate >= TIMESTAMP '1995-01-02 00:00:00' GROUP BY ALL",
+    "GROUP BY ALL",
 )
 def _need(t) -> DataFrame:
-    lines = t.raw("lineitem").where("l_shipdate >= TIMESTAMP_NTZ '1995-01-02 00:00:00'").select(
+    lines = t.raw("lineitem").select(
         "l_partkey",
         F.expr("CASE l_linenumber % 3 WHEN 0 THEN 'Day' WHEN 1 THEN 'Eve' ELSE 'Night' END").alias("shift"),
         CALENDAR.index(F.col("l_shipdate").cast("date")).alias("seq"),

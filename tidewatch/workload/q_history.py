@@ -213,7 +213,7 @@ def _(t):
 
 @query(
     "leave_days_by_period",
-    "WITH cal AS (SELECT CAST(i AS INTEGER) AS seq, CAST(DATE '1995-01-02' + CAST(i * 14 AS INTEGER) AS DATE) AS a, CAST(DATE '1995-01-02' + CAST(i * 14 + 13 AS INTEGER) AS DATE) AS b FROM range(172) r(i)), "
+    "WITH cal AS (SELECT CAST(i AS INTEGER) AS seq, CAST(DATE '1994-12-19' + CAST(i * 14 AS INTEGER) AS DATE) AS a, CAST(DATE '1994-12-19' + CAST(i * 14 + 13 AS INTEGER) AS DATE) AS b FROM range(190) r(i)), "
     "e AS (SELECT employee_id, start_date AS s, coalesce(end_date, (SELECT max(b) FROM cal)) AS e FROM leave) "
     "SELECT seq, count(*) AS n_events, CAST(sum(date_diff('day', greatest(s, a), least(e, b)) + 1) AS BIGINT) AS overlap_days FROM e JOIN cal ON s <= b AND e >= a GROUP BY seq",
     "leave",
@@ -227,8 +227,8 @@ def _(t):
 
 @query(
     "order_days_by_pay_period",
-    "SELECT o_orderpriority, CAST(floor(date_diff('day', DATE '1995-01-02', CAST(o_orderdate AS DATE)) / 14.0) AS INTEGER) AS seq, count(*) AS n FROM orders "
-    "WHERE o_orderdate >= TIMESTAMP '1995-01-02 00:00:00' GROUP BY 1, 2",
+    "SELECT o_orderpriority, CAST(floor(date_diff('day', DATE '1994-12-19', CAST(o_orderdate AS DATE)) / 14.0) AS INTEGER) AS seq, count(*) AS n FROM orders "
+    "GROUP BY 1, 2",
 )
 def _(t):
     from tidewatch.workload.bindings import CALENDAR

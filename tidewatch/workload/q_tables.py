@@ -8,7 +8,9 @@ from tidewatch.operators import quality
 from tidewatch.plans import chronic
 from tidewatch.workload.registry import query
 
-_COUNTED = ("customer", "orders", "lineitem", "part", "events", "documents", "pages", "conversations")
+_COUNTED = tuple(
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+)
 
 
 @query(

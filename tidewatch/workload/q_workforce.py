@@ -56,20 +56,33 @@ _KEY = "concat('K-', substr(md5(concat(coalesce(left_id, '-'), '|', coalesce(rig
 
 
 def _names(side: str) -> str:
-    return f"(SELECT dept, concat(first, ' ', last) AS nm, count(*) AS n, min(id) AS id, {_CUTS.format(x='any_value(concat(first, chr(32), last))')} AS cuts FROM {side} GROUP BY dept, first, last)"
+    return (
+        f"(SELECT dept, first, concat(first, ' ', last) AS nm, count(*) AS n, min(id) AS id, {_CUTS.format(x='any_value(concat(first, chr(32), last))')} AS cuts, "
+        f"any_value({_soundex('last')}) AS snd, sum(count(*)) OVER (PARTITION BY first, last) = 1 AS alone "
+        f"FROM {side} WHERE first <> '' AND last <> '' AND dept <> '' GROUP BY dept, first, last)"
+    )
+
+
+def _pairs(left: str, right: str) -> str:
+    """All pairs of one department compared directly; across departments, names of one holder by common deletion."""
+    cols = "a.dept AS dl, b.dept AS dr, a.nm AS x, b.nm AS y, a.n AS nl, b.n AS nr, a.id AS il, b.id AS ir"
+    return (
+        f"na AS {_names(left)}, nb AS {_names(right)}, "
+        f"p0 AS (SELECT {cols} FROM na a JOIN nb b ON a.dept = b.dept WHERE list_has_any(a.cuts, b.cuts) OR (a.first[1] = b.first[1] AND a.snd = b.snd) UNION "
+        f"SELECT {cols} FROM (SELECT *, unnest(cuts) AS cut FROM na WHERE alone) a JOIN (SELECT *, unnest(cuts) AS cut FROM nb WHERE alone) b ON a.cut = b.cut AND a.dept <> b.dept), "
+        "pr AS (SELECT *, round(greatest(jaro_winkler_similarity(x, y), 1 - levenshtein(x, y) / greatest(length(x), length(y))::DOUBLE) * 0.95::DOUBLE "
+        "+ CASE WHEN dl = dr THEN 0.05::DOUBLE ELSE 0 END, 4) AS score FROM p0)"
+    )
 
 
 _XWALK = (
     f"lp AS ({_people('hr', 'employee_id')}), rp AS ({_people('tas', 'tas_worker_id')}), "
     + _link(1, "lp", "rp", "dept, first, last", "EXACT_NAME", "same_name", "1.0", "false") + ", " + _rest(1, "lp", "rp") + ", "
-    # names of one department that share a text with one letter taken out
-    f"pr AS (SELECT a.dept, a.nm AS x, b.nm AS y, a.n AS nl, b.n AS nr, a.id AS il, b.id AS ir, "
-    "round(greatest(jaro_winkler_similarity(a.nm, b.nm), 1 - levenshtein(a.nm, b.nm) / greatest(length(a.nm), length(b.nm))::DOUBLE), 4) AS score "
-    f"FROM {_names('l1')} a JOIN {_names('r1')} b ON a.dept = b.dept AND list_has_any(a.cuts, b.cuts)), "
+    f"{_pairs('l1', 'r1')}, "
     "rk AS (SELECT *, row_number() OVER wl AS p, lead(score) OVER wl AS p2, row_number() OVER wr AS q, lead(score) OVER wr AS q2 FROM pr WHERE score >= 0.88 "
-    "WINDOW wl AS (PARTITION BY dept, x ORDER BY score DESC, y), wr AS (PARTITION BY dept, y ORDER BY score DESC, x)), "
-    "t2 AS (SELECT il AS left_id, ir AS right_id, 'FUZZY' AS match_method, 'one_edit' AS match_rule, score::DOUBLE AS confidence, "
-    "score < 0.93 OR round(score - greatest(coalesce(p2, 0), coalesce(q2, 0)), 4) < 0.03 AS needs_review FROM rk WHERE p = 1 AND q = 1 AND nl = 1 AND nr = 1), "
+    "WINDOW wl AS (PARTITION BY dl, x ORDER BY score DESC, y, dr), wr AS (PARTITION BY dr, y ORDER BY score DESC, x, dl)), "
+    "t2 AS (SELECT il AS left_id, ir AS right_id, 'FUZZY' AS match_method, 'similar_name' AS match_rule, score::DOUBLE AS confidence, "
+    "score < 0.93 OR round(score - greatest(coalesce(p2, 0), coalesce(q2, 0)), 4) < 0.03 OR dl <> dr AS needs_review FROM rk WHERE p = 1 AND q = 1 AND nl = 1 AND nr = 1), "
     + _rest(2, "l1", "r1") + ", "
     f"ls AS (SELECT *, {_soundex('last')} AS snd FROM l2), rs AS (SELECT *, {_soundex('last')} AS snd FROM r2), "
     + _link(3, "ls", "rs", "dept, first, snd", "FUZZY", "same_sound", "0.88", "true") + ", " + _rest(3, "l2", "r2") + ", "
@@ -123,15 +136,14 @@ def _(t):
 
 @query(
     "similar_name_pairs",
-    f"WITH lp AS ({_people('hr', 'employee_id')}), rp AS ({_people('tas', 'tas_worker_id')}) SELECT a.dept, a.nm AS name_l, b.nm AS name_r, a.n AS n_l, b.n AS n_r, "
-    "round(greatest(jaro_winkler_similarity(a.nm, b.nm), 1 - levenshtein(a.nm, b.nm) / greatest(length(a.nm), length(b.nm))::DOUBLE), 4) AS score "
-    f"FROM {_names('lp')} a JOIN {_names('rp')} b ON a.dept = b.dept AND list_has_any(a.cuts, b.cuts)",
+    f"WITH lp AS ({_people('hr', 'employee_id')}), rp AS ({_people('tas', 'tas_worker_id')}), {_pairs('lp', 'rp')} "
+    "SELECT dl AS dept_l, dr AS dept_r, x AS name_l, y AS name_r, nl AS n_l, nr AS n_r, score FROM pr",
     "hr tas",
 )
 def _(t):
     l = identity.people(t.hr, "employee_id", "worker_name", "department")
     r = identity.people(t.tas, "tas_worker_id", "worker_name", "department")
-    return identity.score_pairs(identity.candidate_pairs(l, r)).select("dept", "name_l", "name_r", "n_l", "n_r", "score")
+    return identity.score_pairs(identity.candidate_pairs(l, r)).select("dept_l", "dept_r", "name_l", "name_r", "n_l", "n_r", "score")
 
 
 @query(
@@ -158,10 +170,10 @@ def _(t):
 
 @query(
     "pay_period_calendar_load",
-    "WITH cal AS (SELECT CAST(i AS INTEGER) AS seq, CAST(DATE '1995-01-02' + CAST(i * 14 AS INTEGER) AS DATE) AS a FROM range(172) r(i)), "
+    "WITH cal AS (SELECT CAST(i AS INTEGER) AS seq, CAST(DATE '1994-12-19' + CAST(i * 14 AS INTEGER) AS DATE) AS a FROM range(-26, 190) r(i)), "
     "c AS (SELECT seq, a, CAST(year(a) AS VARCHAR) || '-PP' || lpad(CAST(row_number() OVER (PARTITION BY year(a) ORDER BY a) AS VARCHAR), 2, '0') AS pay_period FROM cal) "
     "SELECT c.pay_period, c.a AS start_date, CAST(c.a + 13 AS DATE) AS end_date, CAST(count(n.department) AS BIGINT) AS n_cells, coalesce(sum(n.required_fte), 0) AS required_fte "
-    "FROM c LEFT JOIN need n ON n.seq = c.seq GROUP BY 1, 2, 3",
+    "FROM c LEFT JOIN need n ON n.seq = c.seq WHERE c.seq >= 0 GROUP BY 1, 2, 3",
     "need",
 )
 def _(t):
@@ -172,7 +184,7 @@ def _(t):
     )
 
 
-_CAL = "cal AS (SELECT CAST(i AS INTEGER) AS seq, CAST(DATE '1995-01-02' + CAST(i * 14 AS INTEGER) AS DATE) AS a, CAST(DATE '1995-01-02' + CAST(i * 14 + 13 AS INTEGER) AS DATE) AS b FROM range(172) r(i))"
+_CAL = "cal AS (SELECT CAST(i AS INTEGER) AS seq, CAST(DATE '1994-12-19' + CAST(i * 14 AS INTEGER) AS DATE) AS a, CAST(DATE '1994-12-19' + CAST(i * 14 + 13 AS INTEGER) AS DATE) AS b FROM range(190) r(i))"
 _POSITION = (
     f"{_CAL}, sh AS (SELECT x.employee_id, min(s.shift) AS shift FROM xw x JOIN (SELECT tas_worker_id, shift FROM (SELECT tas_worker_id, shift, sum(scheduled_hours) AS h FROM tas GROUP BY 1, 2) "
     "QUALIFY row_number() OVER (PARTITION BY tas_worker_id ORDER BY h DESC, shift) = 1) s USING (tas_worker_id) WHERE x.employee_id IS NOT NULL GROUP BY 1), "
@@ -184,7 +196,7 @@ _POSITION = (
     "loa AS (SELECT employee_id, seq, count(*) AS loa_days FROM lod JOIN cal ON d BETWEEN a AND b GROUP BY 1, 2), "
     "pto AS (SELECT employee_id, seq, sum(hours * (date_diff('day', greatest(start_date, a), least(end_date, b)) + 1) / (date_diff('day', start_date, end_date) + 1)) AS h FROM leave JOIN cal ON start_date <= b AND end_date >= a WHERE leave_type = 'PTO' GROUP BY 1, 2), "
     "av AS (SELECT ep.department, ep.shift, ep.seq, sum(fte * emp - fte * emp * least(1, coalesce(h, 0) / (80 * fte) + coalesce(loa_days, 0) / 14.0::DOUBLE)) AS available FROM ep LEFT JOIN loa USING (employee_id, seq) LEFT JOIN pto USING (employee_id, seq) GROUP BY 1, 2, 3), "
-    "rq AS (SELECT upper(trim(department)) AS department, shift, seq, required_fte FROM need WHERE seq BETWEEN 0 AND 171), "
+    "rq AS (SELECT upper(trim(department)) AS department, shift, seq, required_fte FROM need), "
     "bu AS (SELECT upper(trim(department)) AS department, shift, seq, budgeted_fte FROM budget CROSS JOIN cal), "
     "ks AS (SELECT department, shift, seq FROM av UNION SELECT department, shift, seq FROM rq UNION SELECT department, shift, seq FROM bu), "
     "pos AS (SELECT k.department, k.shift, k.seq, coalesce(budgeted_fte, 0) AS budgeted_fte, coalesce(available, 0) AS available_fte, coalesce(required_fte, 0) AS required_fte, "
@@ -265,7 +277,7 @@ def _(t):
 
 @query(
     "short_units_next_period",
-    f"WITH {_XWALK}, {_POSITION}, {_AHEAD} SELECT department, shift, round(required_fte - available_fte, 6) AS shortage_fte FROM ah WHERE seq = 172 AND required_fte > available_fte",
+    f"WITH {_XWALK}, {_POSITION}, {_AHEAD} SELECT department, shift, round(required_fte - available_fte, 6) AS shortage_fte FROM ah WHERE seq = 190 AND required_fte > available_fte",
     _POS_USES,
 )
 def _(t):
