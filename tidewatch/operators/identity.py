@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalars import clean_label, clean_name, first_word, fold_nickname, last_word
 from tidewatch.functions.similarity import edit_likeness, jaro_winkler
 from tidewatch.operators.skew import salted_join
+from tidewatch.session import ship_package
 from tidewatch.sources.tables import staging
 
 NAME_KEY = ["dept", "first", "last"]
@@ -175,6 +176,7 @@ def build_crosswalk(
     (by default in the shared scratch folder): a lost executor or a later tier never repeats the
     earlier ones. This is the one operator that runs jobs of its own.
     """
+    ship_package(l.sparkSession)  # the likeness runs on the executors
     keep: Stage = stage or staging(l.sparkSession, "crosswalk")
     sure, doubt = F.lit(False), F.lit(True)
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalars import weekday_name
 from tidewatch.operators import cohort, rules, temporal
 from tidewatch.operators.ranges import explode_ranges
+from tidewatch.session import ship_package
 
 ID = "provider_id"
 SLOT = ["site", "work_date", "shift_type", "unit"]
@@ -387,6 +388,7 @@ def draft(coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, cloc
     are folded to one row per date, shift and unit first, so its size is set by the site's calendar and its staff, not by
     the number of rows. Sites run in parallel.
     """
+    ship_package(coverage.sparkSession)
     by = ["site"]
     slots = (
         with_requirement(coverage)
