@@ -13,7 +13,7 @@ from tidewatch.session import ship_package
 from tidewatch.sources.tables import Staging, read_raw, staging
 
 #: Text bytes that one numpy step works on (a longer text is one step of its own).
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 Stage = Staging
 
 

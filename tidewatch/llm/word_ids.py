@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Distinct words a task keeps; beyond that the table starts anew (a memory bound, results do not depend on it).
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 1_000_000
 
 
 class WordEncoder:
