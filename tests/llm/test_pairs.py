@@ -247,3 +247,34 @@ def test_minimisers_meet_in_every_shared_run():
     for n in range(30):
         a, b = (np.concatenate([rng.integers(0, 2**60, n + 3).astype(np.uint64), shared, rng.integers(0, 2**60, 40 - n).astype(np.uint64)]) for _ in range(2))
         assert set(a[substring.minimisers(a)]) & set(b[substring.minimisers(b)]) & set(shared)
+
+
+def best_scores(matches, k):
+    """Best score of a chain ending at each match, by going through all predecessors in reach."""
+    out = {}
+    for x, y in sorted(matches):
+        before = [v - substring.GAP_COST * (x - a + y - b) / 2 for (a, b), v in out.items() if 0 < x - a <= substring.MAX_GAP and 0 < y - b <= substring.MAX_GAP]
+        out[x, y] = k + max([0.0, *before])
+    return out
+
+
+def test_chains_of_two_passages_equal_brute_force():
+    r = random.Random(2)
+    for n in range(40):
+        far = 125 + 5 * n
+        line = [(i, i + 5) for i in range(0, 60, 4)] + [(i + far, i + far + 20) for i in range(0, 60, 4)]
+        matches = sorted(set(line + [(r.randrange(far + 60), r.randrange(far + 80)) for _ in range(n)]))
+        best = max(best_scores(matches, 6).values())
+        first = substring.chains(matches, 6)[0]
+        cost = sum(substring.GAP_COST * (b[0] - a[0] + b[1] - a[1]) / 2 for a, b in itertools.pairwise(first))
+        assert 6 * len(first) - cost == pytest.approx(best)
+        if not n:
+            assert sorted(map(len, substring.chains(matches, 6))) == [15, 15]
+
+
+def test_two_passages_of_one_pair_are_both_found(spark):
+    r = random.Random(12)
+    head, foot = prose(r, 70, "p"), prose(r, 70, "q")
+    texts = [" ".join(prose(r, 20, "a") + head + prose(r, n, "b") + foot) for n in (90, 200)]
+    got = found_words(spark, texts)
+    assert [set(t.split()) >= set(p) for (t, _, _), p in zip(sorted(got[1], key=lambda x: texts[1].index(x[0])), (head, foot), strict=True)] == [True, True]
