@@ -278,3 +278,39 @@ def test_two_passages_of_one_pair_are_both_found(spark):
     texts = [" ".join(prose(r, 20, "a") + head + prose(r, n, "b") + foot) for n in (90, 200)]
     got = found_words(spark, texts)
     assert [set(t.split()) >= set(p) for (t, _, _), p in zip(sorted(got[1], key=lambda x: texts[1].index(x[0])), (head, foot), strict=True)] == [True, True]
+
+
+def test_passage_whose_seeds_are_all_met_earlier_elsewhere(spark):
+    r = random.Random(21)
+    passage = prose(r, 52, "p")
+    # Every six-word run of the passage stands in an earlier text already, but nowhere the passage.
+    texts = [" ".join(prose(r, 40, "a") + passage[i : i + 12] + prose(r, 40, "b")) for i in range(0, 41, 6)] + [" ".join(passage[40:] + prose(r, 30, "c"))]
+    source = len(texts)
+    texts += [" ".join(prose(r, 30, "d") + passage + prose(r, 30, "e")), " ".join(prose(r, 45, "f") + passage + prose(r, 15, "g"))]
+    got = found_words(spark, texts)
+    assert set(got) == {source + 1}
+    ((text, first, _),) = got[source + 1]
+    assert first == source and text.split() == passage
+
+
+def test_one_seed_leads_to_the_whole_passage(spark):
+    r = random.Random(22)
+    passage = prose(r, 400, "p")
+    # All of the passage but its middle stands in pieces below PART_WORDS in earlier texts, here as often as its seeds ask.
+    pieces = [" ".join(prose(r, 30, "a") + passage[i : i + 19] + prose(r, 30, "b")) for i in [*range(0, 180, 6), *range(210, 390, 6)]]
+    texts = [*pieces, " ".join(prose(r, 30, "d") + passage + prose(r, 30, "e")), " ".join(passage)]
+    got = found_words(spark, texts)
+    ((text, first, n),) = got[len(texts) - 1]
+    assert text.split() == passage and first == len(pieces) and n == 400
+
+
+def test_lone_seeds_that_go_are_too_short():
+    r = np.random.default_rng(4)
+    for _ in range(400):
+        here = r.integers(0, 2**63, 60).astype(np.uint64)
+        there = np.where(r.random(60) < r.choice([0.1, 0.4, 0.9]), here, r.integers(0, 2**63, 60).astype(np.uint64))
+        there[27:33] = here[27:33]
+        near = [substring.next_words(x, np.array([27])) for x in (here, there)]
+        if not substring.may_go_on((near[0] ^ near[1]).view(np.int64))[0]:
+            words = [(x >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in (here, there)]
+            assert all(b - a < substring.PART_WORDS for a, b, *_ in substring.align([(27, 27)], *words, 0, 0))
