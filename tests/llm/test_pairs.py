@@ -314,3 +314,15 @@ def test_lone_seeds_that_go_are_too_short():
         if not substring.may_go_on((near[0] ^ near[1]).view(np.int64))[0]:
             words = [(x >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in (here, there)]
             assert all(b - a < substring.PART_WORDS for a, b, *_ in substring.align([(27, 27)], *words, 0, 0))
+
+
+@pytest.mark.parametrize("every", [10, 12, 15])
+def test_fuzzy_passages_with_every_nth_word_replaced(spark, every):
+    r = random.Random(every)
+    texts = []
+    for n in range(40):
+        passage = prose(r, 80, "p")
+        copy = [f"x{r.random()}" if i % every == n % every else w for i, w in enumerate(passage)]
+        texts += [" ".join(prose(r, 20, "a") + passage + prose(r, 20, "b")), " ".join(prose(r, 30, "c") + copy + prose(r, 30, "d"))]
+    got = found_words(spark, texts)
+    assert set(got) == set(range(1, 80, 2)) and all(got[i][0][1] == i - 1 for i in got)
