@@ -7,7 +7,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import bpe, chat, packing, pii, quality_classifier, quality_rules, substring, token_store, trie_join, vector_dedup
+from tidewatch.llm import (
+    bpe,
+    chat,
+    fp_tree,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    substring,
+    token_store,
+    trie_join,
+    turn_repair,
+    vector_dedup,
+)
 from tidewatch.llm.common import table
 from tidewatch.llm.word_ids import default_vocabulary
 from tidewatch.session import scratch_path
@@ -136,6 +150,75 @@ def op10_personal_data(spark: SparkSession, root: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, root, "documents")))
 
 
+def op11_lexical_search(spark: SparkSession, root: str) -> DataFrame:
+    return fp_tree.rank_documents(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents WHERE text IS NOT NULL
+), d AS (SELECT r, doc_id, len(ws)::BIGINT AS n, ws FROM words WHERE len(ws) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), t AS (SELECT r, unnest(ws) AS term FROM d),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM t WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total
+), m AS (SELECT r, doc_id, (10 + ((90 * n * docs) // terms))::BIGINT AS m FROM d, total),
+s AS (
+  SELECT a.item_id, m.r, any_value(m.doc_id) AS doc_id, sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m)))::BIGINT AS score
+  FROM asked a JOIN tf ON tf.term = a.term JOIN w ON w.term = a.term JOIN m ON m.r = tf.r GROUP BY a.item_id, m.r
+), k AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+def op12_turn_repair(spark: SparkSession, root: str) -> DataFrame:
+    return turn_repair.repair_digests(table(spark, root, "conversations"))
+
+
+def op13_secret_scan(spark: SparkSession, root: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(table(spark, root, "documents")))
+
+
+def _secrets_sql() -> str:
+    """The same rules over each text: matches, the pieces between them, and running lengths of both."""
+    quote = lambda p: "'" + p.replace("'", "''") + "'"
+    per_rule = " UNION ALL ".join(
+        f"SELECT r, doc_id, '{rule.kind}' AS kind, {i} AS nth, {rule.least} AS least, regexp_extract_all(t, {quote(rule.pattern)}) AS a, "
+        f"regexp_extract_all(t, {quote(rule.pattern)}, {rule.group}) AS g, regexp_split_to_array(t, {quote(rule.pattern)}) AS s "
+        f"FROM d WHERE regexp_matches(t, {quote(rule.pattern)})"
+        for i, rule in enumerate(secret_scan.RULES)
+    )
+    base = ", ".join(f"'{rule.kind}'" for rule in secret_scan.BASE)
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{rule.kind}') AS n_{rule.kind}" for rule in secret_scan.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({per_rule}),
+e AS (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM m),
+f AS (
+  SELECT r, kind, nth, length(a[i]) AS n, (list_sum(list_transform(s[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(a[1:i-1], lambda x: length(x))), 0))::BIGINT AS start
+  FROM e WHERE length(g[i]) >= least
+), o AS (SELECT *, kind || ':' || start || ':' || (start + n) AS line FROM f)
+SELECT any_value(d.doc_id) AS doc_id, {counts},
+       sha256(coalesce(string_agg(line, ',' ORDER BY start, nth) FILTER (WHERE kind IN ({base})), '')) AS base_sha256,
+       coalesce(string_agg(line, ',' ORDER BY start, nth), '') AS spans
+FROM d LEFT JOIN o ON o.r = d.r GROUP BY d.r
+"""
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_store": op2_token_store,
@@ -147,6 +230,10 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_personal_data": op10_personal_data,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_secret_scan": op13_secret_scan,
 }
 
-ORACLES = {"op3_chat_format": OP3_SQL, "op4_trie_join": OP4_SQL, "op6_vector_dedup": OP6_SQL}
+ORACLES = {"op3_chat_format": OP3_SQL, "op4_trie_join": OP4_SQL, "op6_vector_dedup": OP6_SQL, "op11_lexical_search": OP11_SQL}
+ORACLES["op13_secret_scan"] = _secrets_sql()
