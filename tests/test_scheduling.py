@@ -131,3 +131,47 @@ def test_hard_ok_follows_the_audit(spark, world):
     )
     audited = H.audit(H.draft_as_assignments(bad), facts, cov, B)
     assert {r["provider_id"]: r["is_hard_ok"] for r in H.with_hard_ok(bad, audited).collect()} == {8: False, 9: True}
+
+
+def greedy(pairs):
+    """The auction's fixed point by brute force: all bids in falling order, taken where slot and provider still can."""
+    heads, duties, out = {}, {}, []
+    for r in sorted(pairs, key=lambda r: tuple(r.bid), reverse=True):
+        slot = (r.site, r.work_date, r.shift_type, r.unit)
+        mine = duties.setdefault(r.provider_id, H.Duties(r.rest_hours, r.night_day_rule, r.max_run, r.block_max, 12))
+        if heads.get(slot, 0) < r.required_headcount and mine.take(r.day, r.block, r.begin, r.shift_type):
+            heads[slot] = heads.get(slot, 0) + 1
+            out.append((*slot, r.provider_id))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("sites", [1, 3])
+def test_auction_equals_greedy_and_has_no_blocking_pair(spark, world, sites):
+    prov, _, cov = world
+    rule = spark.createDataFrame(
+        [("1", "max_consecutive", "4", "all"), ("2", "min_rest_hours", "14", "all"), ("3", "no_night_then_day", "true", "all"),
+         ("4", "max_shifts_per_block", "6", "all"), ("5", "max_shifts_per_block", "4", "3")],
+        "rule_id string, rule_type string, param_value string, applies_to string",
+    )
+    pref = spark.createDataFrame(
+        [(p, s, d, (p * 7 + len(s) * 3 + i) % 5 - 1, p % 2 == 0, None) for p in range(12) for s in ("day", "night", "swing")
+         for i, d in enumerate(("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"))],
+        "provider_id bigint, shift_type string, weekday string, preference_weight int, wants_consecutive boolean, max_shifts_per_block int",
+    )
+    two = H.Block("2026-09-01", 14, 2)
+    prov = prov.withColumn("site", F.col("provider_id") % sites)
+    cov = cov.crossJoin(spark.range(sites).select(F.col("id").alias("s"))).withColumn("site", F.col("s")).drop("s")
+    facts = H.provider_facts(prov, rule, spark.createDataFrame([], "pto_id int, provider_id bigint, start_date date, end_date date, status string"), pref, two).cache()
+    pairs = H.bids(cov, facts, two)
+    drafted = H.draft(cov.union(cov).repartition(3), facts, two, "r")
+    got = sorted((r.site, r.work_date, r.shift_type, r.unit, r.provider_id) for r in drafted.collect())
+    assert got == greedy(pairs.collect()) and len(got) > 60
+    assert H.blocking_pairs(drafted, cov, facts, two).count() == 0
+    assert H.blocking_pairs(drafted.where("provider_id <> 5"), cov, facts, two).count() > 0
+    assert drafted.groupBy(*H.SLOT, "seat").count().where("count > 1").count() == 0
+
+
+def test_draft_of_empty_tables(spark, world):
+    _, facts, cov = world
+    assert H.draft(cov.where("false"), facts, B, "r").count() == 0
+    assert H.draft(cov, facts.where("false"), B, "r").count() == 0

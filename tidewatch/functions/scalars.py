@@ -209,6 +209,68 @@ def stated_stage(note: Column | str) -> Column:
     return F.when(F.length(found) > 0, F.lower(found))
 
 
+#: Words that change what a mention says: in the window before it, or right behind it.
+ASSERTION_BEFORE = {
+    "family": r"(?i)\b(?:family|mother|father|brother|sister|parents?)\b",
+    "negated": r"(?i)\b(?:no|not|denies|denied|without|negative for|ruled out|free of)\b",
+    "history": r"(?i)\b(?:history of|prior|previous|previously|former|formerly|was|had)\b",
+    "possible": r"(?i)\b(?:possible|possibly|probable|suspected|suspect|risk of|rule out)\b",
+}
+ASSERTION_BEHIND = {
+    "negated": r"(?i)^[ \t]*(?:was |were |is |has been )?(?:ruled out|excluded|not present)\b",
+    "history": r"(?i)^[ \t]*(?:has |have )?resolved\b",
+}
+#: The window: up to this many words right before a mention, within its sentence and behind any other mention.
+WINDOW_PATTERN = r"((?:[^\s.;:!?]+[ \t]+){0,6})$"
+#: A window of this kind carries on what the mention before it says ("no CKD 1 or CKD 2").
+CARRY_PATTERN = r"(?i)^[ \t]*(?:,|or|nor|and|/)?[ \t]*(?:or|nor)?[ \t]*$"
+
+
+def stage_mentions(note: Column | str) -> Column:
+    """Every stage a note names, in order: array of (stage, assertion).
+
+    The assertion is family, negated, history or possible by the words of the window, else present; a list ("or", "nor", a
+    comma) carries the assertion before it. NULL notes give NULL, notes without a stage an empty array.
+    """
+    text = _col(note)
+    stages = F.regexp_extract_all(text, F.lit(STATED_STAGE_PATTERN), F.lit(1))
+    pieces = F.split(text, STATED_STAGE_PATTERN, -1)
+    # The text before a mention reaches back to the mention before it, so windows never cross another mention.
+    parts = F.arrays_zip(
+        stages.alias("stage"), F.slice(pieces, 1, F.size(stages)).alias("before"), F.slice(pieces, 2, F.size(stages)).alias("behind")
+    )
+
+    def said(m: Column) -> Column:
+        window = F.regexp_extract(F.right(m["before"], F.lit(160)), WINDOW_PATTERN, 1)
+        out = F.when(F.lit(False), "")
+        for name, pattern in ASSERTION_BEFORE.items():
+            out = out.when(window.rlike(pattern), name)
+        for name, pattern in ASSERTION_BEHIND.items():
+            out = out.when(m["behind"].rlike(pattern), name)
+        return out.when(m["before"].rlike(CARRY_PATTERN), "carried").otherwise("present")
+
+    own = F.transform(parts, lambda m: F.struct(F.lower(m["stage"]).alias("stage"), said(m).alias("assertion")))
+    # "carried" takes the assertion of the last mention before it that has one of its own.
+    none = F.array().cast("array<struct<stage:string,assertion:string>>")
+    last = lambda done: F.coalesce(F.element_at(done, -1)["assertion"], F.lit("present"))
+    step = lambda done, m: F.concat(
+        done,
+        F.array(
+            F.struct(
+                m["stage"].alias("stage"),
+                F.when(m["assertion"] != "carried", m["assertion"]).when(F.size(done) == 0, "present").otherwise(last(done)).alias("assertion"),
+            )
+        ),
+    )
+    return F.when(text.isNotNull(), F.aggregate(own, none, step))
+
+
+def current_stage(mentions: Column | str) -> Column:
+    """The last stage that is stated as present; NULL where none is."""
+    held = F.filter(_col(mentions), lambda m: m["assertion"] == "present")
+    return F.when(F.size(held) > 0, F.element_at(held, -1)["stage"])
+
+
 def end_of_life_os(os_name: Column | str) -> Column:
     name = F.lower(F.coalesce(_col(os_name), F.lit("")))
     return name.startswith("windows 7") | name.startswith("windows xp")

@@ -7,18 +7,21 @@ hold distinct days of the planning window, so their size is bounded by the calen
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.scalars import weekday_name
 from tidewatch.operators import cohort, rules, temporal
 from tidewatch.operators.ranges import explode_ranges
 from tidewatch.session import ship_package
+from tidewatch.sources.tables import staging
 
 ID = "provider_id"
 SLOT = ["site", "work_date", "shift_type", "unit"]
@@ -303,6 +306,7 @@ def equity(assignments: DataFrame, providers: DataFrame, by: list[str]) -> DataF
 
 # --- draft ------------------------------------------------------------------------------
 
+
 def draft_schema(coverage: DataFrame, facts: DataFrame) -> str:
     """Ids keep the types of their tables."""
     kind = lambda df, c: df.schema[c].dataType.simpleString()
@@ -312,103 +316,181 @@ def draft_schema(coverage: DataFrame, facts: DataFrame) -> str:
     )
 
 
-def _fits(p, day: int, block: int, shift: str, start: int, hours: int, nights_need_optin: bool) -> bool:
-    """Hard limits of one provider for one shift, looking back only (days are filled in order)."""
-    if day in p["off"] or day in p["worked"] or p["in_block"].get(block, 0) >= p["cap"]:
-        return False
-    if shift == "night" and nights_need_optin and not p["nights"]:
-        return False
-    if p["last"] is not None:
-        last_day, last_shift, last_end = p["last"]
-        if day * 24 + start - last_end < p["rest"]:
-            return False
-        if p["night_day"] and shift == "day" and last_shift == "night" and day - last_day == 1:
-            return False
-    run = 1
-    while day - run in p["worked"]:
-        run += 1
-    return run <= p["max_run"]
-
-
-def _fill(slots: pd.DataFrame, people: pd.DataFrame, run_id: str, clock: Clock) -> pd.DataFrame:
-    """Greedy fill of one site: by day, scarcest unit first, best score less the load of the block so far. Rest, runs and
-    days worked go on from block to block."""
-    epoch = pd.Timestamp("1970-01-01")
-    number = lambda d: (pd.Timestamp(d) - epoch).days
-    staff = []
-    for r in people.sort_values("provider_id").itertuples(index=False):
-        staff.append(
-            {
-                "id": r.provider_id, "skills": set(r.credentials), "off": {number(d) for d in r.off_days},
-                "wish": {number(d) for d in r.wished_days}, "nights": bool(r.wants_night_differential),
-                "optin": bool(r.needs_optin), "night_day": bool(r.night_day_rule), "rest": r.rest_hours,
-                "max_run": r.max_run, "cap": r.block_max, "weights": dict(r.weights or {}), "fte": r.fte,
-                "senior": r.seniority_years, "worked": set(), "last": None, "in_block": {}, "load": {},
-            }
-        )
-    holders = {c: sum(c in p["skills"] for p in staff) for c in slots["required_credential"].unique()}
-    rows = []
-    ordered = slots.assign(_scarce=slots["required_credential"].map(holders)).sort_values(
-        ["work_date", "_scarce", "shift_type", "unit"]
-    )
-    for s in ordered.itertuples(index=False):
-        day, start, block = number(s.work_date), clock.start[s.shift_type], int(s.block)
-        cell = f"{s.shift_type}|{pd.Timestamp(s.work_date).strftime('%a')}"
-        hard = s.shift_type == "night" or pd.Timestamp(s.work_date).dayofweek >= 5
-        for seat in range(1, int(s.required_headcount) + 1):
-            best, options = None, 0
-            for p in staff:
-                if s.required_credential not in p["skills"] or not _fits(p, day, block, s.shift_type, start, clock.hours, p["optin"]):
-                    continue
-                options += 1
-                weight = p["weights"].get(cell, 0)
-                score = weight * (1 + 0.01 * p["senior"]) - (3.0 if day in p["wish"] else 0.0)
-                score -= (p["load"].get(block, 0) if hard else 0) / p["fte"]
-                if best is None or score > best[0]:
-                    best = (score, weight, p)
-            if best is None:
-                continue
-            _, weight, p = best
-            rows.append(
-                (run_id, s.site, p["id"], s.work_date, s.shift_type, s.unit, seat,
-                 {"preference_weight": int(weight), "equity_load": p["load"].get(block, 0), "alternatives": options - 1})
-            )
-            p["worked"].add(day)
-            p["last"] = (day, s.shift_type, day * 24 + start + clock.hours)
-            p["in_block"][block] = p["in_block"].get(block, 0) + 1
-            p["load"][block] = p["load"].get(block, 0) + (1 if hard else 0)
-    names = ["run_id", "site", "provider_id", "work_date", "shift_type", "unit", "seat", "why_factors"]
-    return pd.DataFrame(rows, columns=names)
-
-
-def draft(coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, clock: Clock = Clock()) -> DataFrame:
-    """A first draft per site, for a person to approve; ``with_hard_ok`` adds what the audit says of it.
-
-    A group is one site over the horizon, its blocks in order, since rest and runs of days cross from one to the next: slots
-    are folded to one row per date, shift and unit first, so its size is set by the site's calendar and its staff, not by
-    the number of rows. Sites run in parallel.
+#: What a provider's choice looks at, besides the shift itself.
+LIMITS = ("rest_hours", "night_day_rule", "max_run", "block_max")
+
+
+def bids(coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clock()) -> DataFrame:
+    """Every pair of slot and eligible provider with its bid; no two bids are equal.
+
+    The bid is the candidate score; equal scores are ordered by a hash of slot and provider, so that no provider wins all
+    of them, and at last by the provider's id. Doubled slots are one, with the larger headcount.
     """
-    ship_package(coverage.sparkSession)
-    by = ["site"]
     slots = (
         with_requirement(coverage)
         .groupBy(*SLOT, "required_credential")
         .agg(F.max("required_headcount").alias("required_headcount"))
-        .withColumn("block", block.number(F.col("work_date")))
+        .where("required_headcount > 0")
+    )
+    own = facts.select(ID, *[F.col(c).cast("double").alias(c) if c != "night_day_rule" else F.col(c) for c in LIMITS])
+    pairs = scored_candidates(slots, facts).join(own, ID)
+    day = F.datediff("work_date", F.lit("1970-01-01").cast("date"))
+    hour = F.hour(clock.starts_at(F.col("work_date"), F.col("shift_type")))
+    return pairs.select(
+        *SLOT, "required_headcount", ID, *LIMITS, "preference_weight",
+        F.struct(F.col("score"), F.xxhash64(*SLOT, ID).alias("tie"), F.col(ID).alias("who")).alias("bid"),
+        day.alias("day"), (day * 24 + hour).alias("begin"), block.number(F.col("work_date")).alias("block"),
+    ).where("begin IS NOT NULL")
+
+
+class Duties:
+    """The shifts that one provider has taken, and whether one more fits the hard limits."""
+
+    def __init__(self, rest: float | None, night_day: bool, max_run: float | None, cap: float | None, hours: int):
+        self.rest, self.night_day, self.max_run, self.cap, self.hours = rest, night_day, max_run, cap, hours
+        self.on: dict[int, tuple[int, str]] = {}
+        self.in_block: dict[int, int] = {}
+
+    def take(self, day: int, block: int, begin: int, shift: str) -> bool:
+        if day in self.on or (self.cap is not None and self.in_block.get(block, 0) + 1 > self.cap):
+            return False
+        if self.rest is not None and any(
+            max(b - begin, begin - b) - self.hours < self.rest for b, _ in self.on.values()
+        ):
+            return False
+        if self.night_day and (
+            (shift == "day" and self.on.get(day - 1, (0, ""))[1] == "night")
+            or (shift == "night" and self.on.get(day + 1, (0, ""))[1] == "day")
+        ):
+            return False
+        if self.max_run is not None:
+            first = last = day
+            while first - 1 in self.on:
+                first -= 1
+            while last + 1 in self.on:
+                last += 1
+            if last - first + 1 > self.max_run:
+                return False
+        self.on[day] = (begin, shift)
+        self.in_block[block] = self.in_block.get(block, 0) + 1
+        return True
+
+
+def _claims(open_pairs: DataFrame, clock: Clock) -> DataFrame:
+    """Which of the open pairs their providers claim: best bid first, as far as the hard limits allow.
+
+    A provider has at most one pair for each slot of its site, so the calendar bounds the group.
+    """
+    hours = clock.hours
+
+    def run(batches):
+        who, duties = object(), None
+        for batch in batches:
+            column = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: E731, B023
+            limits = [column(c) for c in LIMITS]
+            rows = zip(*[column(c).to_pylist() for c in (ID, "day", "block", "begin", "shift_type")], strict=True)
+            keep = []
+            for i, (provider, day, own_block, begin, shift) in enumerate(rows):
+                if provider != who:
+                    who, duties = provider, Duties(*[c[i].as_py() for c in limits], hours)
+                if duties.take(day, own_block, begin, shift):
+                    keep.append(i)
+            yield batch.take(pa.array(keep, pa.int32()))
+
+    dealt = open_pairs.repartition(ID).sortWithinPartitions(F.col(ID), F.col("bid").desc())
+    return dealt.mapInArrow(run, open_pairs.schema)
+
+
+def auction(pairs: DataFrame, stage: Callable[[DataFrame, str], DataFrame], clock: Clock = Clock()) -> tuple[DataFrame, int]:
+    """The claims that stand at the end, and the number of rounds.
+
+    A round: every provider claims its best open pairs within the hard limits; every slot keeps its best claims, as many
+    as it needs heads, and posts the least of them as its price; pairs with a bid below the price are closed in the next
+    round. What becomes of a pair depends on pairs with higher bids alone, so from the best bid down everything settles:
+    the rounds end, at the same claims whatever the partitioning, and no pair is left out that slot and provider would
+    both rather have. Sites whose claims stay the same are done and leave the next round.
+    """
+    by_slot = W.partitionBy(*SLOT).orderBy(F.col("bid").desc())
+    kept = ["site", "work_date", "shift_type", "unit", "price"]
+    claims = stage(_claims(pairs, clock), "claims-0")
+    done, prices, n = [], None, 0
+    mark = lambda c, sign: c.select("site", F.lit(sign).alias("n"), F.xxhash64(*SLOT, ID).alias("h"))
+    while True:
+        n += 1
+        ranked = claims.withColumn("_place", F.row_number().over(by_slot))
+        prices = ranked.where(F.col("_place") == F.col("required_headcount")).withColumnRenamed("bid", "price").select(*kept)
+        open_pairs = pairs.join(prices, SLOT, "left").where("price IS NULL OR bid >= price").drop("price")
+        after = stage(_claims(open_pairs, clock), f"claims-{n}")
+        # Equal claims cancel out; a site whose claims all do is at its fixed point.
+        both = mark(claims, 1).union(mark(after, -1)).groupBy("site").agg(F.sum("n").alias("n"), F.bit_xor("h").alias("h"))
+        moved = stage(both.where("n <> 0 OR h <> 0").select("site"), f"moved-{n}")
+        if moved.isEmpty():
+            done.append(after)
+            break
+        done.append(after.join(moved, "site", "left_anti"))
+        claims = after.join(moved, "site", "left_semi")
+        pairs = pairs.join(moved, "site", "left_semi")
+        if n % 8 == 0:
+            pairs = stage(pairs, f"pairs-{n}")
+    return reduce(DataFrame.unionByName, done), n
+
+
+def draft(
+    coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, clock: Clock = Clock(), stage: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
+    """A first draft for a person to approve, by an auction over all sites at once; ``with_hard_ok`` adds what the audit says.
+
+    No step groups a site: pairs are dealt by provider and by slot. Slots and providers that cannot meet leave seats open;
+    empty tables give an empty draft.
+    """
+    ship_package(coverage.sparkSession)
+    stage = stage or staging(coverage.sparkSession, "auction")
+    pairs = stage(bids(coverage, facts, block, clock), "pairs")
+    claims, _ = auction(pairs, stage, clock)
+    options = pairs.groupBy(*SLOT).agg((F.count(F.lit(1)) - 1).cast("int").alias("alternatives"))
+    seat = F.row_number().over(W.partitionBy(*SLOT).orderBy(F.col("bid").desc()))
+    hard = (F.col("shift_type") == "night") | F.dayofweek("work_date").isin(1, 7)
+    before = W.partitionBy(ID, "block").orderBy(F.col("bid").desc()).rowsBetween(W.unboundedPreceding, -1)
+    load = F.coalesce(F.sum(hard.cast("int")).over(before), F.lit(0)).cast("int")
+    out = claims.withColumn("seat", seat).withColumn("equity_load", load).join(options, SLOT)
+    why = F.struct(F.col("preference_weight").cast("int").alias("preference_weight"), "equity_load", "alternatives")
+    made = out.select(F.lit(run_id).alias("run_id"), "site", ID, "work_date", "shift_type", "unit", "seat", why.alias("why_factors"))
+    # Stored: the rounds above should not run again for every reader.
+    return stage(made.to(T.StructType.fromDDL(draft_schema(coverage, facts))), f"draft-{run_id}")
+
+
+def blocking_pairs(
+    drafted: DataFrame, coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clock()
+) -> DataFrame:
+    """Pairs left out of a draft although their slot has room for them and their provider could work them.
+
+    Room and limits are looked at as if only shifts with higher bids stood, since both sides would give up the lower ones.
+    A draft of ``draft`` has none. It is worked out by joins, not by the auction.
+    """
+    pairs = bids(coverage, facts, block, clock)
+    key = [*SLOT, ID]
+    held = drafted.select(*key).join(pairs, key)
+    higher = held.groupBy(*SLOT).agg(F.array_sort(F.collect_list("bid")).alias("slot_bids"))  # at most the headcount
+    theirs = held.groupBy(ID).agg(F.collect_list(F.struct("bid", "day", "begin", "block", "shift_type")).alias("duties"))  # one a day
+    free = pairs.join(held.select(*key), key, "left_anti").join(higher, SLOT, "left").join(theirs, ID, "left")
+    above = F.filter(F.coalesce("duties", F.array().cast(theirs.schema["duties"].dataType)), lambda d: d["bid"] > F.col("bid"))
+    free = free.withColumn("above", above)
+    room = F.size(F.filter(F.coalesce("slot_bids", F.array().cast(higher.schema["slot_bids"].dataType)), lambda b: b > F.col("bid"))) < F.col("required_headcount")
+    days = F.transform("above", lambda d: d["day"])
+    gap = lambda d: F.abs(d["begin"] - F.col("begin")) - clock.hours
+    clash = F.exists("above", lambda d: (d["day"] == F.col("day")) | F.coalesce(gap(d) < F.col("rest_hours"), F.lit(False)))
+    turned = F.exists(
+        "above",
+        lambda d: ((F.col("shift_type") == "day") & (d["shift_type"] == "night") & (d["day"] == F.col("day") - 1))
+        | ((F.col("shift_type") == "night") & (d["shift_type"] == "day") & (d["day"] == F.col("day") + 1)),
+    )
+    near = lambda sign: F.array_min(
+        F.filter(F.sequence(F.lit(1), F.size("above") + 1), lambda k: ~F.array_contains(days, F.col("day") + sign * k))
     )
-    planned = slots.select(*by).distinct().select(*[F.col(c).alias(c) for c in by])
-    people = facts.select(
-        "site", ID, "credentials", "off_days", "wished_days", "wants_night_differential", "needs_optin", "night_day_rule",
-        "rest_hours", "max_run", "block_max", "weights", "fte", "seniority_years",
-    ).join(planned, "site")
-
-    def fill(slot_rows: pd.DataFrame, staff_rows: pd.DataFrame) -> pd.DataFrame:
-        return _fill(slot_rows, staff_rows, run_id, clock)
-
-    # The groups are few bytes but much work: an explicit number keeps small partitions from being merged.
-    n = int(coverage.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = slots.repartition(n, *by).groupBy(*by)
-    return spread.cogroup(people.repartition(n, *by).groupBy(*by)).applyInPandas(fill, draft_schema(coverage, facts))
+    run = near(1) + near(-1) - 1
+    count = F.size(F.filter("above", lambda d: d["block"] == F.col("block"))) + 1
+    full = F.coalesce(count > F.col("block_max"), F.lit(False)) | F.coalesce(run > F.col("max_run"), F.lit(False))
+    return free.where(room & ~clash & ~(F.col("night_day_rule") & turned) & ~full).select(*key)
 
 
 #: Rules that a draft may leave open: an empty seat, too few shifts.

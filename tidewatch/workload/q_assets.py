@@ -292,3 +292,81 @@ def _(t):
             "department", "shift", "period", F.round("forecast", 4).alias("required_fte"), F.lit(True).alias("is_forecast")
         )
     )
+
+
+# --- seasonal demand: orders by month ---------------------------------------------------
+
+_MONTHS = (
+    "mo AS (SELECT c_mktsegment AS department, o_orderpriority AS shift, CAST(year(o_orderdate) * 12 + month(o_orderdate) AS INTEGER) AS m, "
+    "CAST(count(*) AS DOUBLE) AS y FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL)"
+)
+
+
+def _months(t):
+    orders = t.raw("orders").select("o_custkey", F.col("o_orderpriority").alias("shift"), (F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("m"))
+    held = orders.join(t.raw("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("department")), "o_custkey")
+    return held.groupBy("department", "shift", "m").agg(F.count(F.lit(1)).cast("double").alias("y"))
+
+
+def _seasonal_sql() -> str:
+    """Normal equations of constant, trend and one wave of twelve months, eliminated step by step."""
+    n, by = 4, "department, shift"
+    basis = lambda x: ["1.0::DOUBLE", f"({x} / 12.0::DOUBLE)", f"cos({x} * (2 * pi() / 12))", f"sin({x} * (2 * pi() / 12))"]
+    sums = [f"sum(b{i} * b{j}) AS m{i}{j}" for i in range(n) for j in range(n)] + [f"sum(b{i} * y) AS m{i}{n}" for i in range(n)]
+    sql = (
+        f"WITH {_MONTHS}, x AS (SELECT *, CAST(m - min(m) OVER (PARTITION BY {by}) AS DOUBLE) AS x FROM mo), "
+        f"b AS (SELECT *, {', '.join(f'{e} AS b{i}' for i, e in enumerate(basis('x')))} FROM x), "
+        f"a0 AS (SELECT {by}, count(*) AS n_points, max(m) AS last, min(m) AS fst, {', '.join(sums)} FROM b GROUP BY {by}), "
+    )
+    for k in range(n):
+        cells = [f"{f'm{i}{j}' if i == k else f'm{i}{j} - m{i}{k} / m{k}{k} * m{k}{j}'} AS m{i}{j}" for i in range(n) for j in range(n + 1)]
+        sql += f"a{k + 1} AS (SELECT {by}, n_points, last, fst, {', '.join(cells)} FROM a{k}), "
+    at = " + ".join(f"m{i}{n} / m{i}{i} * {e}" for i, e in enumerate(basis("CAST(last + h - fst AS DOUBLE)")))
+    return sql + (
+        f"f AS (SELECT {by}, CAST(last + h AS INTEGER) AS m, round(greatest({at}, 0), 3) AS forecast, n_points, 'seasonal' AS method "
+        f"FROM a{n}, (VALUES (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12)) AS r(h)) SELECT * FROM f"
+    )
+
+
+@query("seasonal_demand_forecast", _seasonal_sql())
+def _(t):
+    """The year ahead of monthly demand by department and shift."""
+    out = forecast.seasonal_forecast(_months(t), ["department", "shift"], "m", "y", 12, period=12)
+    return out.select("department", "shift", "m", F.round("forecast", 3).alias("forecast"), "n_points", "method")
+
+
+@query("seasonal_backtest")
+def _(t):
+    """Rolling-origin error of the seasonal and the linear forecast, half a year ahead from four origins."""
+    months, keys = _months(t), ["department", "shift"]
+    last = months.agg(F.max("m")).first()[0] or 0
+    origins = [last - 6 * k for k in range(1, 5)]
+    seasonal = forecast.rolling_origin(months, keys, "m", "y", origins, lambda d, k: forecast.seasonal_forecast(d, k, "m", "y", 6, period=12))
+    linear = forecast.rolling_origin(months, keys, "m", "y", origins, lambda d, k: forecast.linear_forecast(d, k, "m", "y", 6))
+    return seasonal.withColumn("method", F.lit("seasonal")).unionByName(linear.withColumn("method", F.lit("trend")))
+
+
+@query(
+    "kpi_sketches",
+    "SELECT c_mktsegment AS segment, o_orderpriority AS priority, CAST(grouping(c_mktsegment) * 2 + grouping(o_orderpriority) AS INTEGER) AS grain, count(*) AS n_orders, "
+    "true AS customers_ok, true AS median_ok FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY CUBE (c_mktsegment, o_orderpriority)",
+)
+def _(t):
+    """Distinct customers and median price at every grain from sketches of the finest one, held against exact values: the
+    count within five standard errors, the median between the 46th and the 54th percentile."""
+    held = t.raw("orders").join(t.raw("customer"), F.col("c_custkey") == F.col("o_custkey")).select(
+        F.col("c_mktsegment").alias("segment"), F.col("o_orderpriority").alias("priority"), "o_custkey", F.col("o_totalprice").cast("double").alias("price")
+    )
+    dims = ["segment", "priority"]
+    made = metrics.evaluate_cube(
+        held, [metrics.count_of("n_orders"), metrics.distinct_of("customers", F.col("o_custkey")), metrics.quantile_of("median", F.col("price"), 0.5)], dims
+    )
+    exact = held.cube(*dims).agg(
+        F.grouping_id().cast("int").alias("grain"), F.countDistinct("o_custkey").alias("n"), F.percentile("price", F.array(F.lit(0.46), F.lit(0.54))).alias("p")
+    )
+    same = [made[c].eqNullSafe(exact[c]) for c in [*dims, "grain"]]
+    j = made.join(exact, same)
+    near = F.abs(F.col("customers") - F.col("n")) <= F.greatest(F.lit(1.0), 5 * 0.0163 * F.col("n"))
+    return j.select(
+        *[made[c] for c in [*dims, "grain"]], "n_orders", near.alias("customers_ok"), F.col("median").between(F.col("p")[0], F.col("p")[1]).alias("median_ok")
+    )

@@ -274,3 +274,32 @@ def _(t):
         F.col("r_name").alias("user"), F.col("n_nationkey").alias("c_nationkey")
     )
     return govern.row_filter(t.raw("customer").select("c_custkey", "c_nationkey"), held, ["c_nationkey"], "ASIA")
+
+
+#: Notes with several mentions, made from the bound notes: (condition on the key, text that goes before the note).
+_EARLIER = [
+    (0, "Family history of CKD stage 4 in mother. "), (1, "No evidence of CKD stage 2 or CKD stage 3; "), (2, "History of CKD 2, resolved. "),
+    (3, "Possible chronic kidney disease stage 3a. "), (4, "CKD stage 5 was ruled out. "), (5, ""),
+]
+_NOTES = "concat(CASE note_id % 6 " + " ".join(f"WHEN {k} THEN '{text}'" for k, text in _EARLIER) + " END, note_text)"
+
+
+def _assertion_sql() -> str:
+    window, stage = S.WINDOW_PATTERN, S.STATED_STAGE_PATTERN
+    before = " ".join(f"WHEN regexp_matches(w, '{p}') THEN '{n}'" for n, p in S.ASSERTION_BEFORE.items())
+    behind = " ".join(f"WHEN regexp_matches(behind, '{p}') THEN '{n}'" for n, p in S.ASSERTION_BEHIND.items())
+    return (
+        f"WITH t AS (SELECT note_id, {_NOTES} AS text FROM note), "
+        f"s AS (SELECT note_id, regexp_extract_all(text, '{stage}', 1) AS st, regexp_split_to_array(text, '{stage}') AS pc FROM t), "
+        "e AS (SELECT note_id, unnest(range(1, len(st) + 1)) AS i, st, pc FROM s), "
+        f"w AS (SELECT note_id, i, lower(st[i]) AS stage, pc[i] AS before, pc[i + 1] AS behind, regexp_extract(right(pc[i], 160), '{window}', 1) AS w FROM e), "
+        f"a AS (SELECT *, CASE {before} {behind} WHEN regexp_matches(before, '{S.CARRY_PATTERN}') THEN NULL ELSE 'present' END AS own FROM w) "
+        "SELECT note_id, CAST(i AS INTEGER) AS nth, stage, coalesce(last_value(own IGNORE NULLS) OVER (PARTITION BY note_id ORDER BY i), 'present') AS assertion FROM a"
+    )
+
+
+@query("stage_assertions_in_notes", _assertion_sql(), "note")
+def _(t):
+    noted = t.note.select("note_id", S.stage_mentions(F.expr(_NOTES)).alias("m"))
+    one = noted.select("note_id", F.posexplode("m").alias("at", "m"))
+    return one.select("note_id", (F.col("at") + 1).alias("nth"), "m.stage", "m.assertion")

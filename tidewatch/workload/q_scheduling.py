@@ -227,11 +227,11 @@ def _(t):
     return out.select("site", "n_shifts", "preference_points", "liked_share", "asked_off_worked", "isolated_shifts")
 
 
-# --- drafts: sequential by nature, so rows only; the audit of a draft is checked in the tests ------
+# --- drafts: an auction to a fixed point, so rows only; its audit and its blocking pairs are checked here and in the tests ------
 
 
 def _draft(t, facts, run_id="run-1"):
-    return staging(t.spark, "draft")(H.draft(t.cov, facts, BLOCK, run_id), "rows")
+    return H.draft(t.cov, facts, BLOCK, run_id)
 
 
 @query("draft_schedule")
@@ -258,6 +258,19 @@ def _(t):
     return names.join(found, "rule", "left").select("rule", F.coalesce("_n", F.lit(0)).alias("n"))
 
 
+@query("draft_blocking_pairs", "SELECT CAST(0 AS BIGINT) AS n_blocking, CAST(0 AS BIGINT) AS n_overfilled")
+def _(t):
+    """No slot and provider are left apart that would both rather have each other; no slot has more heads than it needs."""
+    facts = _facts(t)
+    drafted = _draft(t, facts)
+    over = drafted.groupBy(*H.SLOT).agg(F.count(F.lit(1)).alias("n")).join(
+        t.cov.groupBy(*H.SLOT).agg(F.max("required_headcount").alias("heads")), H.SLOT
+    ).where("n > heads")
+    blocking = H.blocking_pairs(drafted, t.cov, facts, BLOCK)
+    both = blocking.select(F.lit(1).alias("b"), F.lit(0).alias("o")).union(over.select(F.lit(0), F.lit(1)))
+    return both.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("n_blocking"), F.coalesce(F.sum("o"), F.lit(0)).alias("n_overfilled"))
+
+
 @query("draft_run_record")
 def _(t):
     facts = _facts(t)
