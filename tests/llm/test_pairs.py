@@ -97,6 +97,23 @@ def test_groups_of_nothing_nulls_and_repeats(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "9", "None"] and kept.columns == ["doc_id", "text", "v"]
 
 
+def test_rows_that_repeat_an_id_go_by_their_own_text(spark):
+    rows = [(3, "a b c d e f"), (5, "A b c d e f"), (5, "quite another text of six"), (5, "quite another text of six"), (6, None), (6, "a b c d e f")]
+    kept = trie_join.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_gone_", F.lit(1)).withColumn("k", F.lit(2)))
+    assert sorted(map(str, (tuple(r)[:2] for r in kept.collect()))) == sorted(map(str, [rows[0], rows[2], rows[3], rows[4]]))
+
+
+@pytest.mark.parametrize("names", [["_d_", "_cuts_"], ["_D_", "_cuts__", "_cuts_"]])
+def test_removal_keeps_columns_with_clashing_names(spark, names):
+    long = " ".join(f"w{i}" for i in range(80))
+    rows = spark.createDataFrame([(1, long + " one"), (2, "two " + long), (3, None)], "doc_id bigint, text string")
+    for i, n in enumerate(names):
+        rows = rows.withColumn(n, F.lit(i))
+    got = {r["doc_id"]: r for r in substring.remove(rows).collect()}
+    assert got[2]["text"].strip() == "two" and got[1]["text"] == long + " one" and got[3]["text"] is None
+    assert all(r[n] == i for r in got.values() for i, n in enumerate(names))
+
+
 def test_one_large_group_of_near_copies(spark):
     r = random.Random(8)
     base = [f"w{i}" for i in range(120)]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from tidewatch.llm import pii, quality_classifier, quality_rules
+from tidewatch.llm.common import stage_for
 
 ROOT = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -181,6 +182,52 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all("<PHONE>" in out[i] and "555" not in out[i] for i in range(43)) and [out[i] for i in range(43, 86)] == clean
 
 
+def test_secrets_are_seeds_and_their_contexts_find_more(spark):
+    r = random.Random(11)
+    noise = lambda n: " ".join(f"w{r.randrange(500)}" for _ in range(n))
+    hexes = ["".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(12)]
+    texts = [f'{noise(5)} token = "{h}" {noise(5)}' for h in hexes] + [f"{noise(4)} AKIA{'Q7' * 8} {noise(4)}"]
+    texts += [f'{noise(5)} token = "Xk29-Lq81-Zz4477" {noise(3)}', f'{noise(5)} part = "Xk29-Lq81-Zz4478" {noise(3)}', "0" * 40 + " " + "a" * 40]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pii.digests(pii.find(rows)).collect()}
+    for i, t in enumerate(texts):
+        wanted = hexes[i] if i < 12 else "AKIA" + "Q7" * 8 if i == 12 else "Xk29-Lq81-Zz4477" if i == 13 else None
+        assert got[i]["spans"] == (f"secret:{t.index(wanted)}:{t.index(wanted) + len(wanted)}" if wanted else ""), t
+        assert got[i]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    out = {r["doc_id"]: r["text"] for r in pii.redact(rows).collect()}
+    assert all("<SECRET>" in out[i] for i in range(14)) and out[14] == texts[14]
+
+
+def test_bootstrapping_goes_on_to_a_fixed_point(spark):
+    """A chain: contexts of seeds reach tokens, whose other contexts reach further tokens, five steps on."""
+    r = random.Random(12)
+    noise = lambda n: " ".join(f"w{r.randrange(900)}" for _ in range(n))
+    token = lambda step, k: f"{70 + step}-{k}{k}-{4000 + 17 * k}"
+    texts = []
+    for step in range(6):  # 40 seeds of 51 are too few by themselves; with the tokens of the step before they are enough
+        held = [f"+1 702 555 {1000 + k}" for k in range(40)] + [token(step, k) for k in range(5)]
+        held += [token(step - 1, k) for k in range(5)] if step else []
+        texts += [f"{noise(3)} mark {'abcdef'[step]}x {x} end{step} {noise(3)}" for x in held]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    spans = {r["doc_id"]: r["spans"] for r in pii.digests(pii.find(rows)).collect()}
+    assert all(spans[i].startswith("phone:") for i in range(len(texts)))
+
+
+@pytest.mark.parametrize("names", [["_key_", "_text_", "_spans_"], ["_KEY_", "_key__", "spans", "base"]])
+def test_redaction_keeps_columns_with_clashing_names(spark, names):
+    rows = spark.createDataFrame([(1, "mail a@b.c now"), (2, None)], "doc_id bigint, text string")
+    for i, n in enumerate(names):
+        rows = rows.withColumn(n, F.lit(i))
+    got = {r["doc_id"]: r for r in pii.redact(rows).collect()}
+    assert got[1]["text"] == "mail <EMAIL> now" and got[2]["text"] is None and all(r[n] == i for r in got.values() for i, n in enumerate(names))
+
+
+def test_first_stage_keeps_a_column_named_like_its_score(spark):
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet").withColumn("_score_", F.lit(7)).withColumn("_text_", F.lit("x"))
+    out = corpus_pipeline.good_documents(spark, docs, ROOT)
+    assert out.columns == docs.columns and out.select("_score_", "_text_").distinct().collect() == [(7, "x")]
+
+
 def test_personal_data_odd_rows(spark):
     schema = "doc_id bigint, text string"
     assert pii.find(spark.createDataFrame([], schema)).count() == 0 and pii.redact(spark.createDataFrame([], schema)).count() == 0

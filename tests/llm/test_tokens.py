@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 import public_tokenizers as P
@@ -15,6 +16,7 @@ from tidewatch.llm.word_ids import WordEncoder, default_vocabulary
 AWKWARD = "ab'sS tTrRe0 1\n\t\r  é́Ä̈ß  \x1c\x85 #|<>.,İΣς日本 ٣"
 TEXTS = [
     "Hello, World. hello", None, "", "   \n\t ", "a" * 5000, "x.,y ... 'tis don't", "<|endoftext|> a <|startoftext|>",
+    "x<|endoftext|>y <|ENDOFTEXT|> <|endoftext|><|endoftext|>, < |endoftext|>", "İstanbul Éa e\u0301é ß ŉa ﬁne ǅ ª word's", "q" * 300 + " " + "ñ" * 400,
     "naïve CAFÉ Ünïcode\nline two", " " * 3000 + "z", "12345 67.89", "dup text", "dup text",
 ]
 
@@ -30,12 +32,16 @@ def random_texts(n, seed=3):
 
 
 def library_ids(texts):
-    encoder = WordEncoder(default_vocabulary())
-    return [e.ids + [1] for e in encoder.model.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    """What the library gives, untouched."""
+    model = Tokenizer.from_file(default_vocabulary())
+    return [e.ids + [1] for e in model.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def test_word_encoder_equals_library():
-    texts = TEXTS + random_texts(400)
+    r = random.Random(6)
+    many = [" ".join("".join(r.choice("abcdéñßİŉﬁﾞ日ǅ'.,") for _ in range(r.randint(1, 9))) for _ in range(3000)) for _ in range(4)]
+    texts = TEXTS + random_texts(400) + many
+    assert [49407] in [i[:1] for i in library_ids(["<|endoftext|>"])]
     got = [np.frombuffer(b, "<u4").tolist() for b in WordEncoder(default_vocabulary()).encode(texts)]
     assert got == [ids[:-1] for ids in library_ids(texts)]
 

@@ -23,6 +23,18 @@ def stage_for(spark: SparkSession, label: str) -> Stage:
     return staging(spark, label)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it (in any case)."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_raw(spark, root, name)
 

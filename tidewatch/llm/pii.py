@@ -1,9 +1,10 @@
 """Personal data: fixed base forms, and bootstrapped extraction of identifiers that stand in the same contexts.
 
-Base entities are the seeds. Their contexts (the words before and after, hashed) are lexical patterns; tokens that look like
-identifiers and stand in such contexts are candidate instances. Spark scores the graph of patterns and instances in
-rounds: a pattern is as good as the instances it extracts, an instance as good as its best confident patterns. Tokens that
-confident patterns reach are added with the pattern's kind.
+Base entities are the seeds, and so are credentials of a fixed form (kind ``secret``, which is no base kind). Their contexts
+(the words before and after, or the word before with the shape of the token, hashed) are lexical patterns; tokens that look
+like identifiers and stand in such contexts are candidate instances. Spark scores the graph of patterns and instances until
+no more is found: a pattern is as good as the instances it extracts, an instance as good as its best confident
+patterns. Tokens that confident patterns reach are added with the pattern's kind, and so are the credentials.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import Stage, stage_for
+from tidewatch.llm.common import Stage, fresh, stage_for
 from tidewatch.session import ship_package
 
-KINDS = ["email", "ip", "card", "phone"]
-ROUNDS = 3
+KINDS = ["email", "ip", "card", "phone", "secret"]
+#: Kinds of the base; a kind behind them only adds spans.
+N_BASE = 4
 #: A pattern is confident when at least this share of the distinct instances it extracts is known, counted with one
 #: unknown instance more, and when it extracts this many known ones.
 CONFIDENT, SUPPORT = 0.8, 5
@@ -34,10 +36,12 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_SECRET = re.compile(r"(?<![0-9A-Za-z])(?:AKIA[A-Z0-9]{16,}|[0-9a-f]{32,})(?![0-9A-Za-z])")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = "\"'`.,;:!?()[]{}<>|=*#$%&~^"
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_SHAPES = (re.compile("[0-9]+"), re.compile("[a-z]+"), re.compile("[A-Z]+"))
 
 Span = tuple[int, int, int]  # start, kind number, end
 
@@ -82,6 +86,19 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+def secret_spans(text: str, taken: list[Span]) -> list[Span]:
+    """Credentials of a fixed form that touch no base span: access keys, and runs of 32 or more hex digits of letters and digits."""
+    if not _DIGIT.search(text):
+        return []
+    found = [(m.start(), N_BASE, m.end()) for m in _SECRET.finditer(text) if not m.group().isdigit() and not m.group().isalpha()]
+    return [(s, k, e) for s, k, e in found if not any(a < e and s < b for a, _, b in taken)]
+
+
+def shape(token: str) -> str:
+    """Classes of signs: 0 for digits, a and A for letters, each run once; other signs stay."""
+    return _SHAPES[2].sub("A", _SHAPES[1].sub("a", _SHAPES[0].sub("0", token)))
+
+
 def candidate_spans(text: str, taken: list[Span]) -> list[tuple[int, int]]:
     """Tokens without their edge signs that look like identifiers and touch no base span."""
     if "@" not in text and not _DIGIT.search(text):
@@ -108,10 +125,15 @@ REACH = 80
 
 
 def contexts(text: str, begin: int, end: int) -> list[int]:
-    """The patterns around a token: two words before, and one word before with one after."""
-    left = text[max(0, begin - REACH) : begin].lower().split()
-    right = text[end : end + REACH].lower().split()
+    """The patterns around a token: two words before; one word before with one after; one word before with the token's shape.
+
+    Quotation marks alone are no words.
+    """
+    left = [w for w in text[max(0, begin - REACH) : begin].lower().split() if w.strip("\"'`")]
+    right = [w for w in text[end : end + REACH].lower().split() if w.strip("\"'`")]
     out = []
+    if left:
+        out.append(_hash("shape", left[-1], shape(text[begin:end][:REACH])))
     if len(left) >= 2:
         out.append(_hash("two before", *left[-2:]))
     if left and right:
@@ -138,7 +160,8 @@ def find_base(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 t = t or ""
                 spans = base_spans(t)
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-                found = [(s, k, e) for s, k, e in spans] + [(s, -1, e) for s, e in candidate_spans(t, spans)]
+                seeds = spans + secret_spans(t, spans)
+                found = seeds + [(s, -1, e) for s, e in candidate_spans(t, seeds)]
                 seen.append(
                     [
                         {"start": s, "kind": k, "end": e, "instance": _hash("instance", t[s:e].lower()), "patterns": contexts(t, s, e)}
@@ -152,32 +175,30 @@ def find_base(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return docs.select(id_col, text).mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
-def confident_patterns(seen: DataFrame, stage: Stage, rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, kind) of the patterns that bootstrapping trusts in the end.
+def confident_patterns(seen: DataFrame, stage: Stage) -> DataFrame:
+    """(pattern, found) of the patterns that bootstrapping trusts in the end.
 
     ``seen`` has a row per occurrence (instance, kind or -1, patterns). Scores come from distinct pairs, so a text that
-    is copied a thousand times counts once. All steps are sums per pattern or instance, combined before the shuffle.
+    is copied a thousand times counts once. All steps are sums per pattern or instance, combined before the shuffle. Once
+    found, an instance and a pattern stay with their first score, so the rounds end: when one finds no more instances.
     """
     pairs = stage(seen.select("instance", F.explode("patterns").alias("pattern"), "kind").distinct(), "pairs")
     edges = pairs.select("pattern", "instance").distinct()
+    size = edges.groupBy("pattern").agg(F.count("*").alias("all"))
     known = pairs.where("kind >= 0").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
-    trusted = None
-    for n in range(rounds):
-        size = edges.groupBy("pattern").agg(F.count("*").alias("all"))
-        good = (
-            edges.join(known, "instance")
-            .groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("good"), F.count("*").alias("known"))
-        )
+    trusted, n = None, 0
+    while True:
+        good = edges.join(known, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("good"), F.count("*").alias("known"))
         scored = good.join(size, "pattern").withColumn("score", F.col("good") / (F.col("all") + 1))
-        trusted = stage(
-            scored.where((F.col("score") >= CONFIDENT) & (F.col("known") >= SUPPORT)).select("pattern", "kind", "score"), f"patterns-{n}"
-        )
-        if n + 1 < rounds:
-            reached = edges.join(trusted, "pattern").groupBy("instance", "kind").agg(F.max("score").alias("score"))
-            seeds = pairs.where("kind >= 0").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
-            best = reached.join(seeds.select("instance").distinct(), "instance", "left_anti")
-            known = stage(seeds.unionByName(best), f"known-{n}")
+        now = scored.where((F.col("score") >= CONFIDENT) & (F.col("known") >= SUPPORT)).select("pattern", "kind", "score")
+        if trusted is not None:
+            now = trusted.unionByName(now.join(trusted, ["pattern", "kind"], "left_anti"))
+        trusted = stage(now, f"patterns-{n}")
+        reached = edges.join(trusted, "pattern").groupBy("instance", "kind").agg(F.max("score").alias("score"))
+        new = stage(reached.join(known.select("instance").distinct(), "instance", "left_anti"), f"new-{n}")
+        if new.isEmpty():
+            break
+        known, n = stage(known.unionByName(new), f"known-{n}"), n + 1
     first = Window.partitionBy("pattern").orderBy(F.desc("score"), "kind")  # at most one row per kind
     return trusted.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("pattern", F.col("kind").alias("found"))
 
@@ -198,6 +219,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", stage: Sta
         .join(patterns, "pattern")
         .groupBy("_row", "start", "end")
         .agg(F.min("found").alias("kind"))
+        .unionByName(seen.where(F.col("kind") >= N_BASE).select("_row", "start", "end", "kind"))
         .groupBy("_row")
         .agg(F.collect_list(F.struct("start", "kind", "end")).alias("added"))
     )
@@ -217,7 +239,7 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
     return found.select(
         id_col,
-        *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:N_BASE])],
         F.sha2(written(F.col("base")), 256).alias("base_sha256"),
         written(F.col("spans")).alias("spans"),
     )
@@ -234,20 +256,21 @@ def cut_out(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame, text: str = "text", stage: Stage | None = None) -> DataFrame:
-    """The documents with every found span replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>`` or ``<PHONE>``.
+    """The documents with every found span replaced by ``<EMAIL>``, ``<IP>``, ``<CARD>``, ``<PHONE>`` or ``<SECRET>``.
 
     All columns stay, and so do null texts. Spans depend on the text alone, so rows are joined to them by its hash and
     length; a text without any span is not changed.
     """
     stage = stage or stage_for(docs.sparkSession, "redact")
     name = F.struct(F.xxhash64(text).alias("h"), F.length(text).alias("n"))
-    texts = docs.where(F.col(text).isNotNull()).select(name.alias("_key_"), F.col(text).alias("_text_"))
-    found = find(texts, "_key_", "_text_", stage).where(F.size("spans") > 0).dropDuplicates(["_key_"])
+    key, body, held = fresh(docs, "_key_", "_text_", "_spans_")
+    texts = docs.where(F.col(text).isNotNull()).select(name.alias(key), F.col(text).alias(body))
+    found = find(texts, key, body, stage).where(F.size("spans") > 0).dropDuplicates([key])
     names = docs.columns
     joined = (
-        docs.withColumn("_key_", name)
-        .join(stage(found.select("_key_", F.col("spans").alias("_spans_")), "spans"), "_key_", "left")
-        .select(F.col(text).alias("_text_"), "_spans_", *names)
+        docs.withColumn(key, name)
+        .join(stage(found.select(key, F.col("spans").alias(held)), "spans"), key, "left")
+        .select(F.col(text).alias(body), held, *names)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

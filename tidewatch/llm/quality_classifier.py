@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import _SPACE, Words, _BYTE, _STEP, bytes_of, mix, ngrams, steps
+from tidewatch.llm.common import Words, _BYTE, _SPACE, _STEP, bytes_of, fresh, mix, ngrams, steps
 from tidewatch.session import ship_package
 
 BITS = 18
@@ -159,7 +159,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     ship_package(spark)
     sent = spark.sparkContext.broadcast((model.weights, model.bias))  # 2**BITS numbers
     kept = [c for c in docs.columns if c != out]
-    body = docs.select(F.col(text).alias("_text_"), *[F.col(c) for c in kept])
+    [own_text] = fresh(docs, "_text_")
+    body = docs.select(F.col(text).alias(own_text), *[F.col(c) for c in kept])
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,14 +8,17 @@ from collections.abc import Callable
 import numpy as np
 
 #: Distinct words a task keeps; beyond that the table starts anew (a memory bound, results do not depend on it).
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
+#: Words that go to the library in one text.
+TOGETHER = 2048
 
 
 class WordEncoder:
     """Encodes whole texts exactly as the library would, for vocabularies whose pieces never span white space.
 
     Such a vocabulary cuts texts at white space, so a text's ids are its words' ids in a row. Blanks and line feeds
-    are the only cuts made here; other white space stays inside a word and is left to the library.
+    are the only cuts made here; other white space stays inside a word and is left to the library. Strings of
+    special tokens inside a text become those tokens, as the library has it by default.
     """
 
     def __init__(self, path: str):
@@ -23,8 +26,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
+        #: Ids that end a word, where the vocabulary marks word ends.
+        vocabulary = self.model.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.signs = {"": b""}
         for sign in ",.":
             ids = self.model.encode(sign, add_special_tokens=False).ids
@@ -38,16 +44,35 @@ class WordEncoder:
         missing = set().union(*cut).difference(self.known)
         # "Word," is the pieces "word" and ",": most words with a sign behind need no call of the library.
         stems = {w: _stem(w) for w in missing}
-        new = list({s for s, _ in stems.values()}.difference(self.known))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        new = {s for s, _ in stems.values()}.difference(self.known)
+        letters = [w for w in new if w.isalpha()]
+        for at in range(0, len(letters), TOGETHER):
+            self._together(letters[at : at + TOGETHER])
+        self._one_by_one(list(new.difference(letters)))
         for w, (stem, sign) in stems.items():
             self.known[w] = self.known[stem] + self.signs[sign]
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
+    def _one_by_one(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            for w, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+
+    def _together(self, words: list[str]) -> None:
+        """Words of letters alone: each is one piece, so its ids go up to the next id that ends a word. Where the counts do
+        not say so (a letter that the vocabulary's rules take apart), each word is encoded by itself."""
+        ids = np.asarray(self.model.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1 if len(ids) and int(ids.max()) < len(self.ends) else ()
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            self._one_by_one(words)
+            return
+        raw, begin = ids.tobytes(), 0
+        for w, end in zip(words, (4 * ends).tolist(), strict=True):
+            self.known[w] = raw[begin:end]
+            begin = end
+
 
 def _stem(word: str) -> tuple[str, str]:
     """A word as (stem, sign): plain ASCII letters lose capitals and one comma or full stop behind them."""
