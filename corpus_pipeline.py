@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import packing, pii, quality_classifier, substring, trie_join
+from tidewatch.llm.common import fresh
 from tidewatch.llm.word_ids import default_vocabulary
 from tidewatch.session import scratch_path
 from tidewatch.sources.tables import read_raw
@@ -25,8 +26,9 @@ def _recount(docs: DataFrame) -> DataFrame:
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents below ``LEAST_QUALITY`` go. All columns and all other rows stay."""
     model = quality_classifier.train(docs, read_raw(spark, sf_dir, "labels"))
-    scored = quality_classifier.score(docs, model, out="_score_")
-    return scored.where(F.col("_score_") >= LEAST_QUALITY).select(*docs.columns)
+    [out] = fresh(docs, "_score_")
+    scored = quality_classifier.score(docs, model, out=out)
+    return scored.where(F.col(out) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
