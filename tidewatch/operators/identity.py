@@ -6,19 +6,26 @@ side; the rest stays visible as a tie. Tiers, each on what the earlier ones left
 
     EXACT_ID    the ids are equal
     EXACT_NAME  same department and folded name
-    FUZZY similar    scored names: one edit apart or alike in initial and sound within a department, or one edit apart
-                     in different departments where the name stands for one person on each side; the department adds
-                     to the score and so breaks ties; links across departments are for review
+    FUZZY similar    scored names: one edit apart or half of their letter pairs in common within a department, or one edit
+                     apart in different departments where the name stands for one person on each side; the department
+                     adds to the score and so breaks ties; links across departments are for review
     FUZZY sound      same department and first name, last names sound alike
     FUZZY first      same department and first name (changed last name); always for review
 
 The similar tier joins on deletion texts (the names that yield one text by deleting a letter number at most
-(length + 1) x alphabet) and on department, initial and sound of the last name, always over distinct names.
+(length + 1) x alphabet) and on the rarest letter pairs of a name, by a prefix filter with bounds on length and position,
+always over distinct names.
+
+Apart from the tiers, ``agreement_patterns``, ``fit_weights`` and ``link_probabilities`` score candidate pairs by the
+Fellegi-Sunter model, its parameters fitted by expectation maximisation over the few patterns of agreement.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from itertools import product
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -76,21 +83,59 @@ def deletions(text: str):
     return F.array_distinct(F.concat(F.array(t), cut))
 
 
+#: Names are alike when this percentage of their distinct letter pairs are common ones (of all that either has).
+GRAM_PERCENT = 50
+
+
+def grams(text: str):
+    """The distinct pairs of neighbouring letters; a text of one letter is its own."""
+    t = F.col(text)
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: F.substring(t, i, F.lit(2))))
+
+
+def alike_in_grams(a: DataFrame, b: DataFrame, percent: int = GRAM_PERCENT) -> DataFrame:
+    """Pairs of names (``name_l``, ``name_r``) of one ``dept`` with ``percent`` of their letter pairs in common.
+
+    Grams of a name stand in one order, rarest first by counts over both sides. Two names that are alike share one of the
+    first ``prefix`` grams of each, their lengths are alike too, and behind the first common gram enough others must be
+    left: only pairs that pass all of that are compared. No pair is missed.
+    """
+    parted = {"l": a, "r": b}
+    names = {k: df.select("dept", F.col(f"name_{k}").alias("name")).withColumn("gram", F.explode(grams("name"))) for k, df in parted.items()}
+    counts = names["l"].select("gram").union(names["r"].select("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+
+    def keyed(tag: str) -> DataFrame:
+        ordered = (
+            names[tag].join(counts, "gram").groupBy("dept", "name").agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("g"))
+        )  # as long as a name
+        size = F.size("g")
+        prefix = size - F.ceil(size * F.lit(percent) / 100).cast("int") + 1
+        first = F.posexplode(F.slice("g", F.lit(1), prefix)).alias("at", "one")
+        return ordered.withColumn("size", size).select(
+            "dept", F.col("name").alias(f"name_{tag}"), F.col("g.gram").alias(f"g_{tag}"), F.col("size").alias(f"size_{tag}"), first
+        ).select("*", F.col("one.gram").alias("gram"), F.col("at").alias(f"at_{tag}")).drop("one", "at")
+
+    x, y = F.col("size_l"), F.col("size_r")
+    least = F.ceil(F.lit(percent) * (x + y) / F.lit(100 + percent))
+    met = keyed("l").join(keyed("r"), ["dept", "gram"]).where(
+        (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (F.least(x - F.col("at_l"), y - F.col("at_r")) >= least)
+    )
+    common = F.size(F.array_intersect("g_l", "g_r"))
+    alike = met.where((100 + percent) * common >= percent * (x + y)).select("dept", "name_l", "name_r").distinct()
+    return alike.join(a, ["dept", "name_l"]).join(b, ["dept", "name_r"])
+
+
 def candidate_pairs(l: DataFrame, r: DataFrame) -> DataFrame:
     """Distinct name pairs worth scoring: (dept_l, dept_r, name_l, name_r) with the counts and one id of each side.
 
-    Within a department: one edit apart (adjacent swaps included), or the same initial and a last name of the same sound.
-    Across departments: one edit apart, for names that stand for one person on each side; any other name is ambiguous
+    Within a department: one edit apart (adjacent swaps included), or letter pairs alike (``alike_in_grams``). Across departments: one edit apart, for names that stand for one person on each side; any other name is ambiguous
     without its department, and would make a row per pair of departments.
     """
 
     def named(p: DataFrame, tag: str) -> DataFrame:
         counts = name_counts(p, NAME_KEY, tag)
         full = F.concat_ws(" ", "first", "last").alias(f"name_{tag}")
-        return counts.select(
-            "dept", F.col("dept").alias(f"dept_{tag}"), full, f"n_{tag}", f"id_{tag}",
-            F.substring("first", 1, 1).alias("_initial"), F.soundex("last").alias("_sound"),
-        )
+        return counts.select("dept", F.col("dept").alias(f"dept_{tag}"), full, f"n_{tag}", f"id_{tag}")
 
     def alone(p: DataFrame, tag: str) -> DataFrame:
         p = p.where(F.length("dept") > 0)
@@ -104,8 +149,8 @@ def candidate_pairs(l: DataFrame, r: DataFrame) -> DataFrame:
 
     a, b = named(l, "l"), named(r, "r")
     keep = ["dept_l", "dept_r", "name_l", "name_r", "n_l", "id_l", "n_r", "id_r"]
-    near = cut(a, "l").drop("_initial", "_sound").join(cut(b, "r").drop("_initial", "_sound"), ["dept", "_cut"]).select(keep)
-    alike = a.join(b, ["dept", "_initial", "_sound"]).select(keep)
+    near = cut(a, "l").join(cut(b, "r"), ["dept", "_cut"]).select(keep)
+    alike = alike_in_grams(a, b).select(keep)
     across = cut(alone(l, "l"), "l").join(cut(alone(r, "r"), "r"), "_cut").where("dept_l <> dept_r").select(keep)
     pair = ["dept_l", "dept_r", "name_l", "name_r"]
     every = near.unionByName(alike).unionByName(across)
@@ -254,3 +299,93 @@ def build_crosswalk(
 
 def review_queue(crosswalk: DataFrame) -> DataFrame:
     return crosswalk.where("needs_review")
+
+
+# --- probabilities of a link ----------------------------------------------------------------
+
+
+#: Levels of agreement of each field, best first (0 disagrees).
+FIELDS = {"dept": 1, "first": 2, "last": 2}
+
+
+def agreement(pairs: DataFrame) -> DataFrame:
+    """Add ``a_dept`` (equal), ``a_first`` (equal 2, same initial 1) and ``a_last`` (equal 2, one edit apart or the same sound 1)."""
+    first = lambda k: F.substring_index(f"name_{k}", " ", 1)
+    last = lambda k: F.substring_index(f"name_{k}", " ", -1)
+    near = (F.levenshtein(last("l"), last("r")) <= 1) | (F.soundex(last("l")) == F.soundex(last("r")))
+    return pairs.withColumns(
+        {
+            "a_dept": (F.col("dept_l") == F.col("dept_r")).cast("int"),
+            "a_first": F.when(first("l") == first("r"), 2).when(F.substring(first("l"), 1, 1) == F.substring(first("r"), 1, 1), 1).otherwise(0),
+            "a_last": F.when(last("l") == last("r"), 2).when(near, 1).otherwise(0),
+        }
+    )
+
+
+def agreement_patterns(pairs: DataFrame) -> DataFrame:
+    """(a_dept, a_first, a_last, n): how many candidate pairs agree how; at most 18 rows."""
+    return agreement(pairs).groupBy(*[f"a_{f}" for f in FIELDS]).agg(F.count(F.lit(1)).alias("n"))
+
+
+@dataclass(frozen=True)
+class LinkModel:
+    """Share of true links among candidates, and per field the chance of each level for links (m) and others (u)."""
+
+    share: float
+    m: dict[str, list[float]]
+    u: dict[str, list[float]]
+    rounds: int
+
+    def weight(self, levels: dict[str, int]) -> float:
+        """Log2 of how much likelier the pattern is for links."""
+        return sum(math.log2(self.m[f][levels[f]] / self.u[f][levels[f]]) for f in FIELDS)
+
+    def probability(self, levels: dict[str, int]) -> float:
+        odds = self.share / (1.0 - self.share) * 2.0 ** self.weight(levels)
+        return odds / (1.0 + odds)
+
+
+def fit_weights(patterns: DataFrame, belief: float = 0.2, rounds: int = 500, tolerance: float = 1e-9) -> LinkModel:
+    """Expectation maximisation over the patterns (18 rows at most come to the driver), fields taken as independent.
+
+    Candidates are alike in some way all of them, so what splits them best need not be links and others. Therefore
+    both shares are drawn towards those of the start (links mostly agree, others mostly do not) as by ``belief`` times as many
+    pairs as there are of either. Every level keeps a small count, so its weight is finite. Without pairs the start is returned.
+    """
+    rows = [({f: r[f"a_{f}"] for f in FIELDS}, float(r["n"])) for r in sorted(patterns.collect())]
+    start_m = {"dept": [0.2, 0.8], "first": [0.05, 0.15, 0.8], "last": [0.05, 0.25, 0.7]}
+    start_u = {"dept": [0.9, 0.1], "first": [0.7, 0.2, 0.1], "last": [0.7, 0.2, 0.1]}
+    model = LinkModel(0.2, start_m, start_u, 0)
+    total = sum(n for _, n in rows)
+    for n_round in range(1, rounds + 1 if total else 1):
+        sure = [model.probability(levels) for levels, _ in rows]
+        links = sum(p * n for p, (_, n) in zip(sure, rows, strict=True))
+
+        def shares(part: list[float], f: str, prior: list[float]) -> list[float]:
+            held = [0.01 + belief * sum(w * n for w, (_, n) in zip(part, rows, strict=True)) * x for x in prior]
+            for w, (levels, n) in zip(part, rows, strict=True):
+                held[levels[f]] += w * n
+            return [h / sum(held) for h in held]
+
+        rest = [1.0 - p for p in sure]
+        new = LinkModel(
+            min(1 - 1e-6, max(1e-6, links / total)), {f: shares(sure, f, start_m[f]) for f in FIELDS}, {f: shares(rest, f, start_u[f]) for f in FIELDS}, n_round
+        )
+        moved = abs(new.share - model.share) + sum(abs(x - y) for f in FIELDS for x, y in zip(new.m[f] + new.u[f], model.m[f] + model.u[f], strict=True))
+        model = new
+        if moved < tolerance:
+            break
+    return model
+
+
+def link_probabilities(pairs: DataFrame, model: LinkModel) -> DataFrame:
+    """The pairs with ``weight`` and ``probability`` of being one person."""
+    every = [dict(zip(FIELDS, levels, strict=True)) for levels in product(*[range(n + 1) for n in FIELDS.values()])]
+    rows = [(*levels.values(), model.weight(levels), model.probability(levels)) for levels in every]
+    table = pairs.sparkSession.createDataFrame(rows, "a_dept int, a_first int, a_last int, weight double, probability double")
+    return agreement(pairs).join(F.broadcast(table), [f"a_{f}" for f in FIELDS])  # 18 rows
+
+
+def probable_links(scored: DataFrame, least: float = 0.9) -> DataFrame:
+    """Pairs of at least that probability that are the best one of both their names (``margin`` is the lead in weight)."""
+    return best_candidates(scored.withColumn("score", F.col("weight"))).drop("score").where(F.col("probability") >= least)

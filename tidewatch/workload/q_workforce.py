@@ -52,13 +52,14 @@ def _rest(n: int, left: str, right: str) -> str:
 
 
 _CUTS = "list_distinct([{x}] || list_transform(range(1, length({x}) + 1), lambda i: concat(substr({x}, 1, i - 1), substr({x}, i + 1))))"
+_GRAMS = "list_distinct(list_transform(range(1, greatest(length({x}), 2)), lambda i: substr({x}, i, 2)))"
 _KEY = "concat('K-', substr(md5(concat(coalesce(left_id, '-'), '|', coalesce(right_id, '-'))), 1, 16))"
 
 
 def _names(side: str) -> str:
     return (
         f"(SELECT dept, first, concat(first, ' ', last) AS nm, count(*) AS n, min(id) AS id, {_CUTS.format(x='any_value(concat(first, chr(32), last))')} AS cuts, "
-        f"any_value({_soundex('last')}) AS snd, sum(count(*)) OVER (PARTITION BY first, last) = 1 AS alone "
+        f"any_value({_GRAMS.format(x='concat(first, chr(32), last)')}) AS gr, sum(count(*)) OVER (PARTITION BY first, last) = 1 AS alone "
         f"FROM {side} WHERE first <> '' AND last <> '' AND dept <> '' GROUP BY dept, first, last)"
     )
 
@@ -68,7 +69,7 @@ def _pairs(left: str, right: str) -> str:
     cols = "a.dept AS dl, b.dept AS dr, a.nm AS x, b.nm AS y, a.n AS nl, b.n AS nr, a.id AS il, b.id AS ir"
     return (
         f"na AS {_names(left)}, nb AS {_names(right)}, "
-        f"p0 AS (SELECT {cols} FROM na a JOIN nb b ON a.dept = b.dept WHERE list_has_any(a.cuts, b.cuts) OR (a.first[1] = b.first[1] AND a.snd = b.snd) UNION "
+        f"p0 AS (SELECT {cols} FROM na a JOIN nb b ON a.dept = b.dept WHERE list_has_any(a.cuts, b.cuts) OR 3 * len(list_intersect(a.gr, b.gr)) >= len(a.gr) + len(b.gr) UNION "
         f"SELECT {cols} FROM (SELECT *, unnest(cuts) AS cut FROM na WHERE alone) a JOIN (SELECT *, unnest(cuts) AS cut FROM nb WHERE alone) b ON a.cut = b.cut AND a.dept <> b.dept), "
         "pr AS (SELECT *, round(greatest(jaro_winkler_similarity(x, y), 1 - levenshtein(x, y) / greatest(length(x), length(y))::DOUBLE) * 0.95::DOUBLE "
         "+ CASE WHEN dl = dr THEN 0.05::DOUBLE ELSE 0 END, 4) AS score FROM p0)"
@@ -306,3 +307,32 @@ def _(t):
 )
 def _(t):
     return N.role_mix_gap(t.budget, t.hr)
+
+
+_PATTERNS = (
+    f"lp AS ({_people('hr', 'employee_id')}), rp AS ({_people('tas', 'tas_worker_id')}), {_pairs('lp', 'rp')}, "
+    "fl AS (SELECT *, split_part(x, ' ', 1) AS fx, split_part(y, ' ', 1) AS fy, split_part(x, ' ', -1) AS lx, split_part(y, ' ', -1) AS ly FROM pr), "
+    f"sd AS (SELECT *, {_soundex('lx')} AS sx, {_soundex('ly')} AS sy FROM fl), "
+    "pt AS (SELECT CAST(dl = dr AS INTEGER) AS a_dept, CAST(CASE WHEN fx = fy THEN 2 WHEN fx[1] = fy[1] THEN 1 ELSE 0 END AS INTEGER) AS a_first, "
+    "CAST(CASE WHEN lx = ly THEN 2 WHEN levenshtein(lx, ly) <= 1 OR sx = sy THEN 1 ELSE 0 END AS INTEGER) AS a_last FROM sd)"
+)
+
+
+def _candidates(t):
+    l = identity.people(t.hr, "employee_id", "worker_name", "department")
+    r = identity.people(t.tas, "tas_worker_id", "worker_name", "department")
+    return identity.candidate_pairs(l, r)
+
+
+@query("name_agreement_patterns", f"WITH {_PATTERNS} SELECT a_dept, a_first, a_last, count(*) AS n FROM pt GROUP BY ALL", "hr tas")
+def _(t):
+    return identity.agreement_patterns(_candidates(t))
+
+
+@query("link_probabilities")
+def _(t):
+    """Candidate pairs with the weight and probability that expectation maximisation gives their pattern of agreement."""
+    pairs = staging(t.spark, "links")(_candidates(t), "pairs")
+    model = identity.fit_weights(identity.agreement_patterns(pairs))
+    out = identity.link_probabilities(pairs, model)
+    return out.select("dept_l", "dept_r", "name_l", "name_r", F.round("weight", 4).alias("weight"), F.round("probability", 6).alias("probability"))
