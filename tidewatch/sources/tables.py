@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterable, Sequence
@@ -65,8 +66,9 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 class Staging:
     """A ``stage(df, name)`` hook that keeps intermediate tables in one new folder of the shared scratch folder.
 
-    ``drop`` removes tables once what was made from them is stored; what a returned frame still reads stays until the
-    cluster clears its checkpoint folder.
+    ``drop`` removes tables once what was made from them is stored, and has the driver collect garbage, upon which Spark
+    removes the shuffle files of plans that nothing refers to any more; what a returned frame still reads stays until the cluster
+    clears its checkpoint folder.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -81,6 +83,8 @@ class Staging:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(os.path.join(self.base, name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        jvm.System.gc()
 
 
 def staging(spark: SparkSession, label: str) -> Staging:

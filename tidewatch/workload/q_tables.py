@@ -135,7 +135,7 @@ def _(t):
         "o_orderstatus", F.when(F.col("o_orderdate") >= F.date_sub(F.lit(last), 90), "O").otherwise(F.col("o_orderstatus"))
     )
     for known in (then, orders):
-        published.refresh(t.spark, root, known, ["o_custkey"], _order_layers())
+        published.refresh(t.spark, root, known, ["o_custkey"], _order_layers(), n_parts=16)
     return published.PublishedTable(t.spark, root, "gold_open_by_customer").read()
 
 
