@@ -343,3 +343,47 @@ def test_fuzzy_passages_with_every_nth_word_replaced(spark, every):
         texts += [" ".join(prose(r, 20, "a") + passage + prose(r, 20, "b")), " ".join(prose(r, 30, "c") + copy + prose(r, 30, "d"))]
     got = found_words(spark, texts)
     assert set(got) == set(range(1, 80, 2)) and all(got[i][0][1] == i - 1 for i in got)
+
+
+def test_places_of_many_texts_equal_those_of_each():
+    rng = np.random.default_rng(3)
+    for turn in range(60):
+        sizes = rng.integers(0, 60, rng.integers(1, 9))
+        offsets = np.concatenate(([0], np.cumsum(sizes)))
+        runs = rng.integers(0, 2**60 if turn % 3 else 5, max(0, offsets[-1] - 5)).astype(np.uint64)
+        for window in (4, 14):
+            at, text = substring.places_of(offsets, runs, 6, window)
+            want = [(a + int(p), i) for i, (a, b) in enumerate(itertools.pairwise(offsets.tolist())) for p in substring.minimisers(runs[a : max(a, b - 5)], window)]
+            assert list(zip(at.tolist(), text.tolist(), strict=True)) == want
+
+
+def test_minimisers_are_the_first_least_of_every_window():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        hashes = rng.permutation(rng.integers(1, 80)).astype(np.uint64)
+        want = {s + int(hashes[s : s + 14].argmin()) for s in range(max(1, len(hashes) - 13))}
+        assert set(substring.minimisers(hashes, 14).tolist()) == want
+
+
+def test_grouped_chains_equal_chains_of_each_pair():
+    rng = np.random.default_rng(5)
+    rows = []
+    for pair in range(80):
+        n = int(rng.integers(1, 12))
+        p = np.sort(rng.integers(0, 400, n))
+        q = p + int(rng.integers(0, 50)) if pair % 2 else rng.integers(0, 400, n)
+        rows += [(pair // 3, pair, int(a), int(b), int(x)) for a, b, x in zip(p, q, rng.integers(-(2**62), 2**62, n) * (pair % 5 > 0), strict=True)]
+    rows += rows[:40]  # repeated rows give repeated matches
+    rows.sort(key=lambda r: r[:4])
+    once = {}
+    for d, o, p, q, x in rows:
+        once.setdefault((d, o), {}).setdefault((p, q), x)
+    want = []
+    for (d, o), matches in once.items():
+        for path in substring.chains(list(matches)):
+            if len(path) > 1 or substring.may_go_on(np.array([matches[path[0]]]))[0]:
+                want.append((d, o, path))
+    d, o, p, q, x = (np.array(c, dtype=np.int64) for c in zip(*rows, strict=True))
+    d, o, here, there = substring.grouped_chains(d, o, p, q, x)
+    got = [(a, b, list(zip(x, y, strict=True))) for a, b, x, y in zip(d.tolist(), o.tolist(), here.to_pylist(), there.to_pylist(), strict=True)]
+    assert sorted(got) == sorted(want) and len(want) > 60

@@ -177,32 +177,34 @@ def components(links: DataFrame, stage: Stage, label: str) -> DataFrame:
 
 # ---------------------------------------------------------------- a filter of fixed size before a shuffle
 
-FILTER_BITS = 1 << 24
+FILTER_LOG = 24
 
 
-def _bit(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys.view(np.uint64)) >> np.uint64(64 - 24)).astype(np.int64)
+def _bit(keys: np.ndarray, log: int) -> np.ndarray:
+    return (mix(keys.view(np.uint64)) >> np.uint64(64 - log)).astype(np.int64)
 
 
-def key_filter(keys: DataFrame, column: str) -> bytes:
-    """A bitmap of fixed size (2 MB) of all 64-bit keys: lets every key through, and few others while it is sparse.
+def key_filter(keys: DataFrame, column: str, log: int = FILTER_LOG) -> bytes:
+    """A bitmap of fixed size (2**log bits, 2 MB by default) of all 64-bit keys: lets every key through, and few others while
+    it is sparse.
 
     It only spares a shuffle work; an exact join follows wherever it is used. Tasks set bits of their own keys, and words
     of the map are combined before they come together.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(FILTER_BITS, dtype=bool)
+        own = np.zeros((1 << log) // 8, dtype=np.uint8)
         for batch in batches:
-            own[_bit(batch.column(0).to_numpy())] = True
-        words = np.packbits(own).view(np.int64)
+            at = _bit(batch.column(0).to_numpy(), log)
+            np.bitwise_or.at(own, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        words = own.view(np.int64)
         some = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some])], ["word", "bits"])
 
     ship_package(keys.sparkSession)
     found = keys.select(F.col(column).cast("bigint").alias("k")).where("k is not null").mapInArrow(run, "word bigint, bits bigint")
-    got = found.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
-    words = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    got = found.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most 2**log / 64 rows
+    words = np.zeros((1 << log) // 64, dtype=np.int64)
     words[got.column("word").to_numpy()] = got.column("bits").to_numpy()
     return words.tobytes()
 
@@ -210,5 +212,5 @@ def key_filter(keys: DataFrame, column: str) -> bytes:
 def key_hits(bitmap: bytes, keys: np.ndarray) -> np.ndarray:
     """Which keys the filter lets through."""
     bits = np.frombuffer(bitmap, dtype=np.uint8)
-    at = _bit(np.ascontiguousarray(keys))
+    at = _bit(np.ascontiguousarray(keys), len(bits).bit_length() + 2)
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
