@@ -175,3 +175,31 @@ def test_draft_of_empty_tables(spark, world):
     _, facts, cov = world
     assert H.draft(cov.where("false"), facts, B, "r").count() == 0
     assert H.draft(cov, facts.where("false"), B, "r").count() == 0
+
+
+def test_tables_per_provider_are_shuffled_and_dealt_before_they_are_folded(spark, world):
+    """Their files say little about their size in memory: no broadcast of them, no fold of whole scans."""
+    prov, facts, cov = world
+    staged = spark.createDataFrame(facts.collect(), facts.schema)
+    done = shifts(spark, [(1, 0, D(1), "day", "icu")])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    frames = [H.eligible(cov, staged), H.enriched_assignments(done, staged), H.run_violations(done, staged), H.block_violations(done, staged, B), H.soft_score(done, staged)]
+    for out in frames:
+        assert "BroadcastHashJoin [provider_id" not in plan(out) and "BroadcastHashJoin [site" not in plan(out).split("equity")[0]
+    cells = spark.createDataFrame([(1, "day", "Mon", 3, True, 14), (1, "day", "Mon", 5, False, 12)], "provider_id bigint, shift_type string, weekday string, preference_weight int, wants_consecutive boolean, max_shifts_per_block int")
+    rule = spark.createDataFrame([("1", "max_consecutive", "6", "all")], "rule_id string, rule_type string, param_value string, applies_to string")
+    pto = spark.createDataFrame([], "pto_id int, provider_id bigint, start_date date, end_date date, status string")
+    made = H.provider_facts(prov, rule, pto, cells, B)
+    lines = plan(made).splitlines()
+    folds = [i for i, x in enumerate(lines) if "partial_max(preference_weight" in x or "partial_min(" in x and "max_consecutive" in x]
+    assert len(folds) >= 2 and all("REPARTITION_BY_COL" in "".join(lines[i : i + 4]) for i in folds)
+    one = {r["provider_id"]: r for r in made.collect()}[1]
+    assert one["weights"] == {"day|Mon": 5} and one["own_max_shifts"] == 12 and one["wants_consecutive"]
+
+
+def test_many_rows_are_dealt_to_a_number_of_tasks(spark):
+    from tidewatch.operators.skew import dealt
+
+    df = spark.range(100)
+    assert dealt(df, ["id"], 1_000, 10).rdd.getNumPartitions() == 100
+    assert sorted(r["id"] for r in dealt(df, ["id"], 100, 50).collect()) == list(range(100))

@@ -57,3 +57,12 @@ def test_forecast_shortage_and_surplus(spark, rows):
     p = spark.createDataFrame([("A", "Day", s, 10.0 - s, 5.0 + s) for s in range(4)], "department string, shift string, seq int, available_fte double, required_fte double")
     out = rows(N.staffing_forecast(p, 1), "seq", "available_fte", "required_fte", "shortage_fte", "surplus_fte")
     assert [tuple(round(float(x), 6) for x in r) for r in out] == [(4.0, 6.0, 9.0, 3.0, 0.0)]
+
+
+def test_leave_is_dealt_by_employee_and_the_roster_shuffled(spark):
+    staff = roster(spark, [("e", "A", 1.0, D(2020, 1, 1), None)])
+    leave = spark.createDataFrame([("e", "LOA", D(2024, 1, 1), D(2024, 1, 7), None)], "employee_id string, leave_type string, start_date date, end_date date, hours double")
+    lost = N.lost_fte(staff, leave, CAL)
+    plan = lost._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "REPARTITION_BY_COL" in plan
+    assert [(r["seq"], r["lost_fte"]) for r in lost.collect()] == [(0, 0.5)]

@@ -103,7 +103,9 @@ def _applicable(
     usable = typed_rules(rules, flag_types).where(~F.col("bad_value")).select("rule_id", "rule_type", "value", "applies_to")
     strictness = F.when(F.col("rule_type").isin(*strict_max), F.col("value")).otherwise(-F.col("value"))
     order = F.struct("rank", strictness.alias("strictness"), "rule_id", "value", "scope_used")
-    return asked.join(usable, "applies_to").select(entity, "rule_type", order.alias("_r"))
+    found = asked.join(usable, "applies_to").select(entity, "rule_type", order.alias("_r"))
+    # Dealt before they are folded: few rows of a scan share an entity, so a fold there would hold nearly all of them.
+    return found.repartition(entity)
 
 
 def resolve_rules(

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tidewatch.functions.scalars import weekday_name
 from tidewatch.operators import cohort, rules, temporal
 from tidewatch.operators.ranges import explode_ranges
+from tidewatch.operators.skew import dealt, shuffled
 from tidewatch.session import ship_package
 from tidewatch.sources.tables import staging
 
@@ -85,16 +86,18 @@ def provider_facts(
     providers: DataFrame, rule_table: DataFrame, pto: DataFrame, prefs: DataFrame | None, block: Block
 ) -> DataFrame:
     """One row per provider: limits in force, days off, weights by shift and weekday."""
+    n_providers = providers.count()
     limits = rules.rule_values(rule_table, providers, ID, "service_line", RULE_TYPES)
     limits = limits.withColumnRenamed("min_rest_hours", "rule_min_rest")
-    p = providers.join(limits, ID, "left")
+    p = shuffled(providers).join(limits, ID, "left")
     p = p.join(days_off(pto, "approved", block, "off_days"), ID, "left")
     p = p.join(days_off(pto, "requested", block, "wished_days"), ID, "left")
     none = F.array().cast("array<date>")
     p = p.withColumn("off_days", F.coalesce("off_days", none)).withColumn("wished_days", F.coalesce("wished_days", none))
     if prefs is not None:
         cells = F.collect_list(F.struct(F.concat_ws("|", "shift_type", "weekday"), "preference_weight"))
-        one = prefs.groupBy(ID, "shift_type", "weekday").agg(
+        # Dealt by provider before they are folded: hardly two cells of a scan fold into one.
+        one = dealt(prefs, [ID], n_providers, 20_000).groupBy(ID, "shift_type", "weekday").agg(
             F.max("preference_weight").alias("preference_weight"),
             F.max("wants_consecutive").alias("wants_consecutive"),
             F.min("max_shifts_per_block").alias("max_shifts_per_block"),
@@ -132,7 +135,7 @@ def eligible(coverage: DataFrame, facts: DataFrame) -> DataFrame:
     The credential list is exploded, so this is an equi join on (site, credential), never a containment
     test against every provider.
     """
-    able = facts.withColumn("required_credential", F.explode("credentials"))
+    able = shuffled(facts).withColumn("required_credential", F.explode("credentials"))
     j = with_requirement(coverage).join(able, ["site", "required_credential"])
     night_ok = (F.col("shift_type") != "night") | ~F.col("needs_optin") | F.col("wants_night_differential")
     return j.where(~F.array_contains("off_days", F.col("work_date")) & night_ok)
@@ -162,6 +165,11 @@ def top_candidates(candidates: DataFrame) -> DataFrame:
 # --- audit -------------------------------------------------------------------------
 
 
+def by_provider(assignments: DataFrame) -> DataFrame:
+    """Assignments dealt by provider, which is how nearly every rule reads them."""
+    return dealt(assignments, [ID], assignments.count(), 100_000)
+
+
 def coverage_fill(coverage: DataFrame, assignments: DataFrame) -> DataFrame:
     filled = assignments.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("assigned"))
     j = with_requirement(coverage).join(filled, SLOT, "left")
@@ -186,7 +194,7 @@ def enriched_assignments(assignments: DataFrame, facts: DataFrame, clock: Clock
         timed, [ID], "start_ts", "end_ts", ["assignment_id"], {"shift_type": "prev_shift", "work_date": "prev_date"},
         slice_s=28 * temporal.DAY_S,  # a provider has about one shift a day
     )
-    own = facts.select(
+    own = shuffled(facts).select(
         ID, "credentials", "off_days", "rest_hours", "needs_optin", "night_day_rule", "wants_night_differential"
     )
     return chained.join(own, ID, "left")
@@ -217,7 +225,7 @@ def assignment_rules() -> list[rules.Rule]:
 
 def run_violations(assignments: DataFrame, facts: DataFrame) -> DataFrame:
     """Runs of worked days above the provider's limit."""
-    runs = temporal.consecutive_runs(assignments, [ID], "work_date").join(facts.select(ID, "max_run"), ID)
+    runs = temporal.consecutive_runs(assignments, [ID], "work_date").join(shuffled(facts).select(ID, "max_run"), ID)
     return rules.fire(
         runs, ID,
         [rules.Rule("max_consecutive", F.col("run_days") > F.col("max_run"), F.col("run_start"), F.col("run_start"),
@@ -230,7 +238,7 @@ def block_violations(assignments: DataFrame, facts: DataFrame, block: Block) ->
     counts = assignments.groupBy(ID, block.number(F.col("work_date")).alias("block")).agg(F.count(F.lit(1)).alias("n"))
     every = facts.select(ID, F.explode(F.sequence(F.lit(0), F.lit(block.blocks - 1))).alias("block"))
     grid = every.join(counts, [ID, "block"], "full").withColumn("n", F.coalesce("n", F.lit(0)))
-    per = facts.select(ID, "block_max", "block_min").join(grid, ID)
+    per = shuffled(facts).select(ID, "block_max", "block_min").join(grid, ID)
     ref = F.col("block")
     when = F.date_add(F.lit(block.start).cast("date"), ref * F.lit(block.days))
     return rules.fire(
@@ -276,7 +284,7 @@ def audit(
 
 def soft_score(assignments: DataFrame, facts: DataFrame) -> DataFrame:
     """Per site: preference points, share of liked shifts, days asked off, isolated single shifts, equity."""
-    own = facts.select(ID, "weights", "wished_days", "fte")
+    own = shuffled(facts).select(ID, "weights", "wished_days", "fte")
     j = assignments.join(own, ID)
     weight = weight_of(F.col("weights"), F.col("shift_type"), F.col("work_date"))
     base = j.withColumn("_w", weight).groupBy("site").agg(
@@ -290,7 +298,7 @@ def soft_score(assignments: DataFrame, facts: DataFrame) -> DataFrame:
         j, ["site"], ID, {"nights": F.col("shift_type") == "night", "weekends": weekend}, "fte"
     ).select("site", "nights_sd", "nights_range", "weekends_sd", "weekends_range")
     runs = temporal.consecutive_runs(assignments, ["site", ID], "work_date").join(
-        facts.select(ID, "wants_consecutive"), ID
+        shuffled(facts).select(ID, "wants_consecutive"), ID
     )
     single = runs.groupBy("site").agg(
         F.count_if((F.col("run_days") == 1) & F.col("wants_consecutive")).alias("isolated_shifts")
@@ -300,7 +308,7 @@ def soft_score(assignments: DataFrame, facts: DataFrame) -> DataFrame:
 
 def equity(assignments: DataFrame, providers: DataFrame, by: list[str]) -> DataFrame:
     weekend = F.dayofweek("work_date").isin(1, 7)
-    j = assignments.join(providers.select(ID, "fte"), ID)
+    j = assignments.join(shuffled(providers).select(ID, "fte"), ID)
     return cohort.equity_spread(j, by, ID, {"nights": F.col("shift_type") == "night", "weekends": weekend}, "fte")
 
 
@@ -332,7 +340,7 @@ def bids(coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clo
         .agg(F.max("required_headcount").alias("required_headcount"))
         .where("required_headcount > 0")
     )
-    own = facts.select(ID, *[F.col(c).cast("double").alias(c) if c != "night_day_rule" else F.col(c) for c in LIMITS])
+    own = shuffled(facts).select(ID, *[F.col(c).cast("double").alias(c) if c != "night_day_rule" else F.col(c) for c in LIMITS])
     pairs = scored_candidates(slots, facts).join(own, ID)
     day = F.datediff("work_date", F.lit("1970-01-01").cast("date"))
     hour = F.hour(clock.starts_at(F.col("work_date"), F.col("shift_type")))

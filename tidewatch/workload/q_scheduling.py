@@ -156,7 +156,7 @@ _AUDIT = (
 
 
 def _audit(t):
-    return H.audit(t.asg, _facts(t), t.cov, BLOCK)
+    return H.audit(H.by_provider(t.asg), _facts(t), t.cov, BLOCK)
 
 
 @query("schedule_audit", f"WITH {_AUDIT} SELECT * FROM au", USES)
@@ -172,10 +172,10 @@ def _(t):
 _PARTS = {
     "assignment": (
         ("credential_missing", "min_rest", "night_then_day", "night_without_optin", "on_approved_leave"),
-        lambda t: rules.fire(H.enriched_assignments(t.asg, _facts(t)), "provider_id", H.assignment_rules()),
+        lambda t: rules.fire(H.enriched_assignments(H.by_provider(t.asg), _facts(t)), "provider_id", H.assignment_rules()),
     ),
-    "run": (("max_consecutive",), lambda t: H.run_violations(t.asg, _facts(t))),
-    "block": (("above_block_max", "below_block_min"), lambda t: H.block_violations(t.asg, _facts(t), BLOCK)),
+    "run": (("max_consecutive",), lambda t: H.run_violations(H.by_provider(t.asg), _facts(t))),
+    "block": (("above_block_max", "below_block_min"), lambda t: H.block_violations(H.by_provider(t.asg), _facts(t), BLOCK)),
     "double_booking": (("two_shifts_one_date",), lambda t: H.double_bookings(t.asg)),
     "coverage": (("coverage_shortfall",), lambda t: H.coverage_violations(t.cov, t.asg)),
 }
@@ -190,7 +190,7 @@ for _part, (_names, _frame) in _PARTS.items():
     USES,
 )
 def _(t):
-    return H.enriched_assignments(t.asg, _facts(t)).select("assignment_id", "provider_id", "gap_hours", "prev_shift")
+    return H.enriched_assignments(H.by_provider(t.asg), _facts(t)).select("assignment_id", "provider_id", "gap_hours", "prev_shift")
 
 
 @query(
@@ -223,7 +223,7 @@ _SOFT = (
     USES,
 )
 def _(t):
-    out = H.soft_score(t.asg, _facts(t)).withColumn("liked_share", F.round("liked_share", 6))
+    out = H.soft_score(H.by_provider(t.asg), _facts(t)).withColumn("liked_share", F.round("liked_share", 6))
     return out.select("site", "n_shifts", "preference_points", "liked_share", "asked_off_worked", "isolated_shifts")
 
 
@@ -238,7 +238,7 @@ def _draft(t, facts, run_id="run-1"):
 def _(t):
     facts = _facts(t)
     rows = _draft(t, facts)
-    return H.with_hard_ok(rows, H.audit(H.draft_as_assignments(rows), facts, t.cov, BLOCK))
+    return H.with_hard_ok(rows, H.audit(H.by_provider(H.draft_as_assignments(rows)), facts, t.cov, BLOCK))
 
 
 @query(
@@ -249,7 +249,7 @@ def _(t):
 def _(t):
     """A draft may leave seats open, but must break no other hard rule: every count is zero."""
     facts = _facts(t)
-    found = H.audit(H.draft_as_assignments(_draft(t, facts)), facts, t.cov, BLOCK).groupBy("rule").agg(
+    found = H.audit(H.by_provider(H.draft_as_assignments(_draft(t, facts))), facts, t.cov, BLOCK).groupBy("rule").agg(
         F.count(F.lit(1)).alias("_n")
     )
     hard = ["credential_missing", "min_rest", "night_then_day", "night_without_optin", "on_approved_leave",
@@ -275,7 +275,7 @@ def _(t):
 def _(t):
     facts = _facts(t)
     drafted = _draft(t, facts)
-    rows = H.draft_as_assignments(drafted)
+    rows = H.by_provider(H.draft_as_assignments(drafted))
     return H.run_record(
         drafted, H.audit(rows, facts, t.cov, BLOCK), H.soft_score(rows, facts), "run-1", {"block_start": BLOCK_START}
     )
@@ -293,7 +293,7 @@ def _(t):
 @query("draft_against_history")
 def _(t):
     facts = _facts(t)
-    return H.compare_soft(t.asg, H.draft_as_assignments(_draft(t, facts)), facts)
+    return H.compare_soft(H.by_provider(t.asg), H.by_provider(H.draft_as_assignments(_draft(t, facts))), facts)
 
 
 @query("draft_reasons")
