@@ -185,7 +185,7 @@ def test_tables_per_provider_are_shuffled_and_dealt_before_they_are_folded(spark
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     frames = [H.eligible(cov, staged), H.enriched_assignments(done, staged), H.run_violations(done, staged), H.block_violations(done, staged, B), H.soft_score(done, staged)]
     for out in frames:
-        assert "BroadcastHashJoin [provider_id" not in plan(out) and "BroadcastHashJoin [site" not in plan(out).split("equity")[0]
+        assert "strategy=merge" in out._jdf.queryExecution().optimizedPlan().toString()
     cells = spark.createDataFrame([(1, "day", "Mon", 3, True, 14), (1, "day", "Mon", 5, False, 12)], "provider_id bigint, shift_type string, weekday string, preference_weight int, wants_consecutive boolean, max_shifts_per_block int")
     rule = spark.createDataFrame([("1", "max_consecutive", "6", "all")], "rule_id string, rule_type string, param_value string, applies_to string")
     pto = spark.createDataFrame([], "pto_id int, provider_id bigint, start_date date, end_date date, status string")
@@ -203,3 +203,28 @@ def test_many_rows_are_dealt_to_a_number_of_tasks(spark):
     df = spark.range(100)
     assert dealt(df, ["id"], 1_000, 10).rdd.getNumPartitions() == 100
     assert sorted(r["id"] for r in dealt(df, ["id"], 100, 50).collect()) == list(range(100))
+
+
+def test_pairs_meet_their_limits_before_they_are_made(spark, world):
+    """A lookup by provider after the join of slots and providers would shuffle all pairs once more."""
+    _, facts, cov = world
+    staged = spark.createDataFrame(facts.collect(), facts.schema)
+    plan = H.bids(cov, staged, B)._jdf.queryExecution().executedPlan().toString()
+    outer = next(x for x in plan.splitlines() if "Join" in x)
+    assert "required_credential" in outer and "provider_id]" not in outer
+    limits = H.bids(cov, staged, B).select("provider_id", *H.LIMITS).distinct().collect()
+    assert {(r["provider_id"], r["max_run"]) for r in limits} >= {(0, 7.0), (9, 6.0)} and {r["rest_hours"] for r in limits} == {10.0}
+
+
+def test_blocking_pairs_are_made_once_and_found(spark, world):
+    _, facts, cov = world
+    drafted, stored = H.draft(cov, facts, B, "r"), []
+
+    def stage(df, name):
+        stored.append(name)
+        return df.cache()
+
+    assert H.blocking_pairs(drafted, cov, facts, B, stage=stage).count() == 0 and stored == ["pairs"]
+    lone = drafted.where("work_date <> DATE '2026-09-09'")
+    left = H.blocking_pairs(lone, cov, facts, B, stage=stage).collect()
+    assert left and {r["work_date"] for r in left} >= {D(9)}

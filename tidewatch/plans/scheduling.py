@@ -7,7 +7,7 @@ hold distinct days of the planning window, so their size is bounded by the calen
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -141,14 +141,14 @@ def eligible(coverage: DataFrame, facts: DataFrame) -> DataFrame:
     return j.where(~F.array_contains("off_days", F.col("work_date")) & night_ok)
 
 
-def scored_candidates(coverage: DataFrame, facts: DataFrame, wish_penalty: float = 3.0) -> DataFrame:
+def scored_candidates(coverage: DataFrame, facts: DataFrame, wish_penalty: float = 3.0, keep: Sequence[str] = ()) -> DataFrame:
     """Preference weight, slightly lifted by seniority, less a penalty on a day asked off."""
     lift = F.lit(1.0) + F.lit(0.01) * F.col("seniority_years")
     weight = weight_of(F.col("weights"), F.col("shift_type"), F.col("work_date"))
     wished = F.array_contains("wished_days", F.col("work_date"))
     e = eligible(coverage, facts)
     return e.select(
-        *SLOT, "required_headcount", ID,
+        *SLOT, "required_headcount", ID, *keep,
         weight.alias("preference_weight"),
         wished.alias("asked_off"),
         (weight * lift - F.when(wished, F.lit(wish_penalty)).otherwise(F.lit(0.0))).alias("score"),
@@ -340,12 +340,14 @@ def bids(coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clo
         .agg(F.max("required_headcount").alias("required_headcount"))
         .where("required_headcount > 0")
     )
-    own = shuffled(facts).select(ID, *[F.col(c).cast("double").alias(c) if c != "night_day_rule" else F.col(c) for c in LIMITS])
-    pairs = scored_candidates(slots, facts).join(own, ID)
+    # The limits come along from the providers: looked up afterwards they would cost a shuffle of all pairs.
+    own = {c: F.col(c).cast("double") if c != "night_day_rule" else F.col(c) for c in LIMITS}
+    limits = shuffled(facts).select(ID, *[v.alias(f"_{c}") for c, v in own.items()])
+    pairs = scored_candidates(slots, facts.join(limits, ID), keep=[f"_{c}" for c in LIMITS])
     day = F.datediff("work_date", F.lit("1970-01-01").cast("date"))
     hour = F.hour(clock.starts_at(F.col("work_date"), F.col("shift_type")))
     return pairs.select(
-        *SLOT, "required_headcount", ID, *LIMITS, "preference_weight",
+        *SLOT, "required_headcount", ID, *[F.col(f"_{c}").alias(c) for c in LIMITS], "preference_weight",
         F.struct(F.col("score"), F.xxhash64(*SLOT, ID).alias("tie"), F.col(ID).alias("who")).alias("bid"),
         day.alias("day"), (day * 24 + hour).alias("begin"), block.number(F.col("work_date")).alias("block"),
     ).where("begin IS NOT NULL")
@@ -468,19 +470,23 @@ def draft(
 
 
 def blocking_pairs(
-    drafted: DataFrame, coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clock()
+    drafted: DataFrame, coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clock(),
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Pairs left out of a draft although their slot has room for them and their provider could work them.
 
     Room and limits are looked at as if only shifts with higher bids stood, since both sides would give up the lower ones.
-    A draft of ``draft`` has none. It is worked out by joins, not by the auction.
+    A draft of ``draft`` has none. It is worked out by joins, not by the auction. The pairs are stored with a mark of those
+    in the draft, so that they are made and shuffled for it once.
     """
-    pairs = bids(coverage, facts, block, clock)
+    stage = stage or staging(coverage.sparkSession, "blocking")
     key = [*SLOT, ID]
-    held = drafted.select(*key).join(pairs, key)
+    taken = shuffled(drafted).select(*key, F.lit(True).alias("held"))
+    marked = stage(bids(coverage, facts, block, clock).join(taken, key, "left"), "pairs")
+    held = marked.where("held").drop("held")
     higher = held.groupBy(*SLOT).agg(F.array_sort(F.collect_list("bid")).alias("slot_bids"))  # at most the headcount
     theirs = held.groupBy(ID).agg(F.collect_list(F.struct("bid", "day", "begin", "block", "shift_type")).alias("duties"))  # one a day
-    free = pairs.join(held.select(*key), key, "left_anti").join(higher, SLOT, "left").join(theirs, ID, "left")
+    free = marked.where("held IS NULL").drop("held").join(higher, SLOT, "left").join(theirs, ID, "left")
     above = F.filter(F.coalesce("duties", F.array().cast(theirs.schema["duties"].dataType)), lambda d: d["bid"] > F.col("bid"))
     free = free.withColumn("above", above)
     room = F.size(F.filter(F.coalesce("slot_bids", F.array().cast(higher.schema["slot_bids"].dataType)), lambda b: b > F.col("bid"))) < F.col("required_headcount")
