@@ -228,3 +228,21 @@ def test_blocking_pairs_are_made_once_and_found(spark, world):
     lone = drafted.where("work_date <> DATE '2026-09-09'")
     left = H.blocking_pairs(lone, cov, facts, B, stage=stage).collect()
     assert left and {r["work_date"] for r in left} >= {D(9)}
+
+
+def test_many_prices_are_shuffled_every_round(spark, world, monkeypatch):
+    """A broadcast of each round's prices would stay in the driver, and grow with the slots."""
+    _, facts, cov = world
+    staged, plans = spark.createDataFrame(facts.collect(), facts.schema), []
+
+    def stage(df, name):
+        if name.startswith("claims") and name != "claims-0":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df.cache()
+
+    few = H.draft(cov, staged, B, "r", stage=stage).drop("run_id").collect()
+    assert plans and not any("strategy=merge" in p for p in plans)
+    plans.clear()
+    monkeypatch.setattr(H, "FEW_PRICES", 0)
+    many = H.draft(cov, staged, B, "r", stage=stage).drop("run_id").collect()
+    assert plans and all("strategy=merge" in p for p in plans) and sorted(few) == sorted(many)

@@ -411,6 +411,11 @@ def _claims(open_pairs: DataFrame, clock: Clock) -> DataFrame:
     return dealt.mapInArrow(run, open_pairs.schema)
 
 
+#: Rows of a round's prices that are left to Spark's choice of join; more of them are shuffled. Their files are small for what they
+#: hold in memory, and a broadcast of each round would stay in the driver.
+FEW_PRICES = 50_000
+
+
 def auction(pairs: DataFrame, stage: Callable[[DataFrame, str], DataFrame], clock: Clock = Clock()) -> tuple[DataFrame, int]:
     """The claims that stand at the end, and the number of rounds.
 
@@ -429,6 +434,8 @@ def auction(pairs: DataFrame, stage: Callable[[DataFrame, str], DataFrame], cloc
         n += 1
         ranked = claims.withColumn("_place", F.row_number().over(by_slot))
         prices = ranked.where(F.col("_place") == F.col("required_headcount")).withColumnRenamed("bid", "price").select(*kept)
+        if claims.count() > FEW_PRICES:  # no more prices than claims
+            prices = shuffled(prices)
         open_pairs = pairs.join(prices, SLOT, "left").where("price IS NULL OR bid >= price").drop("price")
         after = stage(_claims(open_pairs, clock), f"claims-{n}")
         # Equal claims cancel out; a site whose claims all do is at its fixed point.
