@@ -73,6 +73,23 @@ def check_packing(rows, texts):
     return sum(len(i) for i in expected) / (packing.WINDOW * len(by_sequence))
 
 
+def test_word_encoder_keeps_frequent_words_in_little_memory(monkeypatch):
+    """Words that come again stay when the table is full; signs behind letters do not cost a call for each word."""
+    from tidewatch.llm import word_ids
+
+    monkeypatch.setattr(word_ids, "KEPT_WORDS", 40)
+    encoder, library, asked = WordEncoder(default_vocabulary()), WordEncoder(default_vocabulary()).model, []
+    inner = encoder._words
+    monkeypatch.setattr(encoder, "_words", lambda words: asked.extend(words) or inner(words))
+    letters = lambda n: "".join(chr(97 + int(d)) for d in str(n))
+    texts = [f"the\tsame {letters(n)}### \u00c9t\u00e9{letters(n)},%%% it's\x0b\x0c\ra\u0301 b\u00a0c x{n}'s {'q' * 300}{n} <|endoftext|>." for n in range(60)]
+    got = [np.frombuffer(b, "<u4").tolist() for t in texts for b in encoder.encode([t])]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert asked.count("the") == asked.count("same") == 1 and len(encoder.keys) <= 40
+    one = WordEncoder(default_vocabulary())
+    assert [np.frombuffer(b, "<u4").tolist() for b in one.encode([*texts, None, "", " \n"])] == [*got, [], [], []]
+
+
 def test_packing_places_every_id_once(spark):
     texts = TEXTS + [" ".join(["word"] * n) for n in list(range(1, 200, 7)) + [5000, 2047, 2048]]
     rows = packing.pack(docs(spark, texts), default_vocabulary()).collect()
