@@ -268,3 +268,59 @@ def test_pipeline_stages(spark, tmp_path):
     rows = docs.collect()
     assert {r["doc_id"] for r in rows} == set(ids[4])
     assert all(0 < r["length"] <= 2048 and r["offset"] + r["length"] <= 2048 for r in rows)
+
+
+def test_the_sample_is_held_in_few_bytes_and_gives_the_same_model():
+    import tracemalloc
+
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    rows = [(np.append(r.integers(0, 1 << quality_classifier.BITS, 2_000), [7] * 300).astype(np.int32), i % 2) for i in range(1_000)]
+    tracemalloc.start()
+    model = quality_classifier.fit(iter(rows), 1)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    tables = 9 * 8 * (1 << quality_classifier.BITS)  # weights and sums, whatever the sample
+    assert most < tables + 6 * sum(len(found) for found, _ in rows)  # 16 bytes a distinct feature before
+
+    def plain(rows, epochs):
+        z, n = np.zeros((1 << quality_classifier.BITS) + 1), np.zeros((1 << quality_classifier.BITS) + 1)
+        weight = lambda at: np.where(np.abs(z[at]) <= quality_classifier.L1, 0.0, -(z[at] - np.sign(z[at]) * quality_classifier.L1) / ((quality_classifier.BETA + np.sqrt(n[at])) / quality_classifier.ALPHA + quality_classifier.L2))
+        for found, y in rows * epochs:
+            at, count = np.unique(found, return_counts=True)
+            at, x = np.append(at, len(z) - 1), np.append(count / np.sqrt(len(found)), 1.0)
+            w = weight(at)
+            g = (1.0 / (1.0 + np.exp(-np.clip(w @ x, -40, 40))) - y) * x
+            z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / quality_classifier.ALPHA * w
+            n[at] += g * g
+        return weight(np.arange(len(z)))
+
+    want = plain(rows, 1)
+    assert (model.weights == want[:-1].astype(np.float32)).all() and model.bias == want[-1]
+
+
+def test_texts_leave_a_batch_step_by_step():
+    import pyarrow as pa
+
+    from tidewatch.llm import common
+
+    texts = ["a" * 10, None, "", "é" * 30, "b" * 5, "c" * 5, "d" * 200, None]
+    column = pa.array(["cut off", *texts], pa.string()).slice(1)
+    raw = common.bytes_of(column)
+    for limit in (1, 12, 64, 1 << 20):
+        got = list(common.text_steps(column, limit))
+        assert [part for part, _ in got] == list(common.steps(raw, limit))
+        assert [x for _, own in got for x in own] == raw
+    assert list(common.text_steps(column.slice(0, 0))) == []
+
+
+def test_a_worker_gives_back_what_other_operators_left():
+    from tidewatch.llm import common, word_ids
+
+    path = word_ids.default_vocabulary()
+    one = word_ids.encoder(path)
+    assert word_ids.encoder(path) is one
+    common.let_go()
+    two = word_ids.encoder(path)
+    assert two is not one and two.encode(["a word, and another"]) == one.encode(["a word, and another"])

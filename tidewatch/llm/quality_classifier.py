@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import Words, _BYTE, _SPACE, _STEP, bytes_of, fresh, mix, ngrams, steps
+from tidewatch.llm.common import Words, _BYTE, _SPACE, _STEP, fresh, let_go, mix, ngrams, text_steps
 from tidewatch.session import ship_package
 
 BITS = 18
@@ -68,14 +69,18 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(sums + self.bias, -40, 40)))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Model:
-    """Follow the regularised leader, coordinate by coordinate, one row at a time in the order given."""
+def fit(rows: Iterable[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Model:
+    """Follow the regularised leader, coordinate by coordinate, one row at a time in the order given.
+
+    A row is kept as its distinct features (4 bytes each) and their counts (mostly 1 byte); values are made when it is met.
+    """
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     packed = []
     for found, y in rows:
         at, count = np.unique(found, return_counts=True)
-        packed.append((np.append(at, size), np.append(count / np.sqrt(max(1, len(found))), 1.0), y))
+        small = np.min_scalar_type(int(count.max())) if len(count) else np.uint8
+        packed.append((np.append(at, size).astype(np.int32), count.astype(small), np.sqrt(max(1, len(found))), y))
 
     def weight(at: np.ndarray) -> np.ndarray:
         zz = z[at]
@@ -83,7 +88,8 @@ def fit(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> Model:
         return np.where(np.abs(zz) <= L1, 0.0, w)
 
     for _ in range(epochs):
-        for at, x, y in packed:
+        for at, count, root, y in packed:
+            x = np.append(count.astype(np.int64) / root, 1.0)
             w = weight(at)
             p = 1.0 / (1.0 + np.exp(-np.clip(w @ x, -40, 40)))
             g = (p - y) * x
@@ -121,22 +127,25 @@ def train(
     )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
-            texts = bytes_of(batch.column(1))
-            for part in steps(texts):
-                found = [f.astype(np.int32) for f in features(texts[part])]
+            for part, texts in text_steps(batch.column(1)):
+                found = [f.astype(np.int32) for f in features(texts)]
                 own = batch.slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays(
                     [own.column(0), own.column(2), pa.array(found, pa.list_(pa.int32()))], ["h", "y", "found"]
                 )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         got = []
         for batch in batches:
             found = batch.column(2)
             got += [(h, y, np.asarray(f.values)) for h, y, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), found, strict=True)]
-        got.sort(key=lambda r: (r[0], len(r[2]), r[2].tobytes()))
-        model = fit([(f.astype(np.int64), y) for _, y, f in got])
+        # Features themselves decide the order only among rows alike in hash and length.
+        alike = Counter((h, len(f)) for h, _, f in got)
+        got.sort(key=lambda r: (r[0], len(r[2]), r[2].tobytes() if alike[r[0], len(r[2])] > 1 else b""))
+        model = fit((f, y) for _, y, f in got)
         yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 
     # The sample's ids have a fixed bound, so the text table is not shuffled for them.
@@ -164,10 +173,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         own = Model(*sent.value)
         for batch in batches:
-            texts = bytes_of(batch.column(0))
-            got = [own.scores(features(texts[part])) for part in steps(texts)]
+            got = [own.scores(features(texts)) for _, texts in text_steps(batch.column(0))]
             values = pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], [*kept, out])
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-from tidewatch.llm.common import Words, steps
+from tidewatch.llm.common import Words, steps, worker_cache
 
 #: Distinct words a task keeps; beyond that those that did not come again go (a memory bound, results do not depend on it).
 KEPT_WORDS = 600_000
@@ -163,7 +163,7 @@ def _stem(word: str) -> tuple[str, str]:
     return (stem, word[len(stem) :]) if stem[-1] <= "\u024f" and stem[-1] != "\u0130" else (word, "")
 
 
-_MADE: dict[str, WordEncoder] = {}
+_MADE: dict[str, WordEncoder] = worker_cache()
 
 
 def encoder(path: str) -> WordEncoder:
