@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import Stage, fresh, stage_for
+from tidewatch.llm.common import Stage, fresh, parted, stage_for
 from tidewatch.session import ship_package
 
 KINDS = ["email", "ip", "card", "phone", "secret"]
@@ -265,11 +265,16 @@ def redact(docs: DataFrame, text: str = "text", stage: Stage | None = None) -> D
     name = F.struct(F.xxhash64(text).alias("h"), F.length(text).alias("n"))
     key, body, held = fresh(docs, "_key_", "_text_", "_spans_")
     texts = docs.where(F.col(text).isNotNull()).select(name.alias(key), F.col(text).alias(body))
-    found = find(texts, key, body, stage).where(F.size("spans") > 0).dropDuplicates([key])
+    own = stage_for(docs.sparkSession, "redact")
+    found = find(texts, key, body, own).where(F.size("spans") > 0).dropDuplicates([key])
+    cuts = stage(found.select(key, F.col("spans").alias(held)), "spans")
+    del found
+    own.end()
     names = docs.columns
+    some, others = parted(docs, F.xxhash64(text), cuts.select(F.col(key)["h"].alias("h")), "h")
     joined = (
-        docs.withColumn(key, name)
-        .join(stage(found.select(key, F.col("spans").alias(held)), "spans"), key, "left")
+        some.withColumn(key, name)
+        .join(cuts, key, "left")
         .select(F.col(text).alias(body), held, *names)
     )
 
@@ -280,4 +285,4 @@ def redact(docs: DataFrame, text: str = "text", stage: Stage | None = None) -> D
             columns = [pa.array(new, pa.string()) if c == text else batch.column(2 + i) for i, c in enumerate(names)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema).union(others)
