@@ -1,6 +1,7 @@
 """N-gram Jaccard join, vector near-duplicates, repeated passages: against brute force."""
 
 import itertools
+import pathlib
 import random
 import re
 
@@ -8,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm import substring, trie_join, vector_dedup
-from tidewatch.llm.common import components, key_filter, key_hits, stage_for
+from tidewatch.llm import pii, substring, trie_join, vector_dedup
+from tidewatch.llm.common import Stage, components, key_filter, key_hits, parted, stage_for
+from tidewatch.session import checkpoint_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -387,3 +389,47 @@ def test_grouped_chains_equal_chains_of_each_pair():
     d, o, here, there = substring.grouped_chains(d, o, p, q, x)
     got = [(a, b, list(zip(x, y, strict=True))) for a, b, x, y in zip(d.tolist(), o.tolist(), here.to_pylist(), there.to_pylist(), strict=True)]
     assert sorted(got) == sorted(want) and len(want) > 60
+
+
+def test_chains_of_two_texts_ask_for_their_words_once(spark):
+    """A line that two texts share at many places makes a chain each; blocks are joined for a pair's region, not for each chain."""
+    r, asked = random.Random(8), {}
+    line = " ".join(f"line{i}" for i in range(12))
+    texts = [" ".join(line + " " + " ".join(f"w{r.randrange(10**9)}" for _ in range(70)) for _ in range(40)) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    class Seen(Stage):
+        def __call__(self, df, name):
+            out = super().__call__(df, name)
+            if name == "chains":
+                asked["chains"] = out.count()
+            elif name.startswith("asking"):
+                asked.setdefault("regions", out.count())
+                asked.setdefault("held", out.selectExpr("sum(size(chains))").first()[0])
+            return out
+
+    substring.passages(docs, stage=Seen(spark, "seen")).collect()
+    assert asked["chains"] >= 20 and asked["held"] == asked["chains"]
+    assert asked["regions"] <= asked["chains"] / 2
+
+
+def test_pipeline_steps_leave_only_what_their_result_reads(spark):
+    r = random.Random(3)
+    body = [" ".join(f"w{r.randrange(500)}" for _ in range(120)) for _ in range(12)]
+    texts = [*body, body[0], body[1] + " end", "mail a@b.org " + body[2], None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = pathlib.Path(checkpoint_dir(spark).removeprefix("file://"))
+    for name, step in (("gone", trie_join.keep_one), ("cuts", substring.remove), ("spans", pii.redact)):
+        before = set(root.rglob("*.parquet"))
+        out = step(docs)
+        assert {p.parent.name for p in set(root.rglob("*.parquet")) - before} == {name}
+        assert out.count() <= len(texts) and out.columns == docs.columns
+
+
+def test_rows_with_a_key_stand_in_the_first_part(spark):
+    rows = spark.createDataFrame([(i, None if i % 5 == 0 else f"t{i % 40}") for i in range(200)], "i long, t string")
+    keys = rows.where("i % 40 = 7").select(F.xxhash64("t").alias("k"))
+    some, others = parted(rows, F.xxhash64("t"), keys, "k")
+    own = sorted(x["i"] for x in some.collect())
+    assert {i for i in range(200) if i % 40 == 7} <= set(own) and len(own) < 100
+    assert sorted(own + [x["i"] for x in others.collect()]) == list(range(200))
