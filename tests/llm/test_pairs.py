@@ -6,11 +6,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.llm import pii, substring, trie_join, vector_dedup
-from tidewatch.llm.common import Stage, components, key_filter, key_hits, parted, stage_for
+from tidewatch.llm.common import PART_BYTES, Stage, components, key_filter, key_hits, parted, stage_for
 from tidewatch.session import checkpoint_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -433,3 +434,22 @@ def test_rows_with_a_key_stand_in_the_first_part(spark):
     own = sorted(x["i"] for x in some.collect())
     assert {i for i in range(200) if i % 40 == 7} <= set(own) and len(own) < 100
     assert sorted(own + [x["i"] for x in others.collect()]) == list(range(200))
+
+
+def test_shingles_are_made_step_by_step(monkeypatch):
+    """A task of the n-gram join never works on more than one small step of a batch's texts."""
+    seen, words = [], trie_join.Words
+    monkeypatch.setattr(trie_join, "Words", lambda texts: seen.append(sum(map(len, texts))) or words(texts))
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Sent:
+        value = np.zeros(1 << trie_join.LEVEL_BITS, dtype=np.uint8)
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(20_000)) for i in range(8)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts), pa.array(range(8))], ["id", "t", "k"])
+    [out] = trie_join._described(Rows(), Sent, 5, 80)(iter([batch]))
+    assert out.column(3).to_pylist() == [20_000 - 4] * 8 and sum(seen) == sum(map(len, texts))
+    assert max(seen) <= max(PART_BYTES, max(map(len, texts)))
