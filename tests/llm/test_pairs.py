@@ -183,6 +183,29 @@ def test_quantised_bounds_hold():
     assert (np.abs(unit @ unit.T - near) <= room).all()
 
 
+def test_vectors_do_not_travel_with_pairs_of_tiles(spark, monkeypatch):
+    """Only names of tiles are shuffled for a pair; squares of several tiles find the same links."""
+    monkeypatch.setattr(vector_dedup, "TILE", 64 * 16)
+    monkeypatch.setattr(vector_dedup, "SQUARES", 8)
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(700, 16)).astype(np.float32)
+    vectors[600:] = vectors[:100] * np.float32(3) + rng.normal(size=(100, 16)).astype(np.float32) * np.float32(0.05)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    degree, low = brute_vectors(vectors.tolist())
+    stage, seen = vector_dedup.stage_for(spark, "vectors-test"), {}
+    kept = type(stage).__call__
+
+    def keep(self, df, name):
+        seen[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return kept(self, df, name)
+
+    monkeypatch.setattr(type(stage), "__call__", keep)
+    got = {r["vec_id"]: r for r in vector_dedup.near_duplicates(rows, stage=stage).collect()}
+    assert [got[i]["n_links"] for i in range(len(vectors))] == degree and sum(degree) >= 200
+    assert {i: r["component_id"] for i, r in got.items()} == low
+    assert "vectors" not in seen["linked"] and "RepartitionByExpression [x" in seen["linked"]
+
+
 def test_vectors_none_and_without_id(spark):
     schema = "vec_id bigint, embedding array<float>"
     assert vector_dedup.near_duplicates(spark.createDataFrame([], schema)).count() == 0

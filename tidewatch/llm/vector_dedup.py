@@ -3,19 +3,27 @@
 Equal vectors are one vertex with a weight. Vertices are dealt to the nearest of a few pivots and cut into tiles. The angle
 is a metric, so two tiles whose angles to some pivot lie further apart than the limit hold no link and are never
 multiplied. A pair of tiles gives link counts per vertex and a spanning forest, never its list of pairs.
+
+Tiles are files in the shared folder, written once; a task is told the names of its pairs and reads their tiles. Pairs of
+tiles grow with the square of the rows, so vectors never travel with them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
+import os
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewatch.llm import files
 from tidewatch.llm.common import Stage, components, stage_for
 
 THRESHOLD = 0.95
@@ -24,6 +32,10 @@ PIVOTS = 16
 TILE = 1 << 18
 #: Tile pairs a task gets on average.
 PAIRS_PER_TASK = 6
+#: Pairs are dealt in squares of at most this many tiles a side; a task holds two sides.
+SIDE = 8
+#: Squares come to be larger than one pair once there are this many.
+SQUARES = 256
 #: Room for rounding in single precision products and in angles.
 SLACK = 2e-5
 #: Products of int8 values stay exact in single precision up to this many dimensions.
@@ -47,8 +59,7 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 class Tile:
     def __init__(self, ids: np.ndarray, weights: np.ndarray, vectors: np.ndarray):
         self.ids, self.weights, self.vectors = ids, weights, vectors
-        self.unit = unit_rows(vectors)
-        codes, self.scale, self.error = quantise(self.unit)
+        codes, self.scale, self.error = quantise(unit_rows(vectors))
         self.codes = codes.astype(np.float32)  # int8 values; single precision multiplies them without loss
 
 
@@ -101,62 +112,95 @@ def link_tiles(a: Tile, b: Tile, same: bool, limit: float, step: int = 512) -> t
     return to_a, to_b, label
 
 
-def _key(v: list | None) -> bytes | None:
-    """A digest of a vector that can link; None for null or zero vectors and those with null or non-finite parts."""
-    if not v or any(x is None for x in v):
-        return None
-    x = np.asarray(v, dtype=np.float64)
-    if not np.isfinite(x).all() or not x.any():
-        return None
-    return hashlib.blake2b((x + 0.0).tobytes(), digest_size=16).digest()
-
+def _keyed(rows: DataFrame, kind: str) -> DataFrame:
+    """Each row with a digest of its vector, its numbers as bytes (of numpy type ``kind``) and their count. All three are
+    null where the vector cannot link: null, empty or zero vectors and those with null or non-finite parts."""
 
-def _keyed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = batch.column(1).to_pylist()
-            keys = [_key(v) for v in vectors]
-            kept = [None if k is None else v for v, k in zip(vectors, keys, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(kept, pa.list_(pa.float64()))], ["id", "key", "vector"]
-            )
-
-    return rows.mapInArrow(run, "id bigint, key binary, vector array<double>")
-
-
-def _tiles(vertices: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """One row per tile: its vectors, and per pivot the least and largest angle."""
-
-    def make(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        vectors = np.array(pdf["vector"].tolist(), dtype=np.float64)
-        angles = np.arccos(np.clip(unit_rows(vectors) @ pivots[vectors.shape[1]].T, -1, 1))
-        return pd.DataFrame(
-            {
-                "dims": [vectors.shape[1]],
-                "cell": [int(pdf["cell"].iloc[0])],
-                "tile": [int(pdf["tile"].iloc[0])],
-                "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
-                "weights": [pdf["weight"].to_numpy(np.int64).tobytes()],
-                "vectors": [vectors.tobytes()],
-                "low": [angles.min(axis=0).tolist()],
-                "high": [angles.max(axis=0).tolist()],
-            }
-        )
-
-    schema = "dims int, cell int, tile bigint, ids binary, weights binary, vectors binary, low array<double>, high array<double>"
-    return vertices.groupBy("dims", "cell", "tile").applyInPandas(make, schema)
-
-
-def _dealt(vertices: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+            lists = batch.column(1)
+            size = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            x = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False) + 0.0  # null becomes NaN, -0.0 becomes 0.0
+            ends = np.cumsum(size)
+            begins = ends - size
+            per_row = lambda flags: np.concatenate(([0], np.cumsum(flags)))
+            bad, some = per_row(~np.isfinite(x)), per_row(x != 0)
+            ok = (bad[ends] == bad[begins]) & (some[ends] > some[begins])
+            raw = x.astype(kind)
+            spans = [(a, b) if fit else None for a, b, fit in zip(begins.tolist(), ends.tolist(), ok.tolist(), strict=True)]
+            keys = [t and hashlib.blake2b(x[t[0] : t[1]].tobytes(), digest_size=16).digest() for t in spans]
+            own = [t and raw[t[0] : t[1]].tobytes() for t in spans]
+            dims = pa.array(size, pa.int32(), mask=~ok)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(own, pa.binary()), dims], ["id", "key", "vector", "dims"])
+
+    return rows.mapInArrow(run, "id bigint, key binary, vector binary, dims int")
+
+
+def _dealt(vertices: DataFrame, pivots: dict[int, np.ndarray], kind: str) -> DataFrame:
     """Add the cell: the nearest pivot of the vector's dimension."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = [int((pivots[len(v)] @ unit_rows(np.array([v]))[0]).argmax()) for v in batch.column(2).to_pylist()]
+            dims = batch.column(3).to_numpy()
+            raw = batch.column(2).to_pylist()
+            cells = np.zeros(len(dims), dtype=np.int32)
+            for d in np.unique(dims):
+                own = np.flatnonzero(dims == d)
+                for part in np.array_split(own, max(1, len(own) * int(d) // (1 << 18))):
+                    vectors = np.frombuffer(b"".join(raw[i] for i in part), kind).reshape(-1, d)
+                    cells[part] = (unit_rows(vectors) @ pivots[int(d)].T).argmax(axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int32())], [*batch.schema.names, "cell"])
 
-    return vertices.mapInArrow(run, "id bigint, weight bigint, vector array<double>, dims int, cell int")
+    return vertices.mapInArrow(run, "id bigint, weight bigint, vector binary, dims int, cell int")
+
+
+def _tiles(cut: DataFrame, pivots: dict[int, np.ndarray], kind: str, base: str, tasks: int) -> DataFrame:
+    """Write one file per tile; one row each: its name, and per pivot the least and largest angle."""
+    schema = "tile_id string, dims int, low array<double>, high array<double>"
+    names = ["dims", "cell", "tile"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(key: tuple, rows: list) -> pa.RecordBatch:
+            ids, weights, vectors = zip(*rows, strict=True)
+            dims, name = key[0], "-".join(map(str, key))
+            raw = b"".join(vectors)
+            angles = np.arccos(np.clip(unit_rows(np.frombuffer(raw, kind).reshape(-1, dims)) @ pivots[dims].T, -1, 1))
+            head = np.array([len(ids), dims, *ids, *weights], dtype="<i8")
+            files.write_whole(base, name, [head.tobytes(), raw])
+            low, high = [angles.min(axis=0).tolist()], [angles.max(axis=0).tolist()]
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([dims], pa.int32()), pa.array(low), pa.array(high)], ["tile_id", "dims", "low", "high"])
+
+        held, rows = None, []
+        for batch in batches:
+            for *key, own, weight, vector in zip(*[batch.column(c).to_pylist() for c in (*names, "id", "weight", "vector")], strict=True):
+                if key != held and rows:
+                    yield made(tuple(held), rows)
+                    rows = []
+                held = key
+                rows.append((own, weight, vector))
+        if rows:
+            yield made(tuple(held), rows)
+
+    return cut.repartition(tasks, *names).sortWithinPartitions(*names, "id").mapInArrow(run, schema)
+
+
+class TileFiles:
+    """Tiles by name, the ones used last kept."""
+
+    def __init__(self, base: str, kind: str, most: int):
+        self.base, self.kind, self.most = base, kind, most
+        self.held: OrderedDict[str, Tile] = OrderedDict()
+
+    def __getitem__(self, name: str) -> Tile:
+        if name not in self.held:
+            while len(self.held) >= self.most:
+                self.held.popitem(last=False)
+            raw = files.read_whole(self.base, name)
+            n, dims = np.frombuffer(raw, "<i8", 2).tolist()
+            ids, weights = np.frombuffer(raw, "<i8", 2 * n, 16).reshape(2, n)
+            self.held[name] = Tile(ids, weights, np.frombuffer(raw, self.kind, n * dims, 16 + 16 * n).reshape(n, dims))
+        self.held.move_to_end(name)
+        return self.held[name]
 
 
 def near_duplicates(
@@ -171,29 +215,34 @@ def near_duplicates(
     """
     spark = rows.sparkSession
     stage = stage or stage_for(spark, "vectors")
-    keyed = stage(_keyed(rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("v"))), "keyed")
-    vertices = stage(
-        keyed.where("key is not null and id is not null")
+    element = rows.schema[vector_col].dataType.elementType
+    kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
+    read = _keyed(rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).alias("v")), kind)
+    keyed = stage(read.select("id", "key"), "keyed")
+    plain = stage(
+        read.where("key is not null and id is not null")
         .groupBy("key")
-        .agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.min("vector").alias("vector"))
-        .select("key", "id", "weight", "vector", F.size("vector").alias("dims")),
+        .agg(F.min("id").alias("id"), F.count("*").alias("weight"), F.min("vector").alias("vector"), F.min("dims").alias("dims"))
+        .select("id", "weight", "vector", "dims"),
         "vertices",
     )
-    plain = vertices.select("id", "weight", "vector", "dims")
+    stage.drop()  # the vectors' shuffle files
     chosen: dict[int, np.ndarray] = {}
     dims = [r["dims"] for r in plain.select("dims").distinct().collect()]  # the lengths that occur
     for d in dims:
         sample = plain.where(F.col("dims") == d).select("vector", F.xxhash64("vector").alias("h")).orderBy("h").limit(pivots).collect()
-        chosen[d] = unit_rows(np.array([r["vector"] for r in sample]))
-    dealt = stage(_dealt(plain, chosen), "dealt")
+        chosen[d] = unit_rows(np.array([np.frombuffer(r["vector"], kind) for r in sample]))
+    dealt = _dealt(plain, chosen, kind)
     per_tile = F.greatest(F.lit(64), F.floor(F.lit(TILE) / F.col("dims")))
-    counts = dealt.groupBy("dims", "cell").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / per_tile))
     # A cell table has at most ``pivots`` rows per vector length.
+    counts = stage(dealt.groupBy("dims", "cell").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / per_tile)), "cells")
+    n_tiles = counts.agg(F.sum("parts")).first()[0] or 0
     cut = dealt.join(F.broadcast(counts.select("dims", "cell", "parts")), ["dims", "cell"])
     cut = cut.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("parts"))).drop("parts")
-    tiles = stage(_tiles(cut, chosen), "tiles").withColumn("tile_id", F.concat_ws("-", "dims", "cell", "tile"))
+    base = os.path.join(stage.base, "tile-files")
+    bounds = stage(_tiles(cut, chosen, kind, base, max(1, -(-n_tiles // 2))), "tiles")
+    stage.drop("vertices")
     angle = float(np.arccos(limit)) + 1e-6
-    bounds = tiles.select("tile_id", "dims", "low", "high")
     left = bounds.select(*[F.col(c).alias(f"l_{c}") for c in bounds.columns])
     right = bounds.select(*[F.col(c).alias(f"r_{c}") for c in bounds.columns])
     apart = F.exists(
@@ -208,27 +257,27 @@ def near_duplicates(
         .select(F.col("l_tile_id").alias("a"), F.col("r_tile_id").alias("b")),
         "tile-pairs",
     )
-    load = tiles.select("tile_id", F.struct("dims", "ids", "weights", "vectors").alias("t"))
     n_pairs = pairs.count()
+    side = max(1, min(SIDE, math.isqrt(n_pairs // SQUARES)))
+    # Squares by number: the tiles of a cell lie side by side.
+    numbers = bounds.select("tile_id").orderBy("tile_id").collect()  # one short row per tile
+    square = spark.createDataFrame([(r["tile_id"], i // side) for i, r in enumerate(numbers)], "tile_id string, n bigint")
     work = (
-        pairs.join(load.select(F.col("tile_id").alias("a"), F.col("t").alias("ta")), "a")
-        .join(load.select(F.col("tile_id").alias("b"), F.col("t").alias("tb")), "b")
-        .repartition(-(-max(1, n_pairs) // PAIRS_PER_TASK), "a", "b")
+        pairs.join(square.toDF("a", "x"), "a")
+        .join(square.toDF("b", "y"), "b")
+        .select("x", "y", "a", "b")
+        .repartition(-(-max(1, n_pairs) // max(PAIRS_PER_TASK, side * side)), "x", "y")
+        .sortWithinPartitions("x", "y", "a", "b")
     )
 
-    def tile(raw: dict) -> Tile:
-        return Tile(
-            np.frombuffer(raw["ids"], np.int64), np.frombuffer(raw["weights"], np.int64), np.frombuffer(raw["vectors"]).reshape(-1, raw["dims"])
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tiles = TileFiles(base, kind, 2 * side)
         for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                a, b = tile(row["ta"]), tile(row["tb"])
-                same = row["a"] == row["b"]
-                to_a, to_b, label = link_tiles(a, b, same, limit)
-                ids = a.ids if same else np.concatenate([a.ids, b.ids])
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                left, right = tiles[a], tiles[b]
+                same = a == b
+                to_a, to_b, label = link_tiles(left, right, same, limit)
+                ids = left.ids if same else np.concatenate([left.ids, right.ids])
                 links = to_a + to_b if same else np.concatenate([to_a, to_b])
                 some = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
@@ -236,11 +285,12 @@ def near_duplicates(
                 )
 
     linked = stage(work.mapInArrow(run, "id bigint, links bigint, other bigint"), "linked")
+    stage.drop("tile-files")
     sums = linked.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(linked.select(F.col("id").alias("a"), F.col("other").alias("b")), stage, "groups")
+    vertices = keyed.where("key is not null and id is not null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("weight"))
     found = (
-        vertices.select("key", "id", "weight")
-        .join(sums, "id", "left")
+        vertices.join(sums, "id", "left")
         .join(groups.withColumnRenamed("v", "id"), "id", "left")
         .select("key", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "id").alias("c"))
     )
