@@ -246,3 +246,72 @@ def test_many_prices_are_shuffled_every_round(spark, world, monkeypatch):
     monkeypatch.setattr(H, "FEW_PRICES", 0)
     many = H.draft(cov, staged, B, "r", stage=stage).drop("run_id").collect()
     assert plans and all("strategy=merge" in p for p in plans) and sorted(few) == sorted(many)
+
+
+def many_sites(spark, world, sites=20):
+    """Twelve people and a week of slots at each site, with limits that bring them into each other's way."""
+    prov, _, cov = world
+    rule = spark.createDataFrame(
+        [("1", "max_consecutive", "3", "all"), ("2", "min_rest_hours", "14", "all"), ("3", "no_night_then_day", "true", "all"), ("4", "max_shifts_per_block", "4", "all")],
+        "rule_id string, rule_type string, param_value string, applies_to string",
+    )
+    pto = spark.createDataFrame([(1, 5, D(2), D(4), "approved"), (2, 6, D(3), None, "requested")], "pto_id int, provider_id bigint, start_date date, end_date date, status string")
+    each = spark.range(sites).select(F.col("id").alias("s"))
+    prov = prov.crossJoin(each).withColumn("site", F.col("s")).withColumn("provider_id", F.col("provider_id") + 12 * F.col("s")).drop("s")
+    cov = cov.where("work_date < DATE '2026-09-08'").crossJoin(each).withColumn("site", F.col("s")).drop("s")
+    facts = H.provider_facts(prov, rule, pto, None, B)
+    return spark.createDataFrame(facts.collect(), facts.schema), spark.createDataFrame(cov.collect(), cov.schema)
+
+
+def test_small_sites_are_settled_at_once_as_by_rounds(spark, world, monkeypatch):
+    """Their pairs are shuffled once; a site above its share goes by rounds, with the same draft."""
+    facts, cov = many_sites(spark, world)
+    stored = []
+
+    def stage(df, name):
+        stored.append(name)
+        return spark.createDataFrame(df.collect(), df.schema)
+
+    whole = H.draft(cov, facts, B, "r", stage=stage).collect()
+    assert not any(n.startswith("claims") for n in stored) and "pairs" not in stored
+    pairs = H.bids(cov, facts, B).collect()
+    assert sorted((r.site, r.work_date, r.shift_type, r.unit, r.provider_id) for r in whole) == greedy(pairs) and len(whole) > 400
+    stored.clear()
+    bigger = cov.union(cov.where("site = 3").withColumn("unit", F.lit("ward")))
+    mixed = H.draft(bigger, facts, B, "r", stage=stage).collect()
+    assert "claims-0" in stored  # the site has two of 21 parts of all pairs
+    stored.clear()
+    monkeypatch.setattr(H, "SITE_PART", 1)
+    assert sorted(H.draft(bigger, facts, B, "r", stage=stage).collect()) == sorted(mixed) and "claims-0" not in stored
+    monkeypatch.setattr(H, "SITE_PAIRS", 0)
+    assert sorted(H.draft(cov, facts, B, "r", stage=stage).collect()) == sorted(whole)
+
+
+def test_sites_that_share_a_provider_go_by_rounds(spark, world):
+    facts, cov = many_sites(spark, world)
+    lent = facts.where("provider_id = 3").withColumn("site", F.lit(7).cast("bigint"))
+    rows_ = {n: spark.createDataFrame(df.collect(), df.schema) for n, df in (("facts", facts.union(lent)), ("slots", H.slots_of(cov)))}
+    found, n_pairs = H.sites_by_rounds(rows_["slots"], rows_["facts"], lambda df, name: df, False)
+    assert {r["site"] for r in found.collect()} == {0, 7} and n_pairs > 20 * 7 * 12
+    assert H.sites_by_rounds(rows_["slots"], spark.createDataFrame(facts.collect(), facts.schema), lambda df, name: df, False)[0] is None
+
+
+def test_duties_keep_rest_to_near_and_far_days():
+    for rest in (None, 0, 10, 13, 30, 400, float("nan")):
+        for hours in (8, 12):
+            mine, taken = H.Duties(rest, False, None, None, hours), []
+            for k in range(60):
+                day, hour = (k * 17) % 61, (7, 12, 19, 0, 23)[k % 5]
+                begin = day * 24 + hour
+                free = all(d != day and not (rest is not None and abs(b - begin) - hours < rest) for d, b in taken)
+                assert mine.take(day, 0, begin, "day") == free
+                if free:
+                    taken.append((day, begin))
+
+
+def test_bids_of_one_score_fall_by_tie_and_id():
+    pa = H.pa
+    site = H.np.array([1, 1, 1, 1, 1, 1, 0])
+    score = pa.array([1.0, None, float("nan"), 2.0, 2.0, -0.0, 0.0])
+    tie, who = pa.array([5, 1, 1, -7, -7, 3, 2]), pa.array(["a", "b", "c", "d", "e", "f", "g"])
+    assert H._falling(site, score, tie, who).tolist() == [6, 2, 4, 3, 0, 5, 1]

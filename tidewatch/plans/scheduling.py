@@ -11,7 +11,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -129,24 +131,28 @@ def weight_of(weights: Column, shift: Column, day: Column) -> Column:
     return F.coalesce(F.try_element_at(weights, F.concat_ws("|", shift, weekday_name(day))), F.lit(0))
 
 
-def eligible(coverage: DataFrame, facts: DataFrame) -> DataFrame:
+def eligible(coverage: DataFrame, facts: DataFrame, on: Sequence[str] = ("site", "required_credential")) -> DataFrame:
     """Slot x provider of the same site with the credential, not on approved leave, opted in for nights.
 
     The credential list is exploded, so this is an equi join on (site, credential), never a containment
-    test against every provider.
+    test against every provider. ``on``: other columns that both have to agree in.
     """
     able = shuffled(facts).withColumn("required_credential", F.explode("credentials"))
-    j = with_requirement(coverage).join(able, ["site", "required_credential"])
+    j = with_requirement(coverage).join(able, [*on])
     night_ok = (F.col("shift_type") != "night") | ~F.col("needs_optin") | F.col("wants_night_differential")
     return j.where(~F.array_contains("off_days", F.col("work_date")) & night_ok)
 
 
-def scored_candidates(coverage: DataFrame, facts: DataFrame, wish_penalty: float = 3.0, keep: Sequence[str] = ()) -> DataFrame:
+def scored_candidates(
+    coverage: DataFrame, facts: DataFrame, wish_penalty: float = 3.0, keep: Sequence[str] = (), on: Sequence[str] = ("site", "required_credential")
+) -> DataFrame:
     """Preference weight, slightly lifted by seniority, less a penalty on a day asked off."""
     lift = F.lit(1.0) + F.lit(0.01) * F.col("seniority_years")
-    weight = weight_of(F.col("weights"), F.col("shift_type"), F.col("work_date"))
+    # The name of the cell is made per slot, before the join, not per pair.
+    cell = F.concat_ws("|", F.col("shift_type"), weekday_name(F.col("work_date")))
+    weight = F.coalesce(F.try_element_at(F.col("weights"), F.col("_cell")), F.lit(0))
     wished = F.array_contains("wished_days", F.col("work_date"))
-    e = eligible(coverage, facts)
+    e = eligible(coverage.withColumn("_cell", cell), facts, on)
     return e.select(
         *SLOT, "required_headcount", ID, *keep,
         weight.alias("preference_weight"),
@@ -328,29 +334,44 @@ def draft_schema(coverage: DataFrame, facts: DataFrame) -> str:
 LIMITS = ("rest_hours", "night_day_rule", "max_run", "block_max")
 
 
-def bids(coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clock()) -> DataFrame:
-    """Every pair of slot and eligible provider with its bid; no two bids are equal.
-
-    The bid is the candidate score; equal scores are ordered by a hash of slot and provider, so that no provider wins all
-    of them, and at last by the provider's id. Doubled slots are one, with the larger headcount.
-    """
-    slots = (
+def slots_of(coverage: DataFrame) -> DataFrame:
+    """Doubled slots are one, with the larger headcount."""
+    return (
         with_requirement(coverage)
         .groupBy(*SLOT, "required_credential")
         .agg(F.max("required_headcount").alias("required_headcount"))
         .where("required_headcount > 0")
     )
-    # The limits come along from the providers: looked up afterwards they would cost a shuffle of all pairs.
+
+
+def _with_limits(facts: DataFrame) -> DataFrame:
+    """The limits come along from the providers: looked up by pair they would cost a shuffle of all pairs."""
     own = {c: F.col(c).cast("double") if c != "night_day_rule" else F.col(c) for c in LIMITS}
-    limits = shuffled(facts).select(ID, *[v.alias(f"_{c}") for c, v in own.items()])
-    pairs = scored_candidates(slots, facts.join(limits, ID), keep=[f"_{c}" for c in LIMITS])
+    return facts.join(shuffled(facts).select(ID, *[v.alias(f"_{c}") for c, v in own.items()]), ID)
+
+
+def _bids(
+    slots: DataFrame, limited: DataFrame, block: Block, clock: Clock, keep: Sequence[str] = (), on: Sequence[str] = ("site", "required_credential")
+) -> DataFrame:
+    """``bids`` of slots that are one row each and providers with their limits; what depends on the slot alone is made per slot."""
     day = F.datediff("work_date", F.lit("1970-01-01").cast("date"))
     hour = F.hour(clock.starts_at(F.col("work_date"), F.col("shift_type")))
+    timed = slots.withColumns({"day": day, "begin": day * 24 + hour, "block": block.number(F.col("work_date"))}).where("begin IS NOT NULL")
+    pairs = scored_candidates(timed, limited, keep=[*[f"_{c}" for c in LIMITS], "day", "begin", "block", *keep], on=on)
     return pairs.select(
         *SLOT, "required_headcount", ID, *[F.col(f"_{c}").alias(c) for c in LIMITS], "preference_weight",
         F.struct(F.col("score"), F.xxhash64(*SLOT, ID).alias("tie"), F.col(ID).alias("who")).alias("bid"),
-        day.alias("day"), (day * 24 + hour).alias("begin"), block.number(F.col("work_date")).alias("block"),
-    ).where("begin IS NOT NULL")
+        "day", "begin", "block", *keep,
+    )
+
+
+def bids(coverage: DataFrame, facts: DataFrame, block: Block, clock: Clock = Clock()) -> DataFrame:
+    """Every pair of slot and eligible provider with its bid; no two bids are equal.
+
+    The bid is the candidate score; equal scores are ordered by a hash of slot and provider, so that no provider wins all
+    of them, and at last by the provider's id. Doubled slots are one, with the larger headcount.
+    """
+    return _bids(slots_of(coverage), _with_limits(facts), block, clock)
 
 
 class Duties:
@@ -358,16 +379,22 @@ class Duties:
 
     def __init__(self, rest: float | None, night_day: bool, max_run: float | None, cap: float | None, hours: int):
         self.rest, self.night_day, self.max_run, self.cap, self.hours = rest, night_day, max_run, cap, hours
+        #: Shifts more days apart than this have their rest, as each begins within its day.
+        self.reach = None if rest is None or not rest < 10_000 else max(0, int((rest + hours) // 24)) + 1
         self.on: dict[int, tuple[int, str]] = {}
         self.in_block: dict[int, int] = {}
 
     def take(self, day: int, block: int, begin: int, shift: str) -> bool:
         if day in self.on or (self.cap is not None and self.in_block.get(block, 0) + 1 > self.cap):
             return False
-        if self.rest is not None and any(
-            max(b - begin, begin - b) - self.hours < self.rest for b, _ in self.on.values()
-        ):
-            return False
+        if self.rest is not None and self.on:
+            if self.reach is None or 2 * self.reach > len(self.on):
+                near = self.on.values()
+            else:
+                near = [self.on[d] for d in range(day - self.reach, day + self.reach + 1) if d in self.on]
+            for b, _ in near:
+                if abs(b - begin) - self.hours < self.rest:
+                    return False
         if self.night_day and (
             (shift == "day" and self.on.get(day - 1, (0, ""))[1] == "night")
             or (shift == "night" and self.on.get(day + 1, (0, ""))[1] == "day")
@@ -452,24 +479,141 @@ def auction(pairs: DataFrame, stage: Callable[[DataFrame, str], DataFrame], cloc
     return reduce(DataFrame.unionByName, done), n
 
 
+#: A site with at most this many pairs, and at most this part of all pairs, is settled by one task; the others by rounds.
+SITE_PAIRS = 200_000
+SITE_PART = 16
+
+
+def sites_by_rounds(slots: DataFrame, facts: DataFrame, stage: Callable[[DataFrame, str], DataFrame], given: bool) -> tuple[DataFrame | None, int]:
+    """(sites that the auction settles by rounds over all tasks, or None; number of pairs at most).
+
+    Large sites, by slots times able providers, so that no task has more than its share. Also sites that do not stand
+    alone or whose slots have no single headcount: with a provider whose rows differ in site or limits, a slot without a
+    unit, or (``given`` credentials) one slot under two credentials.
+    """
+    need = slots.groupBy("site", "required_credential").agg(F.count(F.lit(1)).alias("n"))
+    able = facts.select("site", F.explode("credentials").alias("required_credential"))
+    able = able.groupBy("site", "required_credential").agg(F.count(F.lit(1)).alias("m"))
+    sizes = stage(need.join(able, ["site", "required_credential"]).groupBy("site").agg(F.sum(F.col("n") * F.col("m")).alias("n")), "sites")
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    person = F.struct("site", *LIMITS)
+    several = facts.where(F.col(ID).isNotNull()).groupBy(ID).agg(F.min(person).alias("a"), F.max(person).alias("b"), F.collect_set("site").alias("of")).where("NOT a <=> b")
+    marked = [
+        sizes.where(F.col("n") > min(SITE_PAIRS, total // SITE_PART)).select("site"),
+        several.select(F.explode("of").alias("site")),
+        slots.where("unit IS NULL").select("site"),
+    ]
+    if given:
+        marked.append(slots.groupBy(*SLOT).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("site"))
+    found = stage(reduce(DataFrame.union, marked).distinct(), "sites-by-rounds")
+    return (None if found.isEmpty() else found), total
+
+
+def _falling(site: np.ndarray, score: pa.Array, tie: pa.Array, who: pa.Array) -> np.ndarray:
+    """Rows by site, then from the best bid down, as Spark orders them: no number above all numbers, null below."""
+    s, t = score.to_numpy(zero_copy_only=False), tie.to_numpy()
+    null = np.asarray(pc.is_null(score))
+    kind = np.where(null, 2, np.where(np.isnan(s), 0, 1))
+    s = np.where(kind == 1, s, 0.0)
+    order = np.lexsort((~t, -s, kind, site))
+    site, kind, s, t = site[order], kind[order], s[order], t[order]
+    equal = (site[1:] == site[:-1]) & (kind[1:] == kind[:-1]) & (s[1:] == s[:-1]) & (t[1:] == t[:-1])
+    if equal.any():
+        begins = np.flatnonzero(np.concatenate(([True], ~equal)))
+        for lo, hi in zip(begins, [*begins[1:], len(order)], strict=True):
+            if hi - lo > 1:
+                order[lo:hi] = sorted(order[lo:hi].tolist(), key=lambda i: who[i].as_py(), reverse=True)
+    return order
+
+
+def _settle_sites(rows: pa.RecordBatch, hours: int) -> pa.RecordBatch:
+    """The claims of whole sites: bids in falling order, each taken where its slot and provider still can."""
+    column = lambda c: rows.column(rows.schema.get_field_index(c))
+    code = lambda c: column(c).dictionary_encode()
+    sites, people, shifts, units = code("site"), code(ID), code("shift_type"), code("unit")
+    at = sites.indices.to_numpy()
+    day = column("work_date").cast(pa.int32()).to_numpy()
+    slot = ((at.astype(np.int64) * (int(day.max()) - int(day.min()) + 1) + day - int(day.min())) * len(shifts.dictionary) + shifts.indices.to_numpy())
+    _, first, slot = np.unique(slot * len(units.dictionary) + units.indices.to_numpy(), return_index=True, return_inverse=True)
+    left = column("required_headcount").to_numpy()[first].tolist()
+    others = np.bincount(slot) - 1
+    order = _falling(at, column("score"), column("tie"), column(ID))
+    duties: list[Duties | None] = [None] * len(people.dictionary)
+    names = shifts.dictionary.to_pylist()
+    limits = [column(c) for c in LIMITS]
+    walk = (slot, people.indices.to_numpy(), day, column("block").to_numpy(), column("begin").to_numpy(), shifts.indices.to_numpy())
+    keep = []
+    for i, s, p, on, own_block, begin, shift in zip(order.tolist(), *[x[order].tolist() for x in walk], strict=True):
+        if not left[s]:
+            continue
+        mine = duties[p]
+        if mine is None:
+            mine = duties[p] = Duties(*[c[i].as_py() for c in limits], hours)
+        if mine.take(on, own_block, begin, names[shift]):
+            left[s] -= 1
+            keep.append(i)
+    kept = rows.take(pa.array(keep, pa.int64()))
+    return pa.RecordBatch.from_arrays([*kept.columns, pa.array(others[slot[keep]], pa.int32())], [*rows.schema.names, "alternatives"])
+
+
+def settled(pairs: DataFrame, n_pairs: int, clock: Clock = Clock()) -> DataFrame:
+    """The claims of sites that a task can hold, each site as a whole, and how many others each slot could have had.
+
+    From the best bid down nothing is taken back, so one pass over a site ends where the rounds of ``auction`` end.
+    """
+    hours = clock.hours
+
+    def run(batches):
+        held, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            site = batch.column(0)
+            new = np.flatnonzero(np.asarray(pc.not_equal(site.slice(1), site.slice(0, len(site) - 1)))) + 1
+            cut = int(new[-1]) if len(new) else 0
+            if held and (cut or site[0].as_py() != last):
+                yield _settle_sites(pa.concat_batches([*held, batch.slice(0, cut)]), hours)
+                held = []
+            elif cut:
+                yield _settle_sites(batch.slice(0, cut), hours)
+            held.append(batch.slice(cut))
+            last = site[len(site) - 1].as_py()
+        if held:
+            yield _settle_sites(pa.concat_batches(held), hours)
+
+    flat = pairs.select(*SLOT, "required_headcount", ID, *LIMITS, "preference_weight", "bid.score", "bid.tie", "begin", "block")
+    out = T.StructType([*flat.schema.fields, T.StructField("alternatives", T.IntegerType())])
+    claims = dealt(flat, ["site"], n_pairs, 250_000).sortWithinPartitions("site").mapInArrow(run, out)
+    return claims.withColumn("bid", F.struct("score", "tie", F.col(ID).alias("who"))).drop("score", "tie")
+
+
 def draft(
     coverage: DataFrame, facts: DataFrame, block: Block, run_id: str, clock: Clock = Clock(), stage: Callable[[DataFrame, str], DataFrame] | None = None
 ) -> DataFrame:
     """A first draft for a person to approve, by an auction over all sites at once; ``with_hard_ok`` adds what the audit says.
 
-    No step groups a site: pairs are dealt by provider and by slot. Slots and providers that cannot meet leave seats open;
-    empty tables give an empty draft.
+    Sites that a task can hold are settled as a whole, so that their pairs are shuffled once; a large site is never one
+    group: its pairs are dealt by provider and by slot, round after round. Slots and providers that cannot meet leave seats
+    open; empty tables give an empty draft.
     """
     ship_package(coverage.sparkSession)
     stage = stage or staging(coverage.sparkSession, "auction")
-    pairs = stage(bids(coverage, facts, block, clock), "pairs")
-    claims, _ = auction(pairs, stage, clock)
-    options = pairs.groupBy(*SLOT).agg((F.count(F.lit(1)) - 1).cast("int").alias("alternatives"))
+    slots = stage(slots_of(coverage), "slots")
+    limited = _with_limits(facts)
+    by_rounds, n_pairs = sites_by_rounds(slots, facts, stage, "required_credential" in coverage.columns)
+    alone = slots if by_rounds is None else slots.join(by_rounds, "site", "left_anti")
+    wanted = [*SLOT, ID, "bid", "preference_weight", "block", "alternatives"]
+    out = stage(settled(_bids(alone, limited, block, clock), n_pairs, clock).select(*wanted), "settled")
+    if by_rounds is not None:
+        pairs = stage(_bids(slots.join(by_rounds, "site", "left_semi"), limited, block, clock), "pairs")
+        claims, _ = auction(pairs, stage, clock)
+        options = pairs.groupBy(*SLOT).agg((F.count(F.lit(1)) - 1).cast("int").alias("alternatives"))
+        out = out.unionByName(claims.join(options, SLOT).select(*wanted))
     seat = F.row_number().over(W.partitionBy(*SLOT).orderBy(F.col("bid").desc()))
     hard = (F.col("shift_type") == "night") | F.dayofweek("work_date").isin(1, 7)
     before = W.partitionBy(ID, "block").orderBy(F.col("bid").desc()).rowsBetween(W.unboundedPreceding, -1)
     load = F.coalesce(F.sum(hard.cast("int")).over(before), F.lit(0)).cast("int")
-    out = claims.withColumn("seat", seat).withColumn("equity_load", load).join(options, SLOT)
+    out = out.withColumn("seat", seat).withColumn("equity_load", load)
     why = F.struct(F.col("preference_weight").cast("int").alias("preference_weight"), "equity_load", "alternatives")
     made = out.select(F.lit(run_id).alias("run_id"), "site", ID, "work_date", "shift_type", "unit", "seat", why.alias("why_factors"))
     # Stored: the rounds above should not run again for every reader.
