@@ -309,6 +309,19 @@ def test_duties_keep_rest_to_near_and_far_days():
                     taken.append((day, begin))
 
 
+def test_blocking_pairs_store_only_the_draft(spark, world):
+    """All pairs are made from slots and providers that bring the draft along; none of them is stored or shuffled."""
+    _, facts, cov = world
+    drafted, stored = H.draft(cov, facts, B, "r").cache(), {}
+
+    def stage(df, name):
+        stored[name] = df.cache()
+        return stored[name]
+
+    out = H.blocking_pairs(drafted.where("provider_id % 3 <> 1"), cov, facts, B, stage=stage)
+    assert out.count() > 0 and stored["pairs"].count() == drafted.where("provider_id % 3 <> 1").count()
+
+
 def test_bids_of_one_score_fall_by_tie_and_id():
     pa = H.pa
     site = H.np.array([1, 1, 1, 1, 1, 1, 0])

@@ -627,35 +627,44 @@ def blocking_pairs(
     """Pairs left out of a draft although their slot has room for them and their provider could work them.
 
     Room and limits are looked at as if only shifts with higher bids stood, since both sides would give up the lower ones.
-    A draft of ``draft`` has none. It is worked out by joins, not by the auction. The pairs are stored with a mark of those
-    in the draft, so that they are made and shuffled for it once.
+    A draft of ``draft`` has none. It is worked out by joins, not by the auction. The pairs in the draft are stored with their
+    bids, and slots and providers bring theirs along, so that all pairs are made once and never shuffled.
     """
     stage = stage or staging(coverage.sparkSession, "blocking")
     key = [*SLOT, ID]
-    taken = shuffled(drafted).select(*key, F.lit(True).alias("held"))
-    marked = stage(bids(coverage, facts, block, clock).join(taken, key, "left"), "pairs")
-    held = marked.where("held").drop("held")
-    higher = held.groupBy(*SLOT).agg(F.array_sort(F.collect_list("bid")).alias("slot_bids"))  # at most the headcount
-    theirs = held.groupBy(ID).agg(F.collect_list(F.struct("bid", "day", "begin", "block", "shift_type")).alias("duties"))  # one a day
-    free = marked.where("held IS NULL").drop("held").join(higher, SLOT, "left").join(theirs, ID, "left")
-    above = F.filter(F.coalesce("duties", F.array().cast(theirs.schema["duties"].dataType)), lambda d: d["bid"] > F.col("bid"))
-    free = free.withColumn("above", above)
-    room = F.size(F.filter(F.coalesce("slot_bids", F.array().cast(higher.schema["slot_bids"].dataType)), lambda b: b > F.col("bid"))) < F.col("required_headcount")
-    days = F.transform("above", lambda d: d["day"])
+    slots, limited = slots_of(coverage), _with_limits(facts)
+    taken = slots.join(shuffled(drafted).select(*key), SLOT)
+    held = stage(_bids(taken, limited, block, clock, on=["site", "required_credential", ID]), "pairs")
+    higher = held.groupBy(*SLOT).agg(F.sort_array(F.collect_list("bid"), asc=False).alias("slot_bids"))  # at most the headcount
+    duties = F.sort_array(F.collect_list(F.struct("day", "bid", "begin", "block", "shift_type")))  # one a day
+    theirs = held.groupBy(ID).agg(duties.alias("duties"))
+    own = limited.join(shuffled(theirs), ID, "left")
+    pairs = _bids(slots.join(shuffled(higher), SLOT, "left"), own, block, clock, keep=["slot_bids", "duties"])
+    # Room: of the slot's bids, fewer than it needs heads are higher.
+    least = F.try_element_at("slot_bids", F.col("required_headcount").cast("int"))
+    room = least.isNull() | (least <= F.col("bid"))
+    apart = F.coalesce(~F.exists("slot_bids", lambda b: b["who"] == F.col(ID)), F.lit(True))
+    theirs_or_none = F.coalesce("duties", F.array().cast(theirs.schema["duties"].dataType))
+    busy = F.exists(theirs_or_none, lambda d: (d["day"] == F.col("day")) & (d["bid"] > F.col("bid")))
+    above = F.filter(theirs_or_none, lambda d: d["bid"] > F.col("bid"))
     gap = lambda d: F.abs(d["begin"] - F.col("begin")) - clock.hours
-    clash = F.exists("above", lambda d: (d["day"] == F.col("day")) | F.coalesce(gap(d) < F.col("rest_hours"), F.lit(False)))
-    turned = F.exists(
-        "above",
-        lambda d: ((F.col("shift_type") == "day") & (d["shift_type"] == "night") & (d["day"] == F.col("day") - 1))
-        | ((F.col("shift_type") == "night") & (d["shift_type"] == "day") & (d["day"] == F.col("day") + 1)),
-    )
-    near = lambda sign: F.array_min(
-        F.filter(F.sequence(F.lit(1), F.size("above") + 1), lambda k: ~F.array_contains(days, F.col("day") + sign * k))
-    )
-    run = near(1) + near(-1) - 1
-    count = F.size(F.filter("above", lambda d: d["block"] == F.col("block"))) + 1
-    full = F.coalesce(count > F.col("block_max"), F.lit(False)) | F.coalesce(run > F.col("max_run"), F.lit(False))
-    return free.where(room & ~clash & ~(F.col("night_day_rule") & turned) & ~full).select(*key)
+
+    def fits(above: Column) -> Column:
+        days = F.transform(above, lambda d: d["day"])  # in rising order
+        last = F.aggregate(days, F.col("day"), lambda end, d: F.when(d == end + 1, d).otherwise(end))
+        first = F.aggregate(F.reverse(days), F.col("day"), lambda end, d: F.when(d == end - 1, d).otherwise(end))
+        clash = F.exists(above, lambda d: F.coalesce(gap(d) < F.col("rest_hours"), F.lit(False)))
+        turned = F.exists(
+            above,
+            lambda d: ((F.col("shift_type") == "day") & (d["shift_type"] == "night") & (d["day"] == F.col("day") - 1))
+            | ((F.col("shift_type") == "night") & (d["shift_type"] == "day") & (d["day"] == F.col("day") + 1)),
+        )
+        count = F.size(F.filter(above, lambda d: d["block"] == F.col("block"))) + 1
+        full = F.coalesce(count > F.col("block_max"), F.lit(False)) | F.coalesce(last - first + 1 > F.col("max_run"), F.lit(False))
+        return ~clash & ~(F.col("night_day_rule") & turned) & ~full
+
+    # An array of one, so that the duties above a bid are picked once for all conditions; a filter would put them into each.
+    return pairs.where(room & apart & ~busy).where(F.exists(F.array(above), fits)).select(*key)
 
 
 #: Rules that a draft may leave open: an empty seat, too few shifts.
